@@ -53,7 +53,7 @@ def stratified_hash_rank(
     if sizes is None:
         sizes = strata_sizes(df, strata)
     max_n = max((n for _, n in sizes), default=0)
-    n_buckets = bucket_count(max_n, rows_per_bucket, MAX_BUCKETS)
+    n_buckets = bucket_count(max_n, rows_per_bucket, MAX_BUCKETS, df.sparkSession.sparkContext.defaultParallelism)
     if n_buckets == 1:
         work = work.withColumn("_b", F.lit(0))
     else:

@@ -24,14 +24,23 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.search import count_below
 from riskframe.plans.broadcast import bounded_broadcast
+from riskframe.plans.materialize import keep
 
 DEFAULT_ROWS_PER_BUCKET = 2_000_000
 DEFAULT_MAX_BUCKETS = 1 << 16
 MAX_KEYS = 200_000
 
 
-def bucket_count(max_rows: int, rows_per_bucket: int, max_buckets: int) -> int:
-    return int(min(max_buckets, max(1, math.ceil(max_rows / max(1, rows_per_bucket)))))
+MIN_ROWS_PER_BUCKET = 20_000
+
+
+def bucket_count(max_rows: int, rows_per_bucket: int, max_buckets: int, parallelism: int = 1) -> int:
+    """Buckets for the largest key: enough that none exceeds ``rows_per_bucket`` rows,
+    and (when the key is big enough to be worth splitting) at least two per core, so
+    a dominant key (e.g. the 99.8 % class) never runs in a single task."""
+    by_size = math.ceil(max_rows / max(1, rows_per_bucket))
+    by_cores = min(2 * max(1, parallelism), math.ceil(max_rows / MIN_ROWS_PER_BUCKET))
+    return int(min(max_buckets, max(1, by_size, by_cores)))
 
 
 def ordered_prefix(
@@ -56,7 +65,8 @@ def ordered_prefix(
     if with_next and descending:
         raise ValueError("with_next is defined for ascending order only")
     keys = list(keys)
-    work = df
+    # read by the sizing job and by the ranking job: computed once
+    work = keep(df)
     if not keys:
         work = work.withColumn("_pk", F.lit(0))
         keys = ["_pk"]
@@ -66,7 +76,7 @@ def ordered_prefix(
     max_n, n_keys = int(row["m"] or 0), int(row["k"] or 0)
     if n_keys > MAX_KEYS:
         raise ValueError(f"ordered_prefix: {n_keys} keys exceed the bound {MAX_KEYS}")
-    n_buckets = bucket_count(max_n, rows_per_bucket, max_buckets)
+    n_buckets = bucket_count(max_n, rows_per_bucket, max_buckets, df.sparkSession.sparkContext.defaultParallelism)
 
     if n_buckets == 1:
         work = work.withColumn("_b", F.lit(0))

@@ -22,6 +22,7 @@ from riskframe.operators.features import AmountScaler, Interactions, TimeCyclica
 from riskframe.operators.score import HeuristicScorer, score_batch
 from riskframe.operators.split import assign_split, kfold_assign, split_summary
 from riskframe.operators.validate import quarantine_report, validate
+from riskframe.plans.materialize import keep
 from riskframe.sources import tables as T
 
 # Fixed parameters of the registered queries
@@ -43,15 +44,15 @@ def _round(df: DataFrame, cols, digits: int = FEATURE_DIGITS) -> DataFrame:
 
 
 def _lines_split(spark, d):
-    return assign_split(T.txn_lines(spark, d))
+    return keep(assign_split(T.txn_lines(spark, d)))
 
 
 def _events_split(spark, d):
-    return assign_split(T.txn_events(spark, d))
+    return keep(assign_split(T.txn_events(spark, d)))
 
 
 def _txn_split(spark, d):
-    return assign_split(T.txn(spark, d))
+    return keep(assign_split(T.txn(spark, d)))
 
 
 def event_scores(df: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.functions.exprs import nan_to_null
+from riskframe.session import configure
 
 # Fixed values of the adapter (must equal the oracle SQL)
 EPOCH_EVENTS = "2024-01-01 00:00:00"
@@ -30,7 +31,19 @@ EVENT_FEATURES = ["Time", "Amount"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Read one parquet table (after applying the plan settings to the session)."""
+    configure(spark)
+    return widen(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+
+
+def widen(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than cores (a one-row-group file is read by
+    one task, and every row expression before the first shuffle would run there).
+    Planning-only check; on a cluster input splits outnumber cores and this is a no-op."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
 
 
 def _seconds_since(ts_col: str, epoch: str):
