@@ -20,7 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.operators.metrics import ranking_metrics, score_curve
+from riskframe.operators.metrics import ranking_metrics
 from riskframe.operators.score import decide
 
 AP_TIE_DIGITS = 9
@@ -171,3 +171,26 @@ class StackingEnsemble:
 
     def predict(self, df: DataFrame, threshold: float = 0.5) -> DataFrame:
         return decide(self.predict_proba(df), threshold)
+
+
+def oof_base_scores(train_df: DataFrame, fit_fns: Sequence[tuple[str, object]], k: int = 5,
+                    id_col: str = "txn_id", label_col: str = "Class", seed: int = 42) -> DataFrame:
+    """E2 ``oof=True``: per fold f of the train rows (T4 hash folds), fit each base
+    learner on the other folds and score fold f. ``fit_fns`` maps a name to a
+    function ``(train_frame) -> scorer``. Returns the train rows with ``score_<name>``.
+    """
+    from riskframe.operators.split import kfold_assign
+
+    folded = kfold_assign(train_df, k=k, id_col=id_col, target_col=label_col, seed=seed)
+    parts = []
+    for f in range(k):
+        held = folded.where(F.col("fold") == f)
+        rest = folded.where(F.col("fold") != f)
+        out = held
+        for name, fit in fit_fns:
+            out = fit(rest).transform(out).withColumnRenamed("score", f"score_{name}")
+        parts.append(out)
+    res = parts[0]
+    for p in parts[1:]:
+        res = res.unionByName(p)
+    return res.drop("fold")

@@ -433,4 +433,196 @@ DETERMINISTIC = {
 }
 
 
-ROWS_ONLY: dict = {}
+# ---------------------------------------------------------------- rows-only: training, stacking, I/O, streams
+# Tree fits depend on partitioning and thread order, so these are checked by rows.
+
+TRAIN_ITER = 10
+
+
+def _ff(spark, d):
+    ff = keep(full_features(spark, d))
+    feats = [c for c in ff.columns if c not in ("txn_id", "Class", "split")]
+    return ff, feats
+
+
+def _train_cfg(feats):
+    from riskframe.operators.train import TrainConfig
+
+    return TrainConfig(feature_cols=feats, max_iter=TRAIN_ITER, fixed={"maxDepth": 3})
+
+
+def _train_score(spark, d, model_type):
+    from riskframe.operators.train import fit_score
+
+    ff, feats = _ff(spark, d)
+    scorer = fit_score(model_type, {}, ff, _train_cfg(feats))
+    test = scorer.transform(ff.where(F.col("split") == "test"))
+    return test.select("txn_id", "Class", F.round("score", 6).alias("score"))
+
+
+def l_gbt_train_score(spark, d):
+    return _train_score(spark, d, "gbt")
+
+
+def l_gbt_sub_train_score(spark, d):
+    return _train_score(spark, d, "gbt_sub")
+
+
+def l_rf_train_score(spark, d):
+    return _train_score(spark, d, "rf")
+
+
+def l_tune(spark, d):
+    from riskframe.operators.train import tune_model
+
+    ff, feats = _ff(spark, d)
+    _best, trials = tune_model("rf", ff, _train_cfg(feats), n_trials=3, timeout_s=300)
+    return trials
+
+
+def l_train_evaluate(spark, d):
+    from riskframe.operators.train import train_and_evaluate
+
+    ff, feats = _ff(spark, d)
+    _scorer, metrics = train_and_evaluate("rf", {}, ff, _train_cfg(feats))
+    return metrics
+
+
+def _heuristic_bases(df):
+    from riskframe.operators.ensemble import base_scores
+
+    return base_scores(df, [(n, HeuristicScorer(variant=n)) for n in ["r3", "r3_b", "r3_c"]])
+
+
+BASE_COLS = ["score_r3", "score_r3_b", "score_r3_c"]
+
+
+def e_stack_in_sample(spark, d):
+    from riskframe.operators.ensemble import StackingEnsemble
+
+    df = _heuristic_bases(_txn_split(spark, d))
+    st = StackingEnsemble(BASE_COLS).fit(df.where(F.col("split") == "train"))
+    out = st.predict_proba(df.where(F.col("split") == "test"))
+    return out.select("txn_id", F.round("score", 6).alias("score"))
+
+
+def e_stack_oof(spark, d):
+    from riskframe.operators.ensemble import StackingEnsemble, oof_base_scores
+    from riskframe.operators.train import fit_score
+
+    ff, feats = _ff(spark, d)
+    cfg = _train_cfg(feats)
+
+    def fit_rf(frame):
+        return fit_score("rf", {}, frame.withColumn("split", F.lit("train")), cfg)
+
+    train = ff.where(F.col("split") == "train")
+    meta_x = oof_base_scores(train, [("rf", fit_rf)], k=3)
+    st = StackingEnsemble(["score_rf"]).fit(meta_x)
+    test = fit_rf(train).transform(ff.where(F.col("split") == "test")).withColumnRenamed("score", "score_rf")
+    return st.predict_proba(test).select("txn_id", F.round("score", 6).alias("score"))
+
+
+def e_compare(spark, d):
+    """Three bases, stacking and blending on the test split; leaderboard."""
+    from riskframe.operators.ensemble import BlendingEnsemble, StackingEnsemble
+
+    df = _heuristic_bases(_txn_split(spark, d))
+    st = StackingEnsemble(BASE_COLS).fit(df.where(F.col("split") == "train"))
+    bl = BlendingEnsemble(BASE_COLS).fit(df.where(F.col("split") == "val"))
+    test = df.where(F.col("split") == "test")
+    stacked = st.predict_proba(test, "score_stacking")
+    both = bl.predict_proba(stacked, "score_blending")
+    cols = BASE_COLS + ["score_stacking", "score_blending"]
+    stack = ", ".join(f"'{c[6:]}', {c}" for c in cols)
+    long = both.select("Class", F.expr(f"stack({len(cols)}, {stack}) AS (model_name, score)"))
+    ev = M.evaluate(long, threshold=HEURISTIC_THRESHOLD, keys=["model_name"])
+    return M.leaderboard(ev.select("model_name", "pr_auc", "roc_auc", "f1", "precision", "recall"))
+
+
+def s_roundtrip(spark, d):
+    """Save the fitted pipeline and a model, load both, score again; both scores returned."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.classification import RandomForestClassificationModel
+
+    from riskframe.operators.train import assemble, build_model, weight_column
+    from riskframe.session import scratch_path
+    from riskframe.sources import io
+
+    df = _txn_split(spark, d)
+    pipe = build_feature_pipeline().fit(df.where(F.col("split") == "train"))
+    ppath = io.save_pipeline(pipe, scratch_path(spark, "pipeline"))
+    pipe2 = io.load_pipeline(spark, ppath)
+    ff = pipe.transform(df)
+    feats = [c for c in ff.columns if c not in ("txn_id", "Class", "split")]
+    train = ff.where(F.col("split") == "train")
+    model = build_model("rf", {"maxDepth": 3, "numTrees": 10}).fit(
+        assemble(train.withColumn("weight", weight_column(train, "rf")), feats))
+    mpath = io.save_model(model, scratch_path(spark, "model"))
+    model2 = io.load_model(spark, RandomForestClassificationModel, mpath)
+    test = df.where(F.col("split") == "test")
+    from pyspark.ml.functions import vector_to_array
+
+    def score(p, m, name):
+        x = assemble(p.transform(test), feats)
+        return m.transform(x).select("txn_id", F.round(vector_to_array("probability")[1], 9).alias(name))
+
+    return score(pipe, model, "score_before").join(score(pipe2, model2, "score_after"), "txn_id")
+
+
+def _events_schema(spark, d):
+    return T.table(spark, d, "events").schema
+
+
+def r_stream_score(spark, d):
+    """Events stream -> txn_events -> time/amount features -> logistic scorer -> sink."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    from riskframe.operators.score import ProbabilityScorer
+    from riskframe.session import scratch_path
+    from riskframe.streaming.scoring import file_stream, read_scored, run_to_completion, stream_score
+
+    train = _events_split(spark, d).where(F.col("split") == "train")
+    feats = Pipeline(stages=[TimeCyclical(), AmountScaler()]).fit(train)
+    va = VectorAssembler(inputCols=["hour_sin", "hour_cos", "Amount"], outputCol="features")
+    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=50)
+    model = Pipeline(stages=[va, lr]).fit(feats.transform(train).withColumn("label", F.col("Class").cast("double")))
+    stream = T.txn_events_from(file_stream(spark, d, "events.parquet", _events_schema(spark, d)))
+    out, ck = scratch_path(spark, "stream-score"), scratch_path(spark, "stream-score-ckpt")
+    q = stream_score(stream, ProbabilityScorer(model), out, ck, features=feats, required=["Time", "Amount"],
+                     threshold=0.25, model_name="logistic")
+    run_to_completion(q)
+    return read_scored(spark, out).drop("batch_id")
+
+
+def d_stream_psi(spark, d):
+    """Daily PSI of Amount on the events stream against the train split."""
+    from riskframe.session import scratch_path
+    from riskframe.streaming import drift as SD
+    from riskframe.streaming.scoring import file_stream, run_to_completion
+
+    ref = _events_split(spark, d).where(F.col("split") == "train")
+    lo, hi = SD.reference_edges(ref, "Amount")
+    shares = SD.reference_shares(ref, "Amount", lo, hi)
+    stream = file_stream(spark, d, "events.parquet", _events_schema(spark, d))
+    out, ck = scratch_path(spark, "stream-psi"), scratch_path(spark, "stream-psi-ckpt")
+    q = SD.start_window_counts(stream, "ts", "value", lo, hi, out, ck)
+    run_to_completion(q)
+    return SD.window_psi(spark, out, shares)
+
+
+ROWS_ONLY = {
+    "l_gbt_train_score": l_gbt_train_score,
+    "l_gbt_sub_train_score": l_gbt_sub_train_score,
+    "l_rf_train_score": l_rf_train_score,
+    "l_tune": l_tune,
+    "l_train_evaluate": l_train_evaluate,
+    "e_stack_in_sample": e_stack_in_sample,
+    "e_stack_oof": e_stack_oof,
+    "e_compare": e_compare,
+    "s_roundtrip": s_roundtrip,
+    "r_stream_score": r_stream_score,
+    "d_stream_psi": d_stream_psi,
+}

@@ -67,7 +67,12 @@ def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def txn_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    return txn_events_from(table(spark, sf_dir, "events"))
+
+
+def txn_events_from(events: DataFrame) -> DataFrame:
+    """The ``txn_events`` projection of any events frame (batch or streaming)."""
+    ev = events.select("event_id", "ts", "event_type", "value")
     amount = nan_to_null("value")
     return ev.select(
         F.col("event_id").alias("txn_id"),
