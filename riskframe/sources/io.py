@@ -48,16 +48,18 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def load_transactions(spark: SparkSession, path: str, schema: T.StructType = TXN_SCHEMA,
                       id_col: str | None = "txn_id") -> DataFrame:
-    """Header CSV, declared schema, FAILFAST; NaN -> NULL; a stable row id is added.
+    """Header CSV, declared schema, FAILFAST; NaN -> NULL; a row id is added.
 
-    The id is ``xxhash64`` of all columns plus the file name, a pure function of the row.
+    Whole rows repeat in card data, so a hash of the columns is not an id. The id is
+    ``monotonically_increasing_id`` (file split and position): stable for a fixed
+    input layout. Persist the split assignment when it must outlive the layout.
     """
     if not _exists(spark, path):
         raise FileNotFoundError(f"Dataset not found at {path}.")
     df = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
     df = df.withColumns({c: F.when(F.isnan(c), None).otherwise(F.col(c)) for c in TXN_FEATURES})
     if id_col:
-        df = df.withColumn(id_col, F.xxhash64(*[F.col(c) for c in df.columns], F.input_file_name()))
+        df = df.withColumn(id_col, F.monotonically_increasing_id())
     return df
 
 
