@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators.metrics import ranking_metrics
 from riskframe.operators.score import decide
+from riskframe.plans.materialize import keep
 
 AP_TIE_DIGITS = 9
 
@@ -54,16 +55,23 @@ def blend_grid_ap(df: DataFrame, score_cols: Sequence[str], label_col: str = "Cl
     grid = weight_grid(len(score_cols), n_steps)
     y = F.col(label_col).cast("long")
     tuples = df.groupBy(*score_cols).agg(F.sum(y).alias("_tp"), F.sum(1 - y).alias("_fp"))
-    wlit = F.array(*[
-        F.struct(F.lit(i).alias("weight_id"), *[F.lit(w).alias(f"w{j}") for j, w in enumerate(ws)])
-        for i, ws in enumerate(grid)
-    ])
-    ex = tuples.select(*score_cols, "_tp", "_fp", F.explode(wlit).alias("_w"))
+    # the explode below multiplies every tuple by the grid size: spread the (already
+    # de-duplicated) tuples over all cores first; AQE would otherwise coalesce a small
+    # tuple table into one partition and run the whole expansion in one task
+    spark = df.sparkSession
+    width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    tuples = keep(tuples.repartition(width))
+    n_tuples = tuples.count()  # rows per grid point are at most the distinct tuples
+    # one constant array of doubles per model (a single literal each, not an
+    # expression tree of G structs); rows pick their weight by grid index
+    weights = [F.lit([ws[j] for ws in grid]) for j in range(len(score_cols))]
+    ex = tuples.select(*score_cols, "_tp", "_fp",
+                       F.explode(F.sequence(F.lit(0), F.lit(len(grid) - 1))).alias("weight_id"))
     blended = None
     for j, c in enumerate(score_cols):
-        term = F.col(f"_w.w{j}") * F.col(c)
+        term = F.element_at(weights[j], F.col("weight_id") + 1) * F.col(c)
         blended = term if blended is None else blended + term
-    per = ex.groupBy(F.col("_w.weight_id").alias("weight_id"), blended.alias("blend")).agg(
+    per = ex.groupBy("weight_id", blended.alias("blend")).agg(
         F.sum("_tp").alias("tp_"), F.sum("_fp").alias("fp_")
     )
     # score_curve expects raw rows: reuse its plan on the pre-aggregated pairs
@@ -72,6 +80,7 @@ def blend_grid_ap(df: DataFrame, score_cols: Sequence[str], label_col: str = "Cl
     curve = ordered_prefix(
         per.select("weight_id", F.col("blend").alias("score"), F.col("tp_").alias("tp"), F.col("fp_").alias("fp")),
         ["weight_id"], "score", ["tp", "fp"], descending=True, with_totals=True,
+        size_bound=(n_tuples, len(grid)),
     )
     ap = ranking_metrics(curve, ["weight_id"]).select("weight_id", "pr_auc")
     wdf = df.sparkSession.createDataFrame(

@@ -54,6 +54,7 @@ def ordered_prefix(
     with_totals: bool = False,
     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
     max_buckets: int = DEFAULT_MAX_BUCKETS,
+    size_bound: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum of ``c`` in ``order_col`` order per key).
 
@@ -61,19 +62,24 @@ def ordered_prefix(
     ``with_next`` (ascending only) adds ``next_<order_col>``: the following distinct
     value of the key, NULL on the last one. ``with_totals`` adds ``tot_<c>``, the
     key's total, taken from the small offsets table (no window over the data).
+    ``size_bound=(max_rows_per_key, n_keys)``, when the caller can prove one, replaces
+    the sizing job (and the cache it needs).
     """
     if with_next and descending:
         raise ValueError("with_next is defined for ascending order only")
     keys = list(keys)
     # read by the sizing job and by the ranking job: computed once
-    work = keep(df)
+    work = df if size_bound is not None else keep(df)
     if not keys:
         work = work.withColumn("_pk", F.lit(0))
         keys = ["_pk"]
 
-    stats = work.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    row = stats.agg(F.max("_n").alias("m"), F.count(F.lit(1)).alias("k")).first()
-    max_n, n_keys = int(row["m"] or 0), int(row["k"] or 0)
+    if size_bound is not None:
+        max_n, n_keys = int(size_bound[0]), int(size_bound[1])
+    else:
+        stats = work.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        row = stats.agg(F.max("_n").alias("m"), F.count(F.lit(1)).alias("k")).first()
+        max_n, n_keys = int(row["m"] or 0), int(row["k"] or 0)
     if n_keys > MAX_KEYS:
         raise ValueError(f"ordered_prefix: {n_keys} keys exceed the bound {MAX_KEYS}")
     n_buckets = bucket_count(max_n, rows_per_bucket, max_buckets, df.sparkSession.sparkContext.defaultParallelism)
