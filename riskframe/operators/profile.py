@@ -195,15 +195,16 @@ def corr_expr(a, b):
 
 
 def corr_with_target(df: DataFrame, features: Sequence[str], target: str = "Class") -> DataFrame:
-    """``(feature, corr)`` sorted ascending (sorting a #features-row table)."""
+    """``(feature, corr, rank)``; ``rank`` orders by corr ascending (a #features-row window)."""
     lf = long_form(df, features, [target])
     c = lf.groupBy("feature").agg(corr_expr(F.col("value"), F.col(target).cast("double")).alias("corr"))
-    return c.select("feature", F.round("corr", ROUND).alias("corr"))
+    c = c.select("feature", F.round("corr", ROUND).alias("corr"))
+    return c.withColumn("rank", F.row_number().over(Window.orderBy(F.col("corr").asc_nulls_last(), "feature")))
 
 
 def corr_top(df: DataFrame, features: Sequence[str], target: str = "Class", k: int = 15) -> DataFrame:
     """The ``k`` features with the largest |corr| (top-k is the feature here)."""
-    c = corr_with_target(df, features, target)
+    c = corr_with_target(df, features, target).drop("rank")
     return c.orderBy(F.abs("corr").desc_nulls_last(), "feature").limit(k)
 
 
@@ -248,10 +249,11 @@ def class_comparison(df: DataFrame, features: Sequence[str], target: str = "Clas
         F.stddev_samp(F.when(y == 0, F.col("value"))).alias("std_0"),
         F.stddev_samp(F.when(y == 1, F.col("value"))).alias("std_1"),
     )
-    return c.select(
+    out = c.select(
         "feature", *[F.round(x, ROUND).alias(x) for x in ["mean_0", "mean_1", "std_0", "std_1"]],
         F.round(F.col("mean_1") - F.col("mean_0"), ROUND).alias("mean_diff"),
     )
+    return rank_by_abs(out, "mean_diff")  # O3: by |mean_diff| descending
 
 
 def rank_by_abs(df: DataFrame, col: str, name: str = "rank") -> DataFrame:

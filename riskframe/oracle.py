@@ -69,6 +69,10 @@ Q["p_validate_quarantine"] = (
     "UNION ALL SELECT 'valid' AS reason, CAST(count(*) AS BIGINT) AS rows FROM r WHERE len(reasons) = 0"
 )
 
+Q["p_head"] = _with(_views("txn_lines")) + "SELECT * FROM txn_lines ORDER BY txn_id LIMIT 5"
+Q["p_class_filter"] = _with(_views("txn_lines")) + (
+    "SELECT txn_id, Amount, Quantity FROM txn_lines WHERE Class = 1"
+)
 Q["p_numeric_select"] = _with(_views("txn_lines")) + "SELECT txn_id, \"Time\", Quantity, Amount, Discount, Tax FROM txn_lines"
 
 # ---------------------------------------------------------------- T
@@ -209,7 +213,8 @@ def _corr(a: str, b: str) -> str:
 
 _corr_rows = " UNION ALL ".join(
     f"SELECT '{c}' AS feature, round({_corr(chr(34) + c + chr(34), 'CAST(Class AS DOUBLE)')}, 6) AS corr FROM txn_lines" for c in LINE_NUMERIC)
-Q["a_corr_target"] = _with(_views("txn_lines")) + _corr_rows
+Q["a_corr_target"] = _with(_views("txn_lines"), f"c AS ({_corr_rows})") + \
+    "SELECT feature, corr, row_number() OVER (ORDER BY corr ASC NULLS LAST, feature) AS rank FROM c"
 Q["a_corr_top15"] = _with(_views("txn_lines"), f"c AS ({_corr_rows})") + \
     "SELECT feature, corr FROM c ORDER BY abs(corr) DESC NULLS LAST, feature LIMIT 15"
 _mcols = LINE_NUMERIC + ["Class"]
@@ -224,12 +229,12 @@ Q["a_iqr_outliers"] = _with(_views("txn"), "x AS (" + " UNION ALL ".join(
     "round(max(q3 + 10.0 * (q3 - q1)), 6) AS upper FROM x JOIN q USING (feature) GROUP BY feature "
     "HAVING sum(CASE WHEN value > q3 + 10.0 * (q3 - q1) THEN 1 ELSE 0 END) > 0"
 )
-Q["a_class_comparison"] = _with(_views("txn_lines")) + " UNION ALL ".join(
+Q["a_class_comparison"] = _with(_views("txn_lines")) + "SELECT *, row_number() OVER (ORDER BY abs(mean_diff) DESC NULLS LAST, feature) AS rank FROM (" + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, round(avg(CASE WHEN Class = 0 THEN \"{c}\" END), 6) AS mean_0, "
     f"round(avg(CASE WHEN Class = 1 THEN \"{c}\" END), 6) AS mean_1, round(stddev_samp(CASE WHEN Class = 0 THEN \"{c}\" END), 6) AS std_0, "
     f"round(stddev_samp(CASE WHEN Class = 1 THEN \"{c}\" END), 6) AS std_1, "
     f"round(avg(CASE WHEN Class = 1 THEN \"{c}\" END) - avg(CASE WHEN Class = 0 THEN \"{c}\" END), 6) AS mean_diff FROM txn_lines"
-    for c in LINE_NUMERIC)
+    for c in LINE_NUMERIC) + ")"
 
 # ---------------------------------------------------------------- M (txn_events, per split)
 

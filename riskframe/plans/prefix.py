@@ -31,7 +31,7 @@ DEFAULT_MAX_BUCKETS = 1 << 16
 MAX_KEYS = 200_000
 
 
-MIN_ROWS_PER_BUCKET = 20_000
+MIN_ROWS_PER_BUCKET = 200_000
 
 
 def bucket_count(max_rows: int, rows_per_bucket: int, max_buckets: int, parallelism: int = 1) -> int:

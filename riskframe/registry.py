@@ -78,6 +78,16 @@ def p_validate_quarantine(spark, d):
     return rep.unionByName(ok).withColumn("rows", F.col("rows").cast("long"))
 
 
+def p_head(spark, d):
+    """First rows in id order (Spark has no file order); the limit is the feature."""
+    return _lines(spark, d).orderBy("txn_id").limit(5)
+
+
+def p_class_filter(spark, d):
+    """The positive class, projected (filter and projection reach the scan)."""
+    return _lines(spark, d).where(F.col("Class") == 1).select("txn_id", "Amount", "Quantity")
+
+
 def p_numeric_select(spark, d):
     df = T.txn_lines(spark, d)
     cols = A.numeric_columns(df, exclude=("Class",))
@@ -382,6 +392,8 @@ def e_blend_score(spark, d):
 DETERMINISTIC = {
     "p_validate_quarantine": p_validate_quarantine,
     "p_numeric_select": p_numeric_select,
+    "p_head": p_head,
+    "p_class_filter": p_class_filter,
     "t_split_assign": t_split_assign,
     "t_split_summary": t_split_summary,
     "t_split_unstratified": t_split_unstratified,
@@ -613,7 +625,43 @@ def d_stream_psi(spark, d):
     return SD.window_psi(spark, out, shares)
 
 
+def s_results_sink(spark, d):
+    """Write the leaderboard as JSON results under the checkpoint folder and read it back."""
+    from riskframe.session import scratch_path
+    from riskframe.sources import io
+
+    path = io.save_results(m_leaderboard(spark, d), scratch_path(spark, "results"))
+    return spark.read.json(path)
+
+
+def s_drift_report(spark, d):
+    """Save the drift summary, load it with the declared schema."""
+    from riskframe.session import scratch_path
+    from riskframe.sources import io
+
+    r, c = _ref_cur(spark, d)
+    summary, _ = D.detect_data_drift(r, c, target_col="Class", numerical_features=LINE_NUMERIC)
+    path = io.save_drift_report(summary, scratch_path(spark, "drift-report"))
+    return io.load_drift_report(spark, path).withColumn("drifted_features", F.array_join("drifted_features", ","))
+
+
+def s_run_log(spark, d):
+    """Log params and metrics of a run to the append-only tables; return its metrics."""
+    from riskframe.session import scratch_path
+    from riskframe.sources.io import RunLog
+
+    ev = M.evaluate(heuristic_long(_txn_split(spark, d).where(F.col("split") == "val")),
+                    threshold=HEURISTIC_THRESHOLD, keys=["model_name"]).where(F.col("model_name") == "r3").first()
+    log = RunLog(spark, scratch_path(spark, "runlog"))
+    run_id = log.log("r3", {"threshold": HEURISTIC_THRESHOLD, "variant": "r3"},
+                     {k: ev[k] for k in ("pr_auc", "roc_auc", "f1", "precision", "recall")})
+    return log.table("run_metrics").where(F.col("run_id") == run_id)
+
+
 ROWS_ONLY = {
+    "s_results_sink": s_results_sink,
+    "s_drift_report": s_drift_report,
+    "s_run_log": s_run_log,
     "l_gbt_train_score": l_gbt_train_score,
     "l_gbt_sub_train_score": l_gbt_sub_train_score,
     "l_rf_train_score": l_rf_train_score,
