@@ -19,7 +19,6 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from riskframe.sources.tables import TXN_FEATURES
 
@@ -39,11 +38,19 @@ DRIFT_SUMMARY_SCHEMA = T.StructType([
 ])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
+def _missing(e: Exception) -> bool:
+    msg = str(e)
+    return "PATH_NOT_FOUND" in msg or "does not exist" in msg or "FileNotFoundException" in msg
+
+
+def _load(what: str, path: str, fn):
+    """Run a reader; a missing path surfaces as ``FileNotFoundError`` (as in the reference)."""
+    try:
+        return fn()
+    except Exception as e:  # noqa: BLE001 - readers raise AnalysisException or Py4J errors
+        if _missing(e):
+            raise FileNotFoundError(f"{what} not found at {path}.") from e
+        raise
 
 
 def load_transactions(spark: SparkSession, path: str, schema: T.StructType = TXN_SCHEMA,
@@ -54,9 +61,8 @@ def load_transactions(spark: SparkSession, path: str, schema: T.StructType = TXN
     ``monotonically_increasing_id`` (file split and position): stable for a fixed
     input layout. Persist the split assignment when it must outlive the layout.
     """
-    if not _exists(spark, path):
-        raise FileNotFoundError(f"Dataset not found at {path}.")
-    df = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    df = _load("Dataset", path, lambda: spark.read.schema(schema).option("header", True)
+               .option("mode", "FAILFAST").csv(path))
     df = df.withColumns({c: F.when(F.isnan(c), None).otherwise(F.col(c)) for c in TXN_FEATURES})
     if id_col:
         df = df.withColumn(id_col, F.monotonically_increasing_id())
@@ -75,9 +81,7 @@ def save_pipeline(model: PipelineModel, path: str) -> str:
 
 
 def load_pipeline(spark: SparkSession, path: str) -> PipelineModel:
-    if not _exists(spark, path):
-        raise FileNotFoundError(f"Pipeline not found at {path}.")
-    return PipelineModel.load(path)
+    return _load("Pipeline", path, lambda: PipelineModel.load(path))
 
 
 def save_model(model, path: str) -> str:
@@ -87,9 +91,7 @@ def save_model(model, path: str) -> str:
 
 
 def load_model(spark: SparkSession, cls, path: str):
-    if not _exists(spark, path):
-        raise FileNotFoundError(f"Model not found at {path}.")
-    return cls.load(path)
+    return _load("Model", path, lambda: cls.load(path))
 
 
 def save_results(df: DataFrame, path: str, fmt: str = "json") -> str:
@@ -108,12 +110,7 @@ def save_drift_report(summary: DataFrame, path: str) -> str:
 
 
 def load_drift_report(spark: SparkSession, path: str) -> DataFrame:
-    if not _exists(spark, path):
-        raise FileNotFoundError(f"Drift report not found at {path}.")
-    try:
-        return spark.read.schema(DRIFT_SUMMARY_SCHEMA).json(path)
-    except AnalysisException as e:  # pragma: no cover - surfaced as the reference does
-        raise FileNotFoundError(str(e)) from e
+    return _load("Drift report", path, lambda: spark.read.schema(DRIFT_SUMMARY_SCHEMA).json(path))
 
 
 class RunLog:

@@ -70,3 +70,14 @@ def test_csv_source_roundtrip_and_missing(spark, tmp_path):
     assert back.count() == 7 and back.select("txn_id").distinct().count() == 7
     with pytest.raises(FileNotFoundError):
         io.load_transactions(spark, str(tmp_path / "nope.csv"))
+
+
+def test_missing_pipeline_and_report_raise(spark, tmp_path):
+    import pytest
+
+    from riskframe.sources import io
+
+    with pytest.raises(FileNotFoundError):
+        io.load_pipeline(spark, str(tmp_path / "no_pipeline"))
+    with pytest.raises(FileNotFoundError):
+        io.load_drift_report(spark, str(tmp_path / "no_report"))
