@@ -354,16 +354,9 @@ def d_missing(spark, d):
 
 def d_monitor_flow(spark, d):
     """Train vs test on engineered features, then with V14 and V17 shifted by 2 sd."""
-    feats = full_features(spark, d)
-    cols = [c for c in feats.columns if c not in ("txn_id", "Class", "split")]
-    train = feats.where(F.col("split") == "train")
-    test = feats.where(F.col("split") == "test")
-    s1, _ = D.detect_data_drift(train, test, target_col="Class", numerical_features=cols)
-    shifted = D.simulate_drift(test, "mean_shift", 2.0, ["V14", "V17"], SEED)
-    s2, _ = D.detect_data_drift(train, shifted, target_col="Class", numerical_features=cols)
-    s1 = _summary_flat(s1).withColumn("stage", F.lit("baseline"))
-    s2 = _summary_flat(s2).withColumn("stage", F.lit("shifted"))
-    return s1.unionByName(s2)
+    from riskframe.operators.flows import monitoring_flow
+
+    return _summary_flat(monitoring_flow(full_features(spark, d), ("V14", "V17"), 2.0, seed=SEED))
 
 
 # ---------------------------------------------------------------- E: blending (txn_events)
@@ -658,7 +651,17 @@ def s_run_log(spark, d):
     return log.table("run_metrics").where(F.col("run_id") == run_id)
 
 
+def l_full_training(spark, d):
+    """L9 + E8: the full training run (one trial per model, short fits), then the
+    five-way ensemble comparison on test."""
+    from riskframe.operators.flows import run_ensemble, run_full_training
+
+    run = run_full_training(T.txn(spark, d), n_trials=1, timeout_s=300, max_iter=TRAIN_ITER)
+    return run_ensemble(run)
+
+
 ROWS_ONLY = {
+    "l_full_training": l_full_training,
     "s_results_sink": s_results_sink,
     "s_drift_report": s_drift_report,
     "s_run_log": s_run_log,
