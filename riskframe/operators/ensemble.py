@@ -83,9 +83,8 @@ def blend_grid_ap(df: DataFrame, score_cols: Sequence[str], label_col: str = "Cl
         size_bound=(n_tuples, len(grid)),
     )
     ap = ranking_metrics(curve, ["weight_id"]).select("weight_id", "pr_auc")
-    wdf = df.sparkSession.createDataFrame(
-        [(i, *ws) for i, ws in enumerate(grid)], ["weight_id"] + [f"w{j}" for j in range(len(score_cols))]
-    )
+    schema = ", ".join(["weight_id INT"] + [f"w{j} DOUBLE" for j in range(len(score_cols))])
+    wdf = df.sparkSession.createDataFrame([(i, *ws) for i, ws in enumerate(grid)], schema)
     return wdf.join(F.broadcast(ap), "weight_id", "left")
 
 

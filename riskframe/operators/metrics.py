@@ -168,4 +168,4 @@ def leaderboard(results: DataFrame) -> DataFrame:
     from pyspark.sql import Window
 
     w = Window.orderBy(F.col("pr_auc").desc_nulls_last(), F.col("model_name"))
-    return results.withColumn("rank", F.row_number().over(w))
+    return results.withColumn("rank", F.row_number().over(w).cast("long"))

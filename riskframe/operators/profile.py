@@ -199,7 +199,7 @@ def corr_with_target(df: DataFrame, features: Sequence[str], target: str = "Clas
     lf = long_form(df, features, [target])
     c = lf.groupBy("feature").agg(corr_expr(F.col("value"), F.col(target).cast("double")).alias("corr"))
     c = c.select("feature", F.round("corr", ROUND).alias("corr"))
-    return c.withColumn("rank", F.row_number().over(Window.orderBy(F.col("corr").asc_nulls_last(), "feature")))
+    return c.withColumn("rank", F.row_number().over(Window.orderBy(F.col("corr").asc_nulls_last(), "feature")).cast("long"))
 
 
 def corr_top(df: DataFrame, features: Sequence[str], target: str = "Class", k: int = 15) -> DataFrame:
@@ -258,4 +258,4 @@ def class_comparison(df: DataFrame, features: Sequence[str], target: str = "Clas
 
 def rank_by_abs(df: DataFrame, col: str, name: str = "rank") -> DataFrame:
     """O1/O3: rank a per-feature table by |col| desc (a #features-row window)."""
-    return df.withColumn(name, F.row_number().over(Window.orderBy(F.abs(col).desc_nulls_last(), "feature")))
+    return df.withColumn(name, F.row_number().over(Window.orderBy(F.abs(col).desc_nulls_last(), "feature")).cast("long"))
