@@ -10,10 +10,8 @@ checkpoint, exactly-once.
 from __future__ import annotations
 
 import os
-from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from riskframe.operators.score import decide
 from riskframe.operators.validate import validate
