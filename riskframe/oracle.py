@@ -492,7 +492,7 @@ Q["flagship"] = _chain(
     "c AS (SELECT *, sum(tp) OVER (PARTITION BY split ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS ctp, "
     "sum(fp) OVER (PARTITION BY split ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cfp, sum(tp) OVER (PARTITION BY split) AS P FROM c0)",
     f"r AS (SELECT split, {_AP} AS pr_auc, {_AUC} AS roc_auc FROM c GROUP BY split)",
-    "b AS (SELECT split, CASE WHEN P > 0 THEN score END AS best_threshold, CASE WHEN P > 0 THEN round(f1, 6) END AS best_f1 FROM ("
+    "b AS (SELECT split, CASE WHEN P > 0 THEN round(score, 6) END AS best_threshold, CASE WHEN P > 0 THEN round(f1, 6) END AS best_f1 FROM ("
     "SELECT *, row_number() OVER (PARTITION BY split ORDER BY f1 DESC, score ASC) AS rn FROM ("
     "SELECT split, score, P, coalesce(CAST(2 * ctp AS DOUBLE) / nullif(CAST(ctp + cfp + P AS DOUBLE), 0), 0.0) AS f1 FROM c)) WHERE rn = 1)",
 ) + "SELECT * FROM r JOIN b USING (split)"

@@ -58,8 +58,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, driver_me
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset (a local
-    test session) a scratch folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset and the
+    master is local (tests) a scratch folder is created and registered; on a cluster
+    an unset folder is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
@@ -68,6 +69,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(conf_dir)
         return conf_dir
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder: a machine-local folder "
+                           "cannot hold checkpoints or intermediate tables on a cluster")
     local = tempfile.mkdtemp(prefix="riskframe-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
