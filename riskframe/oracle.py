@@ -13,7 +13,7 @@ from riskframe.operators.ensemble import weight_grid
 from riskframe.operators.score import heuristic_sql
 from riskframe.registry import (
     FEATURE_DIGITS, HEURISTIC_THRESHOLD, HIST_BINS, HIST_CLASS_BINS, HIST_LOG_BINS, LINE_CATEGORICAL,
-    LINE_NUMERIC, METRIC_THRESHOLD, SCORE_THRESHOLD, SEED,
+    LINE_NUMERIC, METRIC_THRESHOLD, PERTURB_DIGITS, SCORE_THRESHOLD, SEED,
 )
 from riskframe.sources.tables import SQL_VIEWS, TXN_FEATURES
 
@@ -423,7 +423,7 @@ def _perturb_sql(kind: str, magnitude: float) -> str:
             e = f"{c} + {sql_hash_normal('txn_id', SEED, c)} * ({magnitude!r} * (SELECT stddev_samp({c}) FROM txn_lines))"
         else:
             e = f"CASE WHEN {sql_hash_uniform('txn_id', SEED, c)} < {magnitude!r} THEN NULL ELSE {c} END"
-        cols.append(f"round({e}, 6) AS {c}")
+        cols.append(f"round({e}, {PERTURB_DIGITS}) AS {c}")
     return _with(_views("txn_lines")) + f"SELECT txn_id, {', '.join(cols)} FROM txn_lines"
 
 
