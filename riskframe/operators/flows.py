@@ -18,7 +18,7 @@ from riskframe.operators.ensemble import BlendingEnsemble, StackingEnsemble
 from riskframe.operators.features import fit_and_transform
 from riskframe.operators.split import assign_split
 from riskframe.operators.train import TrainConfig, train_and_evaluate, tune_model
-from riskframe.plans.materialize import keep
+from riskframe.plans.materialize import cut, keep
 
 KEEP = ("txn_id", "Class", "split")
 
@@ -44,7 +44,9 @@ def run_full_training(df: DataFrame, model_types: Sequence[str] = ("gbt", "gbt_s
     metrics on val and test -> leaderboards (and optionally S6 results / S8 run log)."""
     split = keep(assign_split(df, seed=seed))
     fmodel, feats = fit_and_transform(split, pipeline)
-    feats = keep(feats)
+    # dozens of fits and scorings read this table: write it once to the shared
+    # checkpoint folder so lost executors and long lineages never replay the split
+    feats = cut(feats, "training-features")
     cols = [c for c in feats.columns if c not in KEEP]
     cfg = TrainConfig(feature_cols=cols, max_iter=max_iter, seed=seed)
     run = TrainingRun(fmodel, feats, cols)
