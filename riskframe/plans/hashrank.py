@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.hashing import hash_unit, row_hash
 from riskframe.plans.broadcast import bounded_broadcast
+from riskframe.plans.materialize import keep
 from riskframe.plans.prefix import DEFAULT_ROWS_PER_BUCKET, bucket_count
 
 MAX_STRATA = 100_000
 MAX_BUCKETS = 16 ** 5
+FINE = 16 ** 4  # sub-buckets counted in the first pass
 
 
 def strata_sizes(df: DataFrame, strata: Sequence[str]) -> list:
@@ -42,7 +44,13 @@ def stratified_hash_rank(
     sizes: list | None = None,
     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Add ``_rank`` (1-based, by (md5(id|seed), id) within the stratum) and ``_n``."""
+    """Add ``_rank`` (1-based, by (md5(id|seed), id) within the stratum) and ``_n``.
+
+    Pass 1 counts rows per (stratum, fine hash sub-bucket): a table of at most
+    #strata x FINE rows (kept), which yields the stratum sizes and, grouped into
+    the chosen buckets, the offsets. Pass 2 ranks inside (stratum, bucket). Only
+    beyond FINE buckets per stratum (over 1e11 rows) a separate count pass is used.
+    """
     strata = list(strata)
     work = df.withColumn("_h", row_hash(id_col, seed))
     if not strata:
@@ -50,16 +58,26 @@ def stratified_hash_rank(
         keys = ["_st"]
     else:
         keys = strata
+    work = work.withColumn("_sb", F.floor(hash_unit(F.col("_h")) * F.lit(FINE)).cast("int"))
+    fine = keep(work.groupBy(*keys, "_sb").agg(F.count(F.lit(1)).alias("_c")))
     if sizes is None:
-        sizes = strata_sizes(df, strata)
+        rows = fine.groupBy(*keys).agg(F.sum("_c").alias("n")).limit(MAX_STRATA + 1).collect()
+        if len(rows) > MAX_STRATA:
+            raise ValueError(f"more than {MAX_STRATA} strata")
+        sizes = [(tuple(r[k] for k in keys), int(r["n"])) for r in rows]
     max_n = max((n for _, n in sizes), default=0)
     n_buckets = bucket_count(max_n, rows_per_bucket, MAX_BUCKETS, df.sparkSession.sparkContext.defaultParallelism)
-    if n_buckets == 1:
-        work = work.withColumn("_b", F.lit(0))
+
+    if n_buckets <= FINE:
+        # buckets are runs of consecutive sub-buckets: still monotone in the hash
+        bucket_of = lambda sb: F.floor(sb * F.lit(n_buckets) / F.lit(FINE)).cast("int")
+        work = work.withColumn("_b", bucket_of(F.col("_sb")))
+        counts = fine.groupBy(*keys, bucket_of(F.col("_sb")).alias("_b")).agg(F.sum("_c").alias("_c"))
     else:
         work = work.withColumn("_b", F.floor(hash_unit(F.col("_h")) * F.lit(n_buckets)).cast("int"))
+        counts = work.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    work = work.drop("_sb")
 
-    counts = work.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c"))
     bw = Window.partitionBy(*keys).orderBy("_b")
     offsets = counts.select(
         *keys, "_b",
