@@ -164,6 +164,8 @@ def detect_data_drift(reference: DataFrame, current: DataFrame, target_col: str
     num = list(numerical_features) if numerical_features is not None else default_features(reference, target_col, id_col)
     num = [c for c in num if c != target_col]
     cat = [c for c in (categorical_features or []) if c != target_col]
+    if not num and not cat:
+        raise ValueError("no features to test for drift")
     parts = []
     if num:
         nd = numeric_drift(reference, current, num, threshold)
