@@ -143,7 +143,7 @@ def amount_by_class(df: DataFrame, amount: str = "Amount", target: str = "Class"
     )
     med = exact_quantiles(both, ["_k"], "v", [0.5]).select("_k", F.col("q").alias("median"))
     key = F.when(F.col("_g") == 1, F.lit("__all__")).otherwise(F.col(target).cast("string"))
-    out = base.withColumn("_k", key).join(F.broadcast(med), "_k", "left")
+    out = base.withColumn("_k", key).join(med, "_k", "left")  # one row per class: AQE broadcasts it
     return out.select(
         F.when(F.col("_g") == 0, F.col(target)).alias(target),
         F.round("mean", ROUND).alias("mean"), F.round("median", ROUND).alias("median"),
@@ -171,9 +171,9 @@ def histogram(lf: DataFrame, bins: int | dict, keys: Sequence[str] = ("feature",
         "_lo": F.when(F.col("_lo") == F.col("_hi"), F.col("_lo") - 0.5).otherwise(F.col("_lo")),
         "_hi": F.when(F.col("_lo") == F.col("_hi"), F.col("_hi") + 0.5).otherwise(F.col("_hi")),
     })
-    # at most #keys rows; keys are features x classes here
-    sb = bounded_broadcast(stats, 100_000)
-    j = lf.where(F.col("value").isNotNull()).join(sb, keys)
+    # one row per key (features x classes here); the key count is not known before
+    # running, so the broadcast decision is left to AQE's runtime size check
+    j = lf.where(F.col("value").isNotNull()).join(stats, keys)
     width = (F.col("_hi") - F.col("_lo")) / F.col("_nb")
     b = F.least(F.floor((F.col("value") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.col("_nb")),
                 F.col("_nb") - 1).cast("int")
