@@ -85,7 +85,7 @@ def blend_grid_ap(df: DataFrame, score_cols: Sequence[str], label_col: str = "Cl
     ap = ranking_metrics(curve, ["weight_id"]).select("weight_id", "pr_auc")
     schema = ", ".join(["weight_id INT"] + [f"w{j} DOUBLE" for j in range(len(score_cols))])
     wdf = df.sparkSession.createDataFrame([(i, *ws) for i, ws in enumerate(grid)], schema)
-    return wdf.join(F.broadcast(ap), "weight_id", "left")
+    return wdf.join(F.broadcast(ap), "weight_id", "left")  # one row per grid point (<= n_steps^2)
 
 
 def blend_best(grid_ap: DataFrame, n_models: int) -> tuple[list[float], float]:

@@ -92,8 +92,8 @@ def ordered_prefix(
         cuts = work.groupBy(*keys).agg(
             F.percentile_approx(order_col, probs, accuracy).alias("_cuts")
         )
-        # one row per key: the bound is n_keys, checked above
-        work = work.join(bounded_broadcast(cuts, n_keys), keys)
+        # one row per key holding n_buckets - 1 cut values: bounded by n_keys * n_buckets values
+        work = work.join(bounded_broadcast(cuts, n_keys * n_buckets), keys)
         work = work.withColumn(
             "_b", count_below(F.col("_cuts"), F.col(order_col).cast("double"), n_buckets - 1)
         ).drop("_cuts")

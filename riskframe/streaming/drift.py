@@ -62,7 +62,7 @@ def window_psi(spark: SparkSession, counts_dir: str, ref_shares: DataFrame, bins
     wins = c.select("window_start", "window_end").distinct()
     grid = wins.select("window_start", "window_end", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     full = grid.join(c, ["window_start", "window_end", "bin"], "left").fillna(0, ["n"]) \
-        .join(F.broadcast(ref_shares), "bin")
+        .join(F.broadcast(ref_shares), "bin")  # `bins` rows
     tot = full.groupBy("window_start").agg(F.sum("n").alias("_t"))
     j = full.join(tot, "window_start")
     pc = F.greatest(F.col("n") / F.col("_t"), F.lit(eps))
