@@ -20,7 +20,7 @@ from riskframe.operators.validate import validate
 
 # The serving defaults of the reference
 DEFAULT_THRESHOLD = 0.893
-DEFAULT_MODEL_NAME = "xgboost"
+DEFAULT_MODEL_NAME = "gbt"
 DEFAULT_MODEL_VERSION = "0.1.0"
 
 # Heuristic scorers: (abs terms, positive-part terms, amount divisor, total divisor).
