@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 from riskframe.functions.exprs import clip
 from riskframe.operators.validate import validate
 
-# The serving defaults of the reference
+# The serving threshold and model version of the reference
 DEFAULT_THRESHOLD = 0.893
-DEFAULT_MODEL_NAME = "gbt"
 DEFAULT_MODEL_VERSION = "0.1.0"
+# our slot-1 learner (operators/train.py) as the default model name
+DEFAULT_MODEL_NAME = "gbt"
 
 # Heuristic scorers: (abs terms, positive-part terms, amount divisor, total divisor).
 # "r3" is the reference's test double; the two variants give the ensembles distinct bases.
