@@ -62,3 +62,21 @@ def test_kfold_balanced(spark):
     assert sorted(counts) == [200] * 5
     pos = [r["p"] for r in f.groupBy("fold").agg(F.sum("Class").alias("p")).collect()]
     assert sorted(pos) == [2] * 5
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.integers(0, 3), min_size=1, max_size=400), st.integers(0, 10**6), st.sampled_from([7, 40, 10**6]))
+def test_rank_property_random_strata(spark, strata, seed, rpb):
+    import hashlib
+
+    pdf = pd.DataFrame({"txn_id": np.arange(len(strata)), "Class": strata})
+    df = spark.createDataFrame(pdf)
+    got = {r["txn_id"]: r["_rank"] for r in stratified_hash_rank(df, ["Class"], "txn_id", seed, rows_per_bucket=rpb).collect()}
+    pdf["h"] = [hashlib.md5(f"{i}|{seed}".encode()).hexdigest() for i in pdf.txn_id]
+    pdf = pdf.sort_values(["Class", "h", "txn_id"])
+    pdf["r"] = pdf.groupby("Class").cumcount() + 1
+    assert got == dict(zip(pdf.txn_id, pdf.r))
