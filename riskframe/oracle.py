@@ -498,5 +498,12 @@ Q["flagship"] = _chain(
 ) + "SELECT * FROM r JOIN b USING (split)"
 
 
+# S6 / S7 round trips: what is read back must equal what was computed
+Q["s_results_sink"] = Q["m_leaderboard"]
+Q["s_drift_report"] = _chain(*_RC_PARTS, _ND) + _summary_sql(
+    "SELECT feature, p < 0.05 AS drift FROM nd", None, len(LINE_NUMERIC), "ref", "cur",
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(Q)
