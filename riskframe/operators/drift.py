@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from riskframe.functions.exprs import clip
 from riskframe.functions.hashing import hash_normal, hash_uniform
 from riskframe.plans.broadcast import bounded_broadcast
 from riskframe.plans.prefix import ordered_prefix
@@ -52,8 +53,8 @@ def ks_pvalue(d: F.Column, n: F.Column, m: F.Column) -> F.Column:
     ``Q_KS(l) = 2 sum (-1)^(j-1) exp(-2 j^2 l^2)`` for l >= 1, and the equivalent
     ``1 - sqrt(2 pi)/l sum exp(-(2j-1)^2 pi^2 / (8 l^2))`` below 1 (fast there).
     """
-    en = F.sqrt(n.cast("double") * m.cast("double") / (n + m).cast("double"))
-    lam = (en + F.lit(0.12) + F.lit(0.11) / en) * d
+    en = F.sqrt(F.try_divide(n.cast("double") * m.cast("double"), (n + m).cast("double")))
+    lam = (en + F.lit(0.12) + F.try_divide(F.lit(0.11), en)) * d  # NULL when a side is empty
     js = F.sequence(F.lit(1), F.lit(KS_TERMS))
     big = F.lit(2.0) * F.aggregate(
         js, F.lit(0.0),
@@ -64,7 +65,7 @@ def ks_pvalue(d: F.Column, n: F.Column, m: F.Column) -> F.Column:
         lambda acc, j: acc + F.exp(-((2 * j - 1) * (2 * j - 1)) * F.lit(math.pi ** 2) / (F.lit(8.0) * lam * lam)),
     )
     q = F.when(lam <= 0, F.lit(1.0)).when(lam < 1.0, small).otherwise(big)
-    return F.least(F.greatest(q, F.lit(0.0)), F.lit(1.0))
+    return clip(q, 0.0, 1.0)  # NULL-preserving (greatest/least skip NULLs)
 
 
 def numeric_drift(reference: DataFrame, current: DataFrame, features: Sequence[str],
@@ -137,7 +138,8 @@ def chi_square(reference: DataFrame, current: DataFrame, features: Sequence[str]
     n = (F.col("_nr") + F.col("_nc")).cast("double")
     row = (F.col("r") + F.col("c")).cast("double")
     er, ec = row * F.col("_nr") / n, row * F.col("_nc") / n
-    term = (F.col("r") - er) * (F.col("r") - er) / er + (F.col("c") - ec) * (F.col("c") - ec) / ec
+    term = (F.try_divide((F.col("r") - er) * (F.col("r") - er), er)
+            + F.try_divide((F.col("c") - ec) * (F.col("c") - ec), ec))  # NULL when a side is empty
     return j.groupBy("feature").agg(
         F.sum(term).alias("statistic"), F.max("_k").alias("_k")
     ).select("feature", F.round("statistic", ROUND).alias("statistic"), (F.col("_k") - 1).cast("long").alias("dof"))

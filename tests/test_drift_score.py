@@ -109,3 +109,12 @@ def test_empty_batch_and_parity(spark):
     single = score_batch(one, HeuristicScorer())[0].first()["fraud_probability"]
     batch = {r["txn_id"]: r["fraud_probability"] for r in score_batch(both, HeuristicScorer())[0].collect()}
     assert batch[1] == single
+
+
+def test_empty_current_side_gives_null_not_error(spark):
+    ref = spark.createDataFrame([(i, float(i), "a" if i % 2 else "b") for i in range(20)], "txn_id long, x double, k string")
+    cur = ref.limit(0)
+    r = D.numeric_drift(ref, cur, ["x"]).first()
+    assert r["p_value"] is None and r["drift"] is None
+    c = D.chi_square(ref, cur, ["k"]).first()
+    assert c["statistic"] is None
