@@ -117,8 +117,8 @@ def psi(reference: DataFrame, current: DataFrame, features: Sequence[str], bins:
     tot = cnt.groupBy("feature").agg(F.sum("r").alias("_nr"), F.sum("c").alias("_nc"))
     grid = tot.select("feature", "_nr", "_nc", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     full = grid.join(cnt, ["feature", "bin"], "left").fillna(0, ["r", "c"])
-    pr = F.greatest(F.try_divide(F.col("r").cast("double"), F.col("_nr").cast("double")), F.lit(eps))
-    pc = F.greatest(F.try_divide(F.col("c").cast("double"), F.col("_nc").cast("double")), F.lit(eps))
+    pr = clip(F.try_divide(F.col("r").cast("double"), F.col("_nr").cast("double")), lo=eps)
+    pc = clip(F.try_divide(F.col("c").cast("double"), F.col("_nc").cast("double")), lo=eps)
     return full.groupBy("feature").agg(F.sum((pc - pr) * F.log(pc / pr)).alias("psi")).select(
         "feature", F.round("psi", ROUND).alias("psi")
     )
