@@ -27,3 +27,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept", "distance2")
+
+
+@query
+def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskframe.llm.near_dup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
