@@ -34,3 +34,11 @@ def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskframe.llm.near_dup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskframe.llm.substring_dedup import substring_dedup
+
+    out = substring_dedup(table(spark, sf_dir, "documents"), digest=True)
+    return out.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
