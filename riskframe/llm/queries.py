@@ -42,3 +42,16 @@ def op5_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = substring_dedup(table(spark, sf_dir, "documents"), digest=True)
     return out.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+
+
+def word_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op2_configuration_lp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskframe.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), word_tokenizer())
