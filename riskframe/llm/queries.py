@@ -55,3 +55,31 @@ def op2_configuration_lp(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskframe.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"), word_tokenizer())
+
+
+@query
+def op3_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskframe.llm.line_dedup import dedup_lines
+
+    out = dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), "text")
+
+
+@query
+def op9_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskframe.llm.warc import read_index, write_archive
+    from riskframe.session import scratch_path
+
+    path = scratch_path(spark, "llm-archive")
+    write_archive(table(spark, sf_dir, "pages"), path)
+    return read_index(spark, path)
+
+
+def _oracles() -> None:
+    from riskframe.llm import line_dedup, warc
+
+    ORACLES["op3_line_windows"] = line_dedup.ORACLE
+    ORACLES["op9_archive"] = warc.ORACLE
+
+
+_oracles()
