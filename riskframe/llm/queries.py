@@ -75,6 +75,14 @@ def op9_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_index(spark, path)
 
 
+@query
+def op6_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskframe.llm.decontamination import hits
+
+    found = hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "start", F.col("m").alias("n_words"), "similarity")
+
+
 def _oracles() -> None:
     from riskframe.llm import line_dedup, warc
 
