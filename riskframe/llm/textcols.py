@@ -90,8 +90,13 @@ BYTES = Rolling(0xD6E8FEB86659FD91)
 WORDS = Rolling(0xA0761D6478BD642D)
 WORDS_B = Rolling(0xE7037ED1A0B428D9)
 
-_SEP = np.zeros(256, dtype=bool)
-_SEP[[0x20, *range(0x09, 0x0E)]] = True
+# Kinds of bytes: 0 separates, and a word ends where the kind changes. WORD knows one kind of
+# word; LETTERS tells letters, digits and all beyond ASCII from other signs.
+WORD = np.ones(256, dtype=np.uint8)
+WORD[[0x20, *range(0x09, 0x0E)]] = 0
+LETTERS = WORD * 2
+for _lo, _hi in ((0x30, 0x3A), (0x41, 0x5B), (0x61, 0x7B), (0x80, 0x100)):
+    LETTERS[_lo:_hi] = 1
 
 
 def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -123,15 +128,19 @@ def row_groups(offsets: np.ndarray, most: int = GROUP_BYTES) -> Iterator[tuple[i
 
 class Words:
     """Words of a group of rows: ``start``/``end`` byte positions, ``row`` of each word and
-    ``first`` (word index at which each row starts, one more at the end)."""
+    ``first`` (word index at which each row starts, one more at the end). ``kinds`` is WORD
+    unless another table of byte kinds is given."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, extra_break: np.ndarray | None = None):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray | None = None):
+        kinds = WORD if kinds is None else kinds
         self.data, self.offsets = data, offsets
-        inside = ~_SEP[data]
+        kind = kinds[data]
+        inside = kind > 0
+        change = kind[1:] != kind[:-1]
         begin = inside.copy()
-        begin[1:] &= ~inside[:-1]
+        begin[1:] &= change
         finish = inside.copy()
-        finish[:-1] &= ~inside[1:]
+        finish[:-1] &= change
         edges = offsets[1:-1]
         edges = edges[(edges > 0) & (edges < len(data))]
         begin[edges[inside[edges]]] = True
