@@ -90,10 +90,26 @@ def op6_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "start", F.col("m").alias("n_words"), "similarity")
 
 
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskframe.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskframe.llm.chat import rotate
+
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
+    return rotate(table(spark, sf_dir, "conversations")).withColumn("spans", spans)
+
+
 def _oracles() -> None:
-    from riskframe.llm import line_dedup, warc
+    from riskframe.llm import chat, line_dedup, warc
 
     ORACLES["op3_line_windows"] = line_dedup.ORACLE
+    ORACLES["op7_perspectives"] = chat.ORACLE
     ORACLES["op9_archive"] = warc.ORACLE
 
 
