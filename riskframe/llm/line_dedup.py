@@ -55,7 +55,9 @@ def removed_lines(docs: DataFrame, size: int = 3) -> DataFrame:
     w = written(windows(docs, size), "line-windows")
     place = F.struct("doc_id", "text_key", "at")
     first = w.groupBy("a", "b").agg(F.count(F.lit(1)).alias("held"), F.min(place).alias("first")).where("held > 1")
-    later = w.join(first.drop("held"), ["a", "b"]).where(~place.eqNullSafe(F.col("first")))
+    # written: a join of two plain tables is one that adaptive execution can split at a hot key
+    first = written(first.drop("held"), "first-places")
+    later = w.join(first, ["a", "b"]).where(~place.eqNullSafe(F.col("first")))
     covered = F.sequence(F.col("at"), F.col("at") + size - 1)
     return later.groupBy("doc_id", "text_key").agg(F.array_distinct(F.flatten(F.collect_list(covered))).alias("gone"))
 

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm.shared import need
+from riskframe.llm.shared import need, written
 
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"  # fixed values: RFC 4648
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value: WARC/1.1
@@ -63,7 +63,9 @@ def write_archive(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z
         F.max("page_id").alias("response_id"), F.min("n_bytes").alias("n_min"), F.max("n_bytes").alias("n_max")
     ).withColumn("sha256", F.when(F.col("n_min") == F.col("n_max"), F.col("sha256")).otherwise(
         F.raise_error(F.lit("payloads of different lengths share a SHA-256"))))
-    joined = heads.join(first.select("sha256", "response_id"), "sha256")
+    # written: a join of two plain tables is one that adaptive execution can split at a hot digest
+    first = written(first.select("sha256", "response_id"), "responses")
+    joined = heads.join(first, "sha256")
     is_response = F.col("page_id").eqNullSafe(F.col("response_id")) | (F.col("n_bytes") < least)
     url = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
     header = F.concat(
