@@ -8,13 +8,13 @@ by template and diagonal (document position minus template position); a local al
 the words in a band around each group's diagonals, with matches, mismatches and gaps, gives
 the matched part: ``coverage`` (share of the template's words matched), word and character
 spans in the document and word span in the template. Of matches that overlap in a document
-the one with the longest span stays.
+the one with most words matched stays.
 
 Templates are a parameter of the job, not a table: the index is built from them in each task
 and holds one entry for every few template words. Documents are scanned where they are read,
 with no shuffle; one document's alignments are the largest unit of work.
 
-Null and empty texts have no match. Templates under GRAM words are one gram. Equal rows have
+Null and empty texts have no match. Templates under GRAM words are refused. Equal rows have
 equal matches. Extra columns are ignored; an empty table gives an empty result.
 """
 
@@ -86,8 +86,6 @@ def fingerprints(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.n
     """Hash, word position and row of the winnowed grams."""
     at, row = window_starts(first, GRAM)
     grams = window_hashes(words, at, GRAM)
-    count = np.diff(first)
-    short = np.flatnonzero((count > 0) & (count < GRAM))
     keep = np.zeros(len(at), dtype=bool)
     if len(at) >= WINNOW:
         sel = np.arange(len(at) - WINNOW + 1)
@@ -97,9 +95,7 @@ def fingerprints(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.n
         keep[best[row[sel] == row[sel + WINNOW - 1]]] = True
     few = np.diff(np.searchsorted(row, np.arange(len(first)))) < WINNOW
     keep |= few[row]  # rows with fewer grams than a winnowing window keep them all
-    own = window_hashes(words, first[:-1][short], count[short])
-    return (np.concatenate([grams[keep], own]), np.concatenate([at[keep], first[:-1][short]]),
-            np.concatenate([row[keep], short]))
+    return grams[keep], at[keep], row[keep]
 
 
 class Index:
@@ -172,7 +168,7 @@ def align(doc: np.ndarray, template: np.ndarray, low: int, high: int) -> tuple[i
 
 
 def _matches(doc: np.ndarray, index: Index, at: np.ndarray, entry: np.ndarray, least: float) -> list[tuple]:
-    """(template, coverage, document span, template span) of one document's hits."""
+    """(template, coverage, document span, template span, words matched) of one document's hits."""
     out = []
     t, diagonal = index.row[entry], at - index.at[entry]
     order = np.lexsort((at, diagonal, t))
@@ -186,15 +182,15 @@ def _matches(doc: np.ndarray, index: Index, at: np.ndarray, entry: np.ndarray, l
         _, pairs = align(part, template, int(diagonal[a]) - lo - BAND, int(diagonal[b - 1]) - lo + BAND)
         coverage = len(pairs) / len(template)
         if pairs and coverage >= least:
-            out.append((int(t[a]), coverage, lo + pairs[0][0], lo + pairs[-1][0] + 1, pairs[0][1], pairs[-1][1] + 1))
+            out.append((int(t[a]), coverage, lo + pairs[0][0], lo + pairs[-1][0] + 1, pairs[0][1], pairs[-1][1] + 1, len(pairs)))
     return out
 
 
 def distinct_spans(found: list[tuple]) -> list[tuple]:
-    """Of matches that overlap in the document, the one with the longest span (then the
+    """Of matches that overlap in the document, the one with most words matched (then the
     best covered, then the first template)."""
     kept: list[tuple] = []
-    for m in sorted(found, key=lambda m: (m[2] - m[3], -m[1], m[0])):
+    for m in sorted(found, key=lambda m: (-m[6], -m[1], m[0])):
         if all(m[3] <= k[2] or k[3] <= m[2] for k in kept):
             kept.append(m)
     return sorted(kept, key=lambda m: m[2])
@@ -230,7 +226,7 @@ def _scan_batches(templates: Mapping[str, str], least: float):
                     r = row[x]
                     first, last = tokens.first[r], tokens.first[r + 1]
                     found = _matches(tokens.hash[first:last], index, at[x:y] - first, entry[x:y], least)
-                    for t, coverage, a, b, ta, tb in distinct_spans(found):
+                    for t, coverage, a, b, ta, tb, _ in distinct_spans(found):
                         chars = [len(own[bounds[r]: z].tobytes().decode()) for z in (tokens.start[first + a], tokens.end[first + b - 1])]
                         rows.append((ids[lo + int(r)].as_py(), index.names[t], coverage, a, b, *chars, ta, tb, len(index.words[t])))
                 yield pa.RecordBatch.from_pylist([dict(zip(schema.names, x)) for x in rows], schema=schema)
@@ -241,5 +237,8 @@ def _scan_batches(templates: Mapping[str, str], least: float):
 def scan_licenses(docs: DataFrame, templates: Mapping[str, str] | None = None, coverage: float = 0.8) -> DataFrame:
     """One row per matched part: document, template, coverage and spans."""
     need(docs, "doc_id", "text")
+    templates = dict(TEMPLATES if templates is None else templates)
+    if any(len(w) < GRAM for w in Index(templates).words):
+        raise ValueError(f"a template needs {GRAM} words")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return map_arrow(rows, _scan_batches(dict(TEMPLATES if templates is None else templates), coverage), MATCHES)
+    return map_arrow(rows, _scan_batches(templates, coverage), MATCHES)

@@ -157,36 +157,38 @@ def _taken(pick: np.ndarray, lengths: np.ndarray, room: int, conf: dict[int, int
 
 
 def configuration_lp(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int,
-                     epsilon: float = 0.25, most: int = 128) -> tuple[list, np.ndarray]:
+                     step: float = 0.25, slack: float = 0.02) -> tuple[list, np.ndarray]:
     """Multiplicative weights: [(configuration, fractional count)], and how many times over
     each length's count they serve it.
 
-    A round prices configurations by the present weights with one knapsack: the best one
-    for each length it may begin with. Those within ``epsilon`` of the best price (at most
-    ``most``) are used until the length they serve most has ``epsilon`` of its count more, unless
-    the round has served all of its lengths already; weights fall exponentially with how far a length has been served. Ends when every
-    length is served once; the counts are then scaled to exactly that."""
+    The weight of a length is its price in the dual program. It begins with its share of the
+    capacity, which is what it costs if nothing is wasted, and falls exponentially with how
+    far the length has been served. A round prices configurations with one knapsack: the best
+    one for each length it may begin with, the least served first. Those within ``slack`` of
+    the best price are used, each until a length in it has been served ``step`` of its count
+    more in this round. Ends when every length has been served ``enough`` times over."""
+    enough = 4.0
     served = np.zeros(len(lengths))
     place = {int(n): i for i, n in enumerate(lengths)}
     used: dict[tuple, float] = {}
     for _ in range(rounds):
-        weights = np.exp(-(served - served.min()) / epsilon) / counts
+        weights = lengths / capacity * np.exp(-(served - served.min()))
         best, pick = knapsack(lengths, weights, capacity)
         price = weights + best[capacity - lengths]
-        good = np.flatnonzero(price >= (1 - epsilon) * price.max())
-        begun = served.copy()
-        for i in good[np.argsort(-price[good], kind="stable")][:most]:
+        until = served + step
+        for i in np.argsort(served, kind="stable"):
+            if price[i] < (1 - slack) * price.max():
+                continue
             n = int(lengths[i])
             conf = _taken(pick, lengths, capacity - n, {n: 1})
             at = np.array([place[m] for m in conf])
-            if (served[at] > begun[at]).all():
-                continue
             per = np.array([conf[m] for m in conf]) / counts[at]
-            amount = epsilon / per.max()
-            served[at] += amount * per
-            key = tuple(sorted(conf.items(), reverse=True))
-            used[key] = used.get(key, 0.0) + amount
-        if served.min() >= 1.0:
+            amount = float(((until[at] - served[at]) / per).min())
+            if amount > 1e-9:
+                served[at] += amount * per
+                key = tuple(sorted(conf.items(), reverse=True))
+                used[key] = used.get(key, 0.0) + amount
+        if served.min() >= enough:
             break
     return [(dict(k), v) for k, v in used.items()], served
 
@@ -224,7 +226,7 @@ def fullest(lengths: np.ndarray, left: np.ndarray, capacity: int) -> dict[int, i
     return conf
 
 
-def packing_plan(histogram: dict[int, int], capacity: int, rounds: int = 80) -> list[tuple[dict[int, int], int]]:
+def packing_plan(histogram: dict[int, int], capacity: int, rounds: int = 60) -> list[tuple[dict[int, int], int]]:
     """Configurations with whole counts that place every piece exactly once."""
     lengths = np.array(sorted(histogram), dtype=np.int64)
     if not len(lengths):
@@ -290,7 +292,7 @@ def _placer(ranges: np.ndarray):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, rounds: int = 80) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, rounds: int = 60) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     cut = written(pieces(docs, tokenizer, capacity), "pieces")
     histogram = {int(r["length"]): int(r["n"]) for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
