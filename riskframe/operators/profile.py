@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from riskframe.plans.broadcast import bounded_broadcast
+from riskframe.plans.materialize import cut
 from riskframe.plans.quantiles import exact_quantiles
 
 ROUND = 6
@@ -171,9 +172,10 @@ def histogram(lf: DataFrame, bins: int | dict, keys: Sequence[str] = ("feature",
         "_lo": F.when(F.col("_lo") == F.col("_hi"), F.col("_lo") - 0.5).otherwise(F.col("_lo")),
         "_hi": F.when(F.col("_lo") == F.col("_hi"), F.col("_hi") + 0.5).otherwise(F.col("_hi")),
     })
-    # one row per key (features x classes here); the key count is not known before
-    # running, so the broadcast decision is left to AQE's runtime size check
-    j = lf.where(F.col("value").isNotNull()).join(stats, keys)
+    # one row per key (features x classes): written once, counted, and broadcast by its count,
+    # so the long form is never shuffled by its few hot keys
+    stats = cut(stats, "histogram-ranges")
+    j = lf.where(F.col("value").isNotNull()).join(bounded_broadcast(stats, stats.count()), keys)
     width = (F.col("_hi") - F.col("_lo")) / F.col("_nb")
     b = F.least(F.floor((F.col("value") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.col("_nb")),
                 F.col("_nb") - 1).cast("int")

@@ -10,8 +10,8 @@ whole column goes through one task. Instead:
    through a window over that small table;
 4. a window partitioned by (key, bucket) adds its local running sum to the offset.
 
-The number of buckets grows with the largest key so no bucket exceeds
-``rows_per_bucket`` rows (up to ``max_buckets``); small inputs use one bucket.
+The number of buckets grows with the largest key so no bucket exceeds about
+``rows_per_bucket`` rows; small inputs use one bucket.
 """
 
 from __future__ import annotations
@@ -23,14 +23,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.search import count_below
-from riskframe.plans.broadcast import bounded_broadcast
+from riskframe.plans.broadcast import MAX_BROADCAST_ROWS, bounded_broadcast
 from riskframe.plans.materialize import keep
 
 DEFAULT_ROWS_PER_BUCKET = 2_000_000
-DEFAULT_MAX_BUCKETS = 1 << 16
-MAX_KEYS = 200_000
-
-
+DEFAULT_MAX_BUCKETS = 1 << 30  # in effect none: buckets follow the rows
+SALTS = 64
 MIN_ROWS_PER_BUCKET = 200_000
 
 
@@ -43,6 +41,15 @@ def bucket_count(max_rows: int, rows_per_bucket: int, max_buckets: int, parallel
     return int(min(max_buckets, max(1, by_size, by_cores)))
 
 
+def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on keys that may be NULL; the left side's columns stay."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(renamed, cond).drop(*(f"_r_{k}" for k in keys))
+
+
 def ordered_prefix(
     df: DataFrame,
     keys: Sequence[str],
@@ -80,20 +87,26 @@ def ordered_prefix(
         stats = work.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         row = stats.agg(F.max("_n").alias("m"), F.count(F.lit(1)).alias("k")).first()
         max_n, n_keys = int(row["m"] or 0), int(row["k"] or 0)
-    if n_keys > MAX_KEYS:
-        raise ValueError(f"ordered_prefix: {n_keys} keys exceed the bound {MAX_KEYS}")
     n_buckets = bucket_count(max_n, rows_per_bucket, max_buckets, df.sparkSession.sparkContext.defaultParallelism)
 
     if n_buckets == 1:
         work = work.withColumn("_b", F.lit(0))
     else:
         probs = [i / n_buckets for i in range(1, n_buckets)]
-        accuracy = max(10_000, 20 * n_buckets)
-        cuts = work.groupBy(*keys).agg(
-            F.percentile_approx(order_col, probs, accuracy).alias("_cuts")
-        )
-        # one row per key holding n_buckets - 1 cut values: bounded by n_keys * n_buckets values
-        work = work.join(bounded_broadcast(cuts, n_keys * n_buckets), keys)
+        # cuts only balance the buckets, so they may be rough. Sketches of a hot key are not
+        # merged in one task: each salt of a key gives evenly spaced values, those give the cuts
+        salt = F.pmod(F.xxhash64(order_col), F.lit(SALTS)).cast("int")
+        steps = [i / (4 * n_buckets) for i in range(1, 4 * n_buckets)]
+        part = work.groupBy(*keys, salt.alias("_sl")).agg(F.percentile_approx(order_col, steps, 1000).alias("_v"))
+        cuts = part.select(*keys, F.explode("_v").alias("_v")).groupBy(*keys).agg(
+            F.percentile_approx("_v", probs, max(1000, 4 * n_buckets)).alias("_cuts"))
+        # one row per key holding n_buckets - 1 cut values: bounded by n_keys * n_buckets values.
+        # Beyond the bound the keys are salted on both sides, so that a hot key is spread
+        if n_keys * n_buckets <= MAX_BROADCAST_ROWS:
+            work = _join_keys(work, F.broadcast(cuts), keys)
+        else:
+            salted = cuts.withColumn("_sl", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+            work = _join_keys(work.withColumn("_sl", salt), salted, [*keys, "_sl"]).drop("_sl")
         work = work.withColumn(
             "_b", count_below(F.col("_cuts"), F.col(order_col).cast("double"), n_buckets - 1)
         ).drop("_cuts")
@@ -113,7 +126,7 @@ def ordered_prefix(
         off_cols += [F.sum(f"_t_{c}").over(kw).alias(f"tot_{c}") for c in sum_cols]
     offsets = totals.select(*keys, "_b", *off_cols)
 
-    work = work.join(bounded_broadcast(offsets, n_keys * n_buckets), [*keys, "_b"])
+    work = _join_keys(work, bounded_broadcast(offsets, n_keys * n_buckets), [*keys, "_b"])
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w = Window.partitionBy(*keys, "_b").orderBy(order)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

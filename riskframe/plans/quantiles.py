@@ -26,19 +26,14 @@ def exact_quantiles(long_df: DataFrame, keys: Sequence[str], value_col: str, pro
         .agg(F.count(F.lit(1)).alias("_c"))
     )
     cur = ordered_prefix(cnt, keys, "_v", ["_c"], descending=False, with_totals=True)
-    pos = F.col("p") * (F.col("tot__c") - 1).cast("double")
     first = F.col("cum__c") - F.col("_c")  # 0-based rank of this value's first copy
     last = F.col("cum__c") - 1
-    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    exploded = cur.select(*keys, "_v", first.alias("_first"), last.alias("_last"), "tot__c",
-                          F.explode(probs_arr).alias("p"))
-    lo, hi = F.floor(pos), F.ceil(pos)
-    hit_lo = (lo >= F.col("_first")) & (lo <= F.col("_last"))
-    hit_hi = (hi >= F.col("_first")) & (hi <= F.col("_last"))
-    picked = exploded.where(hit_lo | hit_hi).groupBy(*keys, "p").agg(
-        F.max(F.when(hit_lo, F.col("_v"))).alias("_vlo"),
-        F.max(F.when(hit_hi, F.col("_v"))).alias("_vhi"),
-        F.max(pos).alias("_pos"),
-    )
-    frac = F.col("_pos") - F.floor(F.col("_pos"))
-    return picked.select(*keys, "p", (F.col("_vlo") + frac * (F.col("_vhi") - F.col("_vlo"))).alias("q"))
+    aggs = []
+    for k, p in enumerate(probs):  # one aggregate row per key; no row is multiplied
+        pos = F.lit(float(p)) * (F.col("tot__c") - 1).cast("double")
+        at = lambda r: F.max(F.when((r >= first) & (r <= last), F.col("_v")))
+        aggs += [at(F.floor(pos)).alias(f"_lo{k}"), at(F.ceil(pos)).alias(f"_hi{k}"), F.max(pos - F.floor(pos)).alias(f"_f{k}")]
+    one = cur.groupBy(*keys).agg(*aggs)
+    rows = F.array(*(F.struct(F.lit(float(p)).alias("p"), (F.col(f"_lo{k}") + F.col(f"_f{k}") * (F.col(f"_hi{k}") - F.col(f"_lo{k}"))).alias("q"))
+                     for k, p in enumerate(probs)))
+    return one.select(*keys, F.explode(rows).alias("_r")).select(*keys, "_r.p", "_r.q")
