@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from riskframe.functions.exprs import clip
+from riskframe.functions.exprs import clip, nan_to_null
 from riskframe.functions.hashing import hash_normal, hash_uniform
 from riskframe.plans.broadcast import bounded_broadcast
 from riskframe.plans.prefix import ordered_prefix
@@ -38,12 +38,12 @@ DRIFT_TYPES = ("mean_shift", "scale_change", "corruption", "missing")
 
 
 def _long(df: DataFrame, features: Sequence[str], side: int) -> DataFrame:
-    cast = df.select(*[F.col(c).cast("double").alias(c) for c in features])
+    cast = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in features])
     return cast.unpivot([], list(features), "feature", "value").withColumn("side", F.lit(side))
 
 
 def side_by_side(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
-    """``(feature, value, side)`` for both frames, NULL values dropped."""
+    """``(feature, value, side)`` for both frames, NULL and NaN values dropped."""
     return _long(reference, features, 0).unionByName(_long(current, features, 1)).where(F.col("value").isNotNull())
 
 
@@ -154,13 +154,13 @@ def default_features(df: DataFrame, target_col: str | None = "Class", id_col: st
 def detect_data_drift(reference: DataFrame, current: DataFrame, target_col: str | None = None,
                       numerical_features: Sequence[str] | None = None,
                       categorical_features: Sequence[str] | None = None,
-                      threshold: float = 0.05, share_threshold: float = 0.5, rule: str = "share",
+                      threshold: float = 0.05, share_threshold: float = 0.5, rule: str = "any",
                       id_col: str | None = "txn_id") -> tuple[DataFrame, DataFrame]:
     """``(summary, detail)``.
 
     ``detail``: one row per feature (``feature, kind, statistic, p_value, drift``).
-    ``summary``: the 8-field record; ``rule='share'`` flags the dataset when the
-    drifted share exceeds ``share_threshold``, ``rule='any'`` when any feature drifts.
+    ``summary``: the 8-field record; ``rule='any'`` flags the dataset when any feature
+    drifts, ``rule='share'`` when the drifted share exceeds ``share_threshold``.
     The target is excluded everywhere.
     """
     num = list(numerical_features) if numerical_features is not None else default_features(reference, target_col, id_col)
@@ -185,7 +185,8 @@ def detect_data_drift(reference: DataFrame, current: DataFrame, target_col: str
     for p_ in parts[1:]:
         detail = detail.unionByName(p_)
     total = len(num) + len(cat)
-    n_ref, n_cur = reference.count(), current.count()
+    one = lambda r, c: (F.lit(r).cast("long").alias("r"), F.lit(c).cast("long").alias("c"))
+    rows = reference.select(*one(1, 0)).union(current.select(*one(0, 1))).agg(F.sum("r").alias("r"), F.sum("c").alias("c")).first()
     agg = detail.agg(
         F.count_if("drift").alias("num_drifted_features"),
         F.sort_array(F.collect_list(F.when(F.col("drift"), F.col("feature")))).alias("drifted_features"),
@@ -198,7 +199,7 @@ def detect_data_drift(reference: DataFrame, current: DataFrame, target_col: str
         F.lit(total).cast("int").alias("total_features"),
         F.lit(float(threshold)).alias("drift_threshold"),
         F.round(share, ROUND).alias("drift_share"),
-        F.lit(n_ref).cast("long").alias("reference_rows"), F.lit(n_cur).cast("long").alias("current_rows"),
+        F.lit(int(rows["r"] or 0)).cast("long").alias("reference_rows"), F.lit(int(rows["c"] or 0)).cast("long").alias("current_rows"),
     )
     return summary, detail
 
@@ -217,7 +218,7 @@ def _norm_sf(z: F.Column) -> F.Column:
 
 def _check(drift_type: str):
     if drift_type not in DRIFT_TYPES:
-        raise ValueError(f"Unknown drift_type: {drift_type}")
+        raise ValueError(f"{drift_type!r} is none of {', '.join(DRIFT_TYPES)}")
 
 
 def simulate_drift(df: DataFrame, drift_type: str = "mean_shift", magnitude: float = 0.5,

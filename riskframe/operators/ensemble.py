@@ -20,9 +20,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.operators.metrics import ranking_metrics
+from riskframe.operators.metrics import ranking_metrics, scored_rows
 from riskframe.operators.score import decide
-from riskframe.plans.materialize import keep
+from riskframe.plans.materialize import cut, keep
 
 AP_TIE_DIGITS = 9
 
@@ -36,7 +36,7 @@ def base_scores(df: DataFrame, scorers: Sequence[tuple[str, Transformer]]) -> Da
 
 
 def weight_grid(n_models: int, n_steps: int = 21) -> list[list[float]]:
-    """The reference's grid: 2 models ``w0 in linspace(0,1,n)``; 3 models ``w1 in
+    """Fixed values, the grid of the reference: 2 models ``w0 in linspace(0,1,n)``; 3 models ``w1 in
     linspace(0, 1-w0, n)`` (n^2 points); otherwise one equal-weight point."""
     if n_models == 2:
         return [[float(w0), float(1.0 - w0)] for w0 in np.linspace(0, 1, n_steps)]
@@ -54,6 +54,8 @@ def blend_grid_ap(df: DataFrame, score_cols: Sequence[str], label_col: str = "Cl
     """E5 search table: ``(weight_id, w0.., pr_auc)`` for every grid point."""
     grid = weight_grid(len(score_cols), n_steps)
     y = F.col(label_col).cast("long")
+    for c in score_cols:  # a row without one of the scores has no blend
+        df = scored_rows(df, label_col, c)
     tuples = df.groupBy(*score_cols).agg(F.sum(y).alias("_tp"), F.sum(1 - y).alias("_fp"))
     # the explode below multiplies every tuple by the grid size: spread the (already
     # de-duplicated) tuples over all cores first; AQE would otherwise coalesce a small
@@ -123,7 +125,7 @@ class BlendingEnsemble:
 
     def predict_proba(self, df: DataFrame, out_col: str = "score") -> DataFrame:
         if self.weights_ is None:
-            raise RuntimeError("BlendingEnsemble is not fitted. Call fit() first.")
+            raise RuntimeError("blend: not fitted")
         return blend_score(df, self.score_cols, self.weights_, out_col)
 
     def predict(self, df: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -167,12 +169,12 @@ class StackingEnsemble:
     def base_weights_(self) -> dict[str, float]:
         """Meta coefficient per base score column."""
         if self.model_ is None:
-            raise RuntimeError("StackingEnsemble is not fitted. Call fit() first.")
+            raise RuntimeError("stack: not fitted")
         return dict(zip(self.score_cols, self.model_.coefficients.toArray().tolist()))
 
     def predict_proba(self, df: DataFrame, out_col: str = "score") -> DataFrame:
         if self.model_ is None:
-            raise RuntimeError("StackingEnsemble is not fitted. Call fit() first.")
+            raise RuntimeError("stack: not fitted")
         x = VectorAssembler(inputCols=self.score_cols, outputCol="_meta_x").transform(df)
         out = self.model_.transform(x).withColumn(out_col, vector_to_array(F.col("probability"))[1])
         return out.drop("_meta_x", "rawPrediction", "probability", "prediction")
@@ -189,7 +191,8 @@ def oof_base_scores(train_df: DataFrame, fit_fns: Sequence[tuple[str, object]],
     """
     from riskframe.operators.split import kfold_assign
 
-    folded = kfold_assign(train_df, k=k, id_col=id_col, target_col=label_col, seed=seed)
+    # every fold is read by one fit and one scoring
+    folded = cut(kfold_assign(train_df, k=k, id_col=id_col, target_col=label_col, seed=seed), "folds")
     parts = []
     for f in range(k):
         held = folded.where(F.col("fold") == f)

@@ -20,7 +20,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.functions.exprs import zero_div
+from riskframe.functions.exprs import nan_to_null, zero_div
 from riskframe.plans.prefix import ordered_prefix
 
 ROUND = 6
@@ -30,12 +30,17 @@ def _label(label_col: str):
     return F.col(label_col).cast("long")
 
 
+def scored_rows(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
+    """Rows that every metric counts: those with a label and a score (NaN is no score)."""
+    return df.where(F.col(label_col).isNotNull() & nan_to_null(F.col(score_col).cast("double")).isNotNull())
+
+
 def confusion(df: DataFrame, label_col: str = "Class", score_col: str = "score", threshold: float = 0.5,
               keys: Sequence[str] = ()) -> DataFrame:
     """M1: all four cells (zeros included) per key: ``actual, predicted, count``."""
     y = _label(label_col)
     p = (F.col(score_col) >= F.lit(float(threshold))).cast("long")
-    cells = df.groupBy(*keys).agg(
+    cells = scored_rows(df, label_col, score_col).groupBy(*keys).agg(
         F.sum(F.when((y == 0) & (p == 0), 1).otherwise(0)).alias("c00"),
         F.sum(F.when((y == 0) & (p == 1), 1).otherwise(0)).alias("c01"),
         F.sum(F.when((y == 1) & (p == 0), 1).otherwise(0)).alias("c10"),
@@ -52,7 +57,7 @@ def threshold_metrics(df: DataFrame, label_col: str = "Class", score_col: str =
     """M2: precision, recall and F1 at ``score >= threshold``; 0 on empty denominators."""
     y = _label(label_col)
     p = (F.col(score_col) >= F.lit(float(threshold))).cast("long")
-    c = df.groupBy(*keys).agg(
+    c = scored_rows(df, label_col, score_col).groupBy(*keys).agg(
         F.sum(y * p).alias("tp"), F.sum((1 - y) * p).alias("fp"), F.sum(y * (1 - p)).alias("fn")
     )
     return c.select(
@@ -68,13 +73,13 @@ def score_curve(df: DataFrame, label_col: str = "Class", score_col: str = "score
                 keys: Sequence[str] = (), **prefix_kw) -> DataFrame:
     """Per key and distinct score (descending): ``tp, fp, cum_tp, cum_fp, tot_tp, tot_fp``.
 
-    The heart of M3-M6. Rows with a NULL score or label are not ranked. Ties are
+    The heart of M3-M6. Rows with a NULL or NaN score or a NULL label are not ranked. Ties are
     collapsed by a partial (map-side) aggregation, so a score value shared by a
     third of the rows is one row before the shuffle.
     """
     y = _label(label_col)
     agg = (
-        df.where(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
+        scored_rows(df, label_col, score_col)
         .groupBy(*keys, F.col(score_col).cast("double").alias("score"))
         .agg(F.sum(y).alias("tp"), F.sum(1 - y).alias("fp"))
     )
@@ -156,8 +161,11 @@ def evaluate(df: DataFrame, label_col: str = "Class", score_col: str = "score",
     if not k:
         df, k = df.withColumn("_all", F.lit(0)), ["_all"]
     curve = score_curve(df, label_col, score_col, k)
-    out = ranking_metrics(curve, k).join(threshold_metrics(df, label_col, score_col, threshold, k), k)
-    return out.drop("_all")
+    at = threshold_metrics(df, label_col, score_col, threshold, k).withColumnsRenamed({c: f"_k_{c}" for c in k})
+    cond = F.lit(True)
+    for c in k:  # a model whose key is NULL has a row too
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    return ranking_metrics(curve, k).join(at, cond).drop("_all", *(f"_k_{c}" for c in k))
 
 
 def leaderboard(results: DataFrame) -> DataFrame:

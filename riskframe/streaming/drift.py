@@ -10,8 +10,6 @@ broadcast).
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,18 +35,24 @@ def reference_shares(reference: DataFrame, value_col: str, lo: float, hi: float,
     return full.select("bin", (F.col("count") / tot).alias("p_ref"))
 
 
-def start_window_counts(stream: DataFrame, ts_col: str, value_col: str, lo: float, hi: float, out_dir: str,
-                        checkpoint: str, window: str = "1 day", watermark: str = "1 day",
-                        bins: int = PSI_BINS, available_now: bool = True):
-    """Streaming (window, bin) counts, appended to parquet at ``out_dir`` as windows close."""
-    ev = stream.select(F.col(ts_col).cast("timestamp").alias("ts"), F.col(value_col).cast("double").alias("v"))
-    counts = (
+def window_counts(events: DataFrame, ts_col: str, value_col: str, lo: float, hi: float, window: str = "1 day",
+                  watermark: str = "1 day", bins: int = PSI_BINS) -> DataFrame:
+    """(window, bin) counts of a stream, or of a table (whose windows are all open)."""
+    ev = events.select(F.col(ts_col).cast("timestamp").alias("ts"), F.col(value_col).cast("double").alias("v"))
+    return (
         ev.where(F.col("v").isNotNull())
         .withWatermark("ts", watermark)
         .groupBy(F.window("ts", window).alias("w"), _bin(F.col("v"), lo, hi, bins).alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "bin", "n")
     )
+
+
+def start_window_counts(stream: DataFrame, ts_col: str, value_col: str, lo: float, hi: float, out_dir: str,
+                        checkpoint: str, window: str = "1 day", watermark: str = "1 day",
+                        bins: int = PSI_BINS, available_now: bool = True):
+    """Streaming (window, bin) counts, appended to parquet at ``out_dir`` as windows close."""
+    counts = window_counts(stream, ts_col, value_col, lo, hi, window, watermark, bins)
     w = counts.writeStream.outputMode("append").format("parquet").option("path", out_dir) \
         .option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
@@ -57,8 +61,13 @@ def start_window_counts(stream: DataFrame, ts_col: str, value_col: str, lo: floa
 
 def window_psi(spark: SparkSession, counts_dir: str, ref_shares: DataFrame, bins: int = PSI_BINS,
                eps: float = PSI_EPS) -> DataFrame:
-    """PSI per emitted window: ``sum (c - r) ln(c / r)`` with shares floored at ``eps``."""
-    c = spark.read.parquet(counts_dir)
+    """PSI per emitted window."""
+    return psi_of_counts(spark.read.parquet(counts_dir), ref_shares, bins, eps)
+
+
+def psi_of_counts(c: DataFrame, ref_shares: DataFrame, bins: int = PSI_BINS, eps: float = PSI_EPS) -> DataFrame:
+    """PSI per window of (window, bin) counts: ``sum (c - r) ln(c / r)``, shares floored at ``eps``."""
+    c = c.select("window_start", "window_end", "bin", "n")
     wins = c.select("window_start", "window_end").distinct()
     grid = wins.select("window_start", "window_end", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     full = grid.join(c, ["window_start", "window_end", "bin"], "left").fillna(0, ["n"]) \
@@ -70,7 +79,3 @@ def window_psi(spark: SparkSession, counts_dir: str, ref_shares: DataFrame, bins
     return j.groupBy("window_start", "window_end").agg(
         F.round(F.sum((pc - pr) * F.log(pc / pr)), 6).alias("psi"), F.sum("n").cast("long").alias("rows")
     )
-
-
-def counts_path(base: str) -> str:
-    return os.path.join(base, "window_counts")

@@ -43,12 +43,14 @@ def stream_score(
     kw = {} if required is None else {"required": required}
 
     def batch(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()  # both tables are written from one read of the source
         valid, quarantine = validate(df, non_negative=non_negative, **kw)
         x = features.transform(valid) if features is not None else valid
         scored = decide(scorer.transform(x), threshold, model_name, model_version)
         cols = [id_col, "is_fraud", "fraud_probability", "threshold", "model_name", "model_version"]
         scored.select(*cols).write.mode("overwrite").parquet(os.path.join(out_dir, "scored", f"batch_id={batch_id}"))
         quarantine.write.mode("overwrite").parquet(os.path.join(out_dir, "quarantine", f"batch_id={batch_id}"))
+        df.unpersist()
 
     w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
