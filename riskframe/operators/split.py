@@ -1,6 +1,6 @@
 """Exact, repeatable stratified splits and fold assignment.
 
-The split is a pure function of (id, seed, class sizes), computed by the hash rank
+The split is a pure function of (id, seed, class sizes), computed by the hash cut
 plan: the first ``round(test_size * n_c)`` rows of class ``c`` in hash order go to
 ``test``, the next ``round(val_size * (n_c - n_test))`` to ``val``, the rest to
 ``train``. Val is a fraction of the *remaining* rows, so defaults give 64/16/20.
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.plans.hashrank import stratified_hash_rank
+from riskframe.plans.hashcuts import assign_by_rank
 
 SPLITS = ("train", "val", "test")
 
@@ -28,26 +28,24 @@ def assign_split(
 ) -> DataFrame:
     """Add ``split`` ('train' | 'val' | 'test'); all other columns unchanged."""
     strata = [target_col] if stratify else []
-    ranked = stratified_hash_rank(df, strata, id_col, seed)
-    n = F.col("_n").cast("double")
-    n_test = F.round(F.lit(float(test_size)) * n).cast("long")
-    n_val = F.round(F.lit(float(val_size)) * (n - n_test.cast("double"))).cast("long")
-    split = (
-        F.when(F.col("_rank") <= n_test, "test")
-        .when(F.col("_rank") <= n_test + n_val, "val")
-        .otherwise("train")
-    )
-    return ranked.withColumn("split", split).drop("_rank", "_n")
+
+    def ranks(n):
+        n = n.cast("double")
+        n_test = F.round(F.lit(float(test_size)) * n)
+        return [n_test, n_test + F.round(F.lit(float(val_size)) * (n - n_test))]
+
+    out = assign_by_rank(df, strata, id_col, seed, ranks, "_part")
+    return out.withColumn("split", F.element_at(F.array(*map(F.lit, ("test", "val", "train"))), F.col("_part") + 1)).drop("_part")
 
 
 def kfold_assign(
     df: DataFrame, k: int = 5, id_col: str = "txn_id", target_col: str = "Class", seed: int = 42,
     stratify: bool = True,
 ) -> DataFrame:
-    """T4: ``fold = (rank - 1) mod k`` within each class: balanced, stratified folds."""
+    """T4: folds are runs of the hash order of each class, cut at ``floor(n j / k)``:
+    balanced, stratified, and assigned without ranking or moving rows."""
     strata = [target_col] if stratify else []
-    ranked = stratified_hash_rank(df, strata, id_col, seed)
-    return ranked.withColumn("fold", F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int")).drop("_rank", "_n")
+    return assign_by_rank(df, strata, id_col, seed, lambda n: [F.floor(n * j / F.lit(k)) for j in range(1, k)], "fold")
 
 
 def split_summary(df: DataFrame, target_col: str = "Class") -> DataFrame:

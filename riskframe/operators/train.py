@@ -32,23 +32,23 @@ from riskframe.operators.score import ProbabilityScorer
 # Search ranges of the reference, as far as MLlib has the parameter
 # (learning rate 0.01-0.3 log; depth 3-10; min child weight 1-10 / min child samples
 # 5-100 / min data in leaf 1-50; subsample 0.5-1; column sample 0.5-1; gamma 1e-8-5 log;
-# min split gain 1e-8-1 log; border count 32-255). Depth is capped at 8 here.
+# min split gain 1e-8-1 log; border count 32-255). The second slot's depth goes to 12.
 SEARCH_SPACES = {
     "gbt": {
-        "stepSize": ("log", 0.01, 0.3), "maxDepth": ("int", 3, 8), "minInstancesPerNode": ("int", 1, 10),
-        "subsamplingRate": ("float", 0.5, 1.0), "minInfoGain": ("log", 1e-8, 5.0),
+        "stepSize": ("log", 0.01, 0.3), "maxDepth": ("int", 3, 10), "minInstancesPerNode": ("int", 1, 10),
+        "subsamplingRate": ("float", 0.5, 1.0), "featureSubsetStrategy": ("frac", 0.5, 1.0), "minInfoGain": ("log", 1e-8, 5.0),
     },
     "gbt_sub": {
-        "stepSize": ("log", 0.01, 0.3), "maxDepth": ("int", 3, 8), "minInstancesPerNode": ("int", 5, 100),
+        "stepSize": ("log", 0.01, 0.3), "maxDepth": ("int", 3, 12), "minInstancesPerNode": ("int", 5, 100),
         "subsamplingRate": ("float", 0.5, 1.0), "featureSubsetStrategy": ("frac", 0.5, 1.0),
         "minInfoGain": ("log", 1e-8, 1.0),
     },
     "rf": {
-        "maxDepth": ("int", 3, 8), "minInstancesPerNode": ("int", 1, 50), "maxBins": ("int", 32, 255),
+        "maxDepth": ("int", 3, 10), "minInstancesPerNode": ("int", 1, 50), "maxBins": ("int", 32, 255),
     },
 }
 # Rounds / early stopping / budget of the reference's configuration
-MAX_ROUNDS = 1000
+ROUNDS = 1000
 TRIALS = 50
 TIMEOUT_S = 600
 VALIDATION_TOL = 1e-4
@@ -58,12 +58,12 @@ VALIDATION_TOL = 1e-4
 class TrainConfig:
     feature_cols: Sequence[str]
     label_col: str = "Class"
-    max_iter: int = 100
+    max_iter: int = ROUNDS
     seed: int = 42
     fixed: dict = field(default_factory=dict)
 
 
-def build_model(model_type: str, params: dict | None = None, seed: int = 42, max_iter: int = 100,
+def build_model(model_type: str, params: dict | None = None, seed: int = 42, max_iter: int = ROUNDS,
                 validation_col: str | None = None):
     """Estimator factory; unknown type raises ``ValueError``."""
     params = dict(params or {})
@@ -77,7 +77,7 @@ def build_model(model_type: str, params: dict | None = None, seed: int = 42, max
         kw.update(params)
         return GBTClassifier(**kw)
     if model_type == "rf":
-        kw = dict(common, numTrees=max(10, min(max_iter, 200)))
+        kw = dict(common, numTrees=max_iter)
         kw.update(params)
         return RandomForestClassifier(**kw)
     raise ValueError(f"Unknown model type: {model_type}")
@@ -126,10 +126,10 @@ def fit_score(model_type: str, params: dict, split_df: DataFrame, cfg: TrainConf
         data = train
         est = build_model(model_type, {**cfg.fixed, **params}, cfg.seed, cfg.max_iter)
     model = est.fit(assemble(data.withColumn("weight", w), cfg.feature_cols, cfg.label_col))
-    return ProbabilityScorer(_FeaturesThen(model, cfg.feature_cols, cfg.label_col))
+    return ProbabilityScorer(FeaturesThen(model, cfg.feature_cols, cfg.label_col))
 
 
-class _FeaturesThen:
+class FeaturesThen:
     """Assemble features, then the fitted model (keeps raw columns for the caller)."""
 
     def __init__(self, model, feature_cols, label_col):

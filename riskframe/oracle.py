@@ -84,9 +84,10 @@ Q["t_split_summary"] = _with(_views("txn_lines"), _split("txn_lines", "s")) + (
 )
 Q["t_split_unstratified"] = _with(_views("txn_events"), _split("txn_events", "s", stratify=False)) + \
     "SELECT txn_id, Class, split FROM s"
-Q["t_kfold_assign"] = _with(_views("txn_events")) + (
-    f"SELECT txn_id, Class, CAST((row_number() OVER (PARTITION BY Class ORDER BY md5(CAST(txn_id AS VARCHAR) || '|{SEED}'), txn_id) - 1) % 5 AS INTEGER) AS fold "
-    "FROM txn_events"
+Q["t_kfold_assign"] = _with(_views("txn_events"), (
+    f"r AS (SELECT txn_id, Class, row_number() OVER (PARTITION BY Class ORDER BY md5(CAST(txn_id AS VARCHAR) || '|{SEED}'), txn_id) AS k, "
+    "count(*) OVER (PARTITION BY Class) AS n FROM txn_events)")) + (
+    "SELECT txn_id, Class, CAST((k > n // 5)::INT + (k > n * 2 // 5)::INT + (k > n * 3 // 5)::INT + (k > n * 4 // 5)::INT AS INTEGER) AS fold FROM r"
 )
 
 # ---------------------------------------------------------------- F
@@ -395,7 +396,7 @@ def _summary_sql(num_detail: str, cat_detail: str | None, total: int, ref: str,
     det = num_detail + (f" UNION ALL {cat_detail}" if cat_detail else "")
     stage_col = f", '{stage}' AS stage" if stage else ""
     return (
-        f"SELECT (count(*) FILTER (WHERE drift) / {float(total)!r}) > 0.5 AS dataset_drift_detected, "
+        f"SELECT (count(*) FILTER (WHERE drift) / {float(total)!r}) > 0 AS dataset_drift_detected, "
         "coalesce(string_agg(CASE WHEN drift THEN feature END, ',' ORDER BY CASE WHEN drift THEN feature END), '') AS drifted_features, "
         f"CAST(count(*) FILTER (WHERE drift) AS INTEGER) AS num_drifted_features, CAST({total} AS INTEGER) AS total_features, "
         f"CAST(0.05 AS DOUBLE) AS drift_threshold, round(count(*) FILTER (WHERE drift) / {float(total)!r}, 6) AS drift_share, "
@@ -498,6 +499,44 @@ Q["flagship"] = _chain(
 ) + "SELECT * FROM r JOIN b USING (split)"
 
 
+_lc = len(_LINE_COLS) - 1
+Q["p_separate_target"] = _with(_views("txn_lines"), _split("txn_lines", "s")) + (
+    f"SELECT split, {_lc} AS n_columns, CAST(count(*) AS BIGINT) AS rows, CAST(sum(Class) AS BIGINT) AS positives FROM s GROUP BY split")
+Q["p_drop_target"] = _chain(*_RC_PARTS, _ND) + "SELECT feature, 'numeric' AS kind, p < 0.05 AS drift FROM nd"
+Q["s_csv_roundtrip"] = _with(_views("txn")) + 'SELECT "Time", round(V1, 6) AS V1, round(V28, 6) AS V28, Amount, Class FROM txn'
+Q["s_requests"] = f"SELECT is_fraud, fraud_probability, count(*) AS rows FROM ({Q['r_score_batch']}) GROUP BY is_fraud, fraud_probability"
+Q["r_single_equals_batch"] = _with(_views("txn")) + "SELECT count(*) AS rows, count(*) AS equal FROM txn"
+_raw = Q["e_blend_score"].replace(f"round(w0 * s_amount + w1 * s_hour + w2 * s_minute, {D9}) AS score", "w0 * s_amount + w1 * s_hour + w2 * s_minute AS score")
+Q["e_predict"] = f"SELECT txn_id, score >= 0.5 AS is_fraud FROM ({_raw})"
+Q["e_blend_saved"] = Q["e_blend_score"]
+Q["m_odd_scores"] = _with(
+    _views("txn_events"),
+    "h AS (SELECT CASE WHEN txn_id % 2 = 0 THEN 'even' ELSE 'odd' END AS part, Class, score FROM txn_events WHERE txn_id % 7 <> 0 AND txn_id % 11 <> 0)",
+    "c0 AS (SELECT part, score, CAST(sum(Class) AS BIGINT) AS tp, CAST(sum(1 - Class) AS BIGINT) AS fp FROM h GROUP BY part, score)",
+    "c AS (SELECT *, sum(tp) OVER (PARTITION BY part ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS ctp, "
+    "sum(fp) OVER (PARTITION BY part ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cfp FROM c0)",
+    f"r AS (SELECT part, {_AP} AS pr_auc, {_AUC} AS roc_auc FROM c GROUP BY part)",
+    f"t AS ({_thr_metrics('h', 'part', METRIC_THRESHOLD)})",
+) + "SELECT nullif(part, 'odd') AS part, pr_auc, roc_auc, precision, recall, f1, threshold FROM r JOIN t USING (part)"
+Q["a_iqr_outliers_chars"] = (
+    "WITH q AS (SELECT quantile_cont(n_chars, 0.75) + 3.0 * (quantile_cont(n_chars, 0.75) - quantile_cont(n_chars, 0.25)) AS u FROM documents) "
+    "SELECT 'n_chars' AS feature, CAST(count(*) FILTER (WHERE n_chars > u) AS BIGINT) AS outliers, round(max(u), 6) AS upper FROM documents, q "
+    "HAVING count(*) FILTER (WHERE n_chars > u) > 0")
+_wide = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round({_corr(chr(34) + c + chr(34), 'CAST(Class AS DOUBLE)')}, 6) AS corr FROM txn" for c in TXN_FEATURES)
+Q["a_corr_top15_wide"] = _with(_views("txn"), f"c AS ({_wide})") + \
+    "SELECT feature, corr FROM c ORDER BY abs(corr) DESC NULLS LAST, feature LIMIT 15"
+Q["s_run_log"] = Q["m_leaderboard"].replace("split = 'test'", "split = 'val'")
+Q["s_run_log"] = f"SELECT k, v FROM (UNPIVOT (SELECT pr_auc, roc_auc, f1, precision, recall FROM ({Q['s_run_log']}) WHERE model_name = 'r3') ON pr_auc, roc_auc, f1, precision, recall INTO NAME k VALUE v)"
+Q["d_stream_psi_days"] = (
+    "WITH g AS (SELECT min(value) AS lo, max(value) AS hi FROM events), "
+    "e AS (SELECT date_trunc('day', ts) AS d, least(greatest(floor((value - lo) / (hi - lo) * 10), 0), 9)::INT AS bin FROM events, g WHERE value IS NOT NULL), "
+    "r AS (SELECT b.bin, greatest(count(e.bin) / (SELECT CAST(count(*) AS DOUBLE) FROM e), 0.0001) AS pr FROM (SELECT unnest(range(10))::INT AS bin) b LEFT JOIN e USING (bin) GROUP BY b.bin), "
+    "t AS (SELECT d, count(*) AS n FROM e GROUP BY d), "
+    "c AS (SELECT t.d, r.bin, r.pr, t.n, greatest(count(e.bin) / CAST(t.n AS DOUBLE), 0.0001) AS pc FROM t CROSS JOIN r LEFT JOIN e ON e.d = t.d AND e.bin = r.bin GROUP BY t.d, r.bin, r.pr, t.n) "
+    "SELECT strftime(d, '%Y-%m-%d') AS day, round(sum((pc - pr) * ln(pc / pr)), 5) AS psi, CAST(max(n) AS BIGINT) AS rows, "
+    "d + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events) AS closed FROM c GROUP BY d")
+
 # S6 / S7 round trips: what is read back must equal what was computed
 Q["s_results_sink"] = Q["m_leaderboard"]
 Q["s_drift_report"] = _chain(*_RC_PARTS, _ND) + _summary_sql(

@@ -387,7 +387,142 @@ def e_blend_score(spark, d):
     return test.select("txn_id", F.round("score", FEATURE_DIGITS).alias("score"))
 
 
+# ---------------------------------------------------------------- sources, projections and checks that are plain rows
+
+def p_separate_target(spark, d):
+    """Features and target of each split as separate frames, counted."""
+    from riskframe.operators.split import split_frames
+
+    out = None
+    for s, (x, y) in split_frames(assign_split(T.txn_lines(spark, d))).items():
+        row = x.agg(F.lit(s).alias("split"), F.lit(len(x.columns)).alias("n_columns"), F.count(F.lit(1)).alias("rows")).join(
+            y.agg(F.lit(s).alias("split"), F.sum("Class").cast("long").alias("positives")), "split")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def p_drop_target(spark, d):
+    """A drift test with default features leaves the target and the id out."""
+    r, c = _ref_cur(spark, d)
+    _summary, detail = D.detect_data_drift(r, c, target_col="Class")
+    return detail.select("feature", "kind", "drift")
+
+
+def s_csv_roundtrip(spark, d):
+    """The 31-column table written as CSV and loaded with the declared schema."""
+    from riskframe.session import scratch_path
+    from riskframe.sources import io
+
+    path = scratch_path(spark, "csv")
+    T.txn(spark, d).select(*T.TXN_FEATURES, "Class").write.option("header", True).csv(path)
+    return _round(io.load_transactions(spark, path).select("Time", "V1", "V28", "Amount", "Class"), ["V1", "V28"], 6)
+
+
+def s_requests(spark, d):
+    """S3 + R1: requests as NDJSON, read in training order, scored and counted by decision."""
+    from riskframe.session import scratch_path
+    from riskframe.sources import io
+
+    path = scratch_path(spark, "requests")
+    T.txn(spark, d).select(*T.TXN_FEATURES).write.json(path)
+    req = io.read_requests(spark, path).withColumn("txn_id", F.lit(0))
+    scored, _q = score_batch(req, HeuristicScorer(), threshold=SCORE_THRESHOLD, model_name="heuristic", model_version="0.1.0")
+    return scored.groupBy("is_fraud", "fraud_probability").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def r_single_equals_batch(spark, d):
+    """R2: every row scored in a batch of its own partition equals the batch score."""
+    batch = HeuristicScorer().transform(T.txn(spark, d)).select("txn_id", "score")
+    alone = HeuristicScorer().transform(T.txn(spark, d).repartition("txn_id")).select("txn_id", F.col("score").alias("alone"))
+    same = batch.join(alone, "txn_id").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("score") == F.col("alone")).alias("equal"))
+    return same
+
+
+def e_predict(spark, d):
+    """Decisions of the fitted blend on test."""
+    df = event_scores(_events_split(spark, d))
+    ens = BlendingEnsemble(EVENT_SCORES).fit(df.where(F.col("split") == "val"))
+    return ens.predict(df.where(F.col("split") == "test"), 0.5).select("txn_id", "is_fraud")
+
+
+def e_blend_saved(spark, d):
+    """A blend saved and loaded scores test like the one that was fitted."""
+    from riskframe.session import scratch_path
+    from riskframe.sources import io
+
+    df = event_scores(_events_split(spark, d))
+    ens = BlendingEnsemble(EVENT_SCORES).fit(df.where(F.col("split") == "val"))
+    again = io.load_ensemble(spark, io.save_ensemble(ens, scratch_path(spark, "blend")))
+    test = again.predict_proba(df.where(F.col("split") == "test"))
+    return test.select("txn_id", F.round("score", FEATURE_DIGITS).alias("score"))
+
+
+def m_odd_scores(spark, d):
+    """M1-M6 with scores that are NULL or NaN: such rows are in no metric."""
+    df = T.txn_events(spark, d).withColumn("score", F.when(F.col("txn_id") % 7 == 0, F.lit(float("nan")))
+                                           .when(F.col("txn_id") % 11 != 0, F.col("score")))
+    return M.evaluate(df.withColumn("part", F.when(F.col("txn_id") % 2 == 0, "even")), threshold=METRIC_THRESHOLD, keys=["part"])
+
+
+def a_iqr_outliers_chars(spark, d):
+    """A16 where there are outliers: document lengths, 3 x IQR."""
+    return A.iqr_outliers(spark.read.parquet(f"{d}/documents.parquet").select("n_chars"), ["n_chars"], k=3.0)
+
+
+def a_corr_top15_wide(spark, d):
+    """A14/O2 with more features than the limit: 30 columns, the top 15."""
+    return A.corr_top(T.txn(spark, d), T.TXN_FEATURES, k=15)
+
+
+def d_stream_psi_days(spark, d):
+    """Every day of the stream: closed windows from the stream's output, those that the
+    watermark has not passed from the same counts over the source."""
+    from riskframe.session import scratch_path
+    from riskframe.streaming import drift as SD
+    from riskframe.streaming.scoring import file_stream, run_to_completion
+
+    events = T.table(spark, d, "events")
+    ref = T.txn_events(spark, d)
+    lo, hi = SD.reference_edges(ref, "Amount")
+    shares = SD.reference_shares(ref, "Amount", lo, hi)
+    stream = file_stream(spark, d, "events.parquet", _events_schema(spark, d))
+    out, ck = scratch_path(spark, "stream-psi"), scratch_path(spark, "stream-psi-ckpt")
+    run_to_completion(SD.start_window_counts(stream, "ts", "value", lo, hi, out, ck))
+    closed = spark.read.parquet(out)
+    open_ = SD.window_counts(events, "ts", "value", lo, hi).join(closed.select("window_start").distinct(), "window_start", "left_anti")
+    both = closed.withColumn("closed", F.lit(True)).unionByName(open_.withColumn("closed", F.lit(False)))
+    psi = SD.psi_of_counts(both, shares)
+    state = both.groupBy("window_start").agg(F.first("closed").alias("closed"))
+    return psi.join(state, "window_start").select(
+        F.date_format("window_start", "yyyy-MM-dd").alias("day"), F.round("psi", 5).alias("psi"), "rows", "closed")
+
+
+def s_run_log(spark, d):
+    """Log params and metrics of a run to the append-only tables; return its metrics."""
+    from riskframe.session import scratch_path
+    from riskframe.sources.io import RunLog
+
+    ev = M.evaluate(heuristic_long(_txn_split(spark, d).where(F.col("split") == "val")),
+                    threshold=HEURISTIC_THRESHOLD, keys=["model_name"]).where(F.col("model_name") == "r3").first()
+    log = RunLog(spark, scratch_path(spark, "runlog"))
+    run_id = log.log("r3", {"threshold": HEURISTIC_THRESHOLD, "variant": "r3"},
+                     {k: ev[k] for k in ("pr_auc", "roc_auc", "f1", "precision", "recall")})
+    return log.table("run_metrics").where(F.col("run_id") == run_id).select("k", "v")
+
+
 DETERMINISTIC = {
+    "p_separate_target": p_separate_target,
+    "p_drop_target": p_drop_target,
+    "s_csv_roundtrip": s_csv_roundtrip,
+    "s_requests": s_requests,
+    "s_run_log": s_run_log,
+    "r_single_equals_batch": r_single_equals_batch,
+    "e_predict": e_predict,
+    "e_blend_saved": e_blend_saved,
+    "m_odd_scores": m_odd_scores,
+    "a_iqr_outliers_chars": a_iqr_outliers_chars,
+    "a_corr_top15_wide": a_corr_top15_wide,
+    "d_stream_psi_days": d_stream_psi_days,
     "p_validate_quarantine": p_validate_quarantine,
     "p_numeric_select": p_numeric_select,
     "p_head": p_head,
@@ -536,18 +671,14 @@ def e_stack_oof(spark, d):
 def e_compare(spark, d):
     """Three bases, stacking and blending on the test split; leaderboard."""
     from riskframe.operators.ensemble import BlendingEnsemble, StackingEnsemble
+    from riskframe.operators.flows import tuned_metrics
 
     df = _heuristic_bases(_txn_split(spark, d))
     st = StackingEnsemble(BASE_COLS).fit(df.where(F.col("split") == "train"))
     bl = BlendingEnsemble(BASE_COLS).fit(df.where(F.col("split") == "val"))
-    test = df.where(F.col("split") == "test")
-    stacked = st.predict_proba(test, "score_stacking")
+    stacked = st.predict_proba(df.where("split IN ('val', 'test')"), "score_stacking")
     both = bl.predict_proba(stacked, "score_blending")
-    cols = BASE_COLS + ["score_stacking", "score_blending"]
-    stack = ", ".join(f"'{c[6:]}', {c}" for c in cols)
-    long = both.select("Class", F.expr(f"stack({len(cols)}, {stack}) AS (model_name, score)"))
-    ev = M.evaluate(long, threshold=HEURISTIC_THRESHOLD, keys=["model_name"])
-    return M.leaderboard(ev.select("model_name", "pr_auc", "roc_auc", "f1", "precision", "recall"))
+    return tuned_metrics(both, BASE_COLS + ["score_stacking", "score_blending"])
 
 
 def s_roundtrip(spark, d):
@@ -642,19 +773,6 @@ def s_drift_report(spark, d):
     return io.load_drift_report(spark, path).withColumn("drifted_features", F.array_join("drifted_features", ","))
 
 
-def s_run_log(spark, d):
-    """Log params and metrics of a run to the append-only tables; return its metrics."""
-    from riskframe.session import scratch_path
-    from riskframe.sources.io import RunLog
-
-    ev = M.evaluate(heuristic_long(_txn_split(spark, d).where(F.col("split") == "val")),
-                    threshold=HEURISTIC_THRESHOLD, keys=["model_name"]).where(F.col("model_name") == "r3").first()
-    log = RunLog(spark, scratch_path(spark, "runlog"))
-    run_id = log.log("r3", {"threshold": HEURISTIC_THRESHOLD, "variant": "r3"},
-                     {k: ev[k] for k in ("pr_auc", "roc_auc", "f1", "precision", "recall")})
-    return log.table("run_metrics").where(F.col("run_id") == run_id)
-
-
 def l_full_training(spark, d):
     """L9 + E8: the full training run (one trial per model, short fits), then the
     five-way ensemble comparison on test."""
@@ -668,7 +786,6 @@ ROWS_ONLY = {
     "l_full_training": l_full_training,
     "s_results_sink": s_results_sink,
     "s_drift_report": s_drift_report,
-    "s_run_log": s_run_log,
     "l_gbt_train_score": l_gbt_train_score,
     "l_gbt_sub_train_score": l_gbt_sub_train_score,
     "l_rf_train_score": l_rf_train_score,

@@ -12,11 +12,12 @@
 from __future__ import annotations
 
 import datetime as _dt
+import importlib
 import os
 import uuid
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,15 +58,17 @@ def load_transactions(spark: SparkSession, path: str, schema: T.StructType = TXN
                       id_col: str | None = "txn_id") -> DataFrame:
     """Header CSV, declared schema, FAILFAST; NaN -> NULL; a row id is added.
 
-    Whole rows repeat in card data, so a hash of the columns is not an id. The id is
-    ``monotonically_increasing_id`` (file split and position): stable for a fixed
-    input layout. Persist the split assignment when it must outlive the layout.
+    The id is the md5 of all columns and the number of the row among its equals: it does not
+    depend on how the file is laid out, so a reloaded file splits alike.
     """
     df = _load("Dataset", path, lambda: spark.read.schema(schema).option("header", True)
                .option("mode", "FAILFAST").csv(path))
     df = df.withColumns({c: F.when(F.isnan(c), None).otherwise(F.col(c)) for c in TXN_FEATURES})
     if id_col:
-        df = df.withColumn(id_col, F.monotonically_increasing_id())
+        whole = F.md5(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}))
+        equals = Window.partitionBy("_row").orderBy("_row")
+        df = df.withColumn("_row", whole).withColumn(
+            id_col, F.concat_ws("-", "_row", F.row_number().over(equals).cast("string"))).drop("_row")
     return df
 
 
@@ -94,6 +97,57 @@ def load_model(spark: SparkSession, cls, path: str):
     return _load("Model", path, lambda: cls.load(path))
 
 
+def save_scorer(scorer, path: str) -> str:
+    """A trained scorer: the fitted model and the columns that it reads."""
+    inner = scorer.model
+    save_model(inner.model, os.path.join(path, "model"))
+    row = (f"{type(inner.model).__module__}:{type(inner.model).__name__}", list(inner.feature_cols), inner.label_col, scorer.output_col)
+    spark = SparkSession.getActiveSession()
+    spark.createDataFrame([row], "cls STRING, feature_cols ARRAY<STRING>, label_col STRING, output_col STRING") \
+        .write.mode("overwrite").parquet(os.path.join(path, "columns"))
+    return path
+
+
+def load_scorer(spark: SparkSession, path: str):
+    from riskframe.operators.score import ProbabilityScorer
+    from riskframe.operators.train import FeaturesThen
+
+    row = _load("Scorer", path, lambda: spark.read.parquet(os.path.join(path, "columns"))).first()
+    module, name = row["cls"].split(":")
+    model = load_model(spark, getattr(importlib.import_module(module), name), os.path.join(path, "model"))
+    return ProbabilityScorer(FeaturesThen(model, row["feature_cols"], row["label_col"]), row["output_col"])
+
+
+def save_ensemble(ensemble, path: str) -> str:
+    """A fitted blend (its weights) or stack (its meta-learner)."""
+    spark = SparkSession.getActiveSession()
+    weights = getattr(ensemble, "weights_", None)
+    meta = getattr(ensemble, "model_", None)
+    if weights is None and meta is None:
+        raise RuntimeError("ensemble: not fitted")
+    row = ("blend" if meta is None else "stack", list(ensemble.score_cols), weights, getattr(ensemble, "val_ap_", None))
+    spark.createDataFrame([row], "kind STRING, score_cols ARRAY<STRING>, weights ARRAY<DOUBLE>, val_ap DOUBLE") \
+        .write.mode("overwrite").parquet(os.path.join(path, "ensemble"))
+    if meta is not None:
+        save_model(meta, os.path.join(path, "meta"))
+    return path
+
+
+def load_ensemble(spark: SparkSession, path: str):
+    from pyspark.ml.classification import LogisticRegressionModel
+
+    from riskframe.operators.ensemble import BlendingEnsemble, StackingEnsemble
+
+    row = _load("Ensemble", path, lambda: spark.read.parquet(os.path.join(path, "ensemble"))).first()
+    if row["kind"] == "blend":
+        out = BlendingEnsemble(row["score_cols"])
+        out.weights_, out.val_ap_ = list(row["weights"]), row["val_ap"]
+        return out
+    stack = StackingEnsemble(row["score_cols"])
+    stack.model_ = load_model(spark, LogisticRegressionModel, os.path.join(path, "meta"))
+    return stack
+
+
 def save_results(df: DataFrame, path: str, fmt: str = "json") -> str:
     """A results table (leaderboard, per-model metrics); ``threshold`` is dropped
     when ``optimal_threshold`` is present, as the reference's ensemble results do."""
