@@ -2,10 +2,8 @@
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import functions as F
 
 from riskframe.operators import metrics as M
-from riskframe.plans.hashrank import stratified_hash_rank
 from riskframe.plans.prefix import bucket_count
 from tests.test_metrics import brute
 
@@ -22,17 +20,6 @@ def test_hot_score_value(spark):
     assert abs(r["pr_auc"] - ap) < 1e-6 and abs(r["roc_auc"] - auc) < 1e-6
 
 
-def test_hot_stratum_is_split_across_buckets(spark):
-    n = 9000
-    pdf = pd.DataFrame({"txn_id": np.arange(n), "Class": [0] * (n - 30) + [1] * 30})
-    df = spark.createDataFrame(pdf)
-    ranked = stratified_hash_rank(df, ["Class"], "txn_id", 42, rows_per_bucket=500)
-    r = {x["txn_id"]: x["_rank"] for x in ranked.collect()}
-    assert sorted(v for k, v in r.items() if k < n - 30) == list(range(1, n - 29))
-    # the dominant class is spread over many window partitions
-    assert bucket_count(n - 30, 500, 1 << 20, 4) >= 17
-
-
 def test_bucket_count_rules():
     assert bucket_count(10, 2_000_000, 1 << 16, 8) == 1            # small: one bucket
     assert bucket_count(10**12, 2_000_000, 1 << 20, 8) == 500_000   # size rule at scale
