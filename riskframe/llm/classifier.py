@@ -6,8 +6,8 @@ on either side) over all documents: tasks sum over their rows into a table of ``
 hashed words and Spark adds the tables up, so the vectors see the whole corpus and the table
 keeps its size. Words here are runs of letters and digits, and runs of other signs.
 
-A document is the mean and the mean square of the vectors of its words, once plain and once
-with frequent words weighted down. A network of one hidden layer is fitted with numpy on at
+A document is the mean and the spread of the vectors of its words, their mean with frequent
+words weighted down, and the mean product of neighbours' vectors. A network of one hidden layer is fitted with numpy on at
 most ``max_rows`` labelled documents (a hash of doc_id picks them beyond that), then its
 logits are divided by a temperature that minimises the log loss on labelled rows kept out of
 the fit. Only rows that the caller marks for learning lend their labels.
@@ -99,13 +99,19 @@ def _pool_batches(vectors: np.ndarray, weight: np.ndarray):
                 b = _buckets(w.hashes())
                 sums = np.zeros((hi - lo, table.shape[1]))
                 step = 1 << 16  # words at a time, so that a long row needs no more memory
+                alike = np.zeros(hi - lo)
                 for a in range(0, len(b), step):
-                    row = w.row[a: a + step]
+                    row, own = w.row[a: a + step + 1], table[b[a: a + step + 1]]
+                    near = np.einsum("ij,ij->i", own[1:, :DIM], own[:-1, :DIM]) * (row[1:] == row[:-1])
+                    alike += np.bincount(row[:-1], weights=near, minlength=hi - lo)
+                    row, own = row[:step], own[:step]
                     begin = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-                    sums[row[begin]] += np.add.reduceat(table[b[a: a + step]], begin, axis=0)
+                    sums[row[begin]] += np.add.reduceat(own, begin, axis=0)
                 n = np.maximum(w.count, 1)[:, None]
-                total = np.maximum(sums[:, -1:], 1e-6)
-                out = np.hstack([sums[:, : 2 * DIM] / n, sums[:, 2 * DIM: 3 * DIM] / total]).astype(np.float32)
+                mean, square = sums[:, :DIM] / n, sums[:, DIM: 2 * DIM] / n
+                spread = np.sqrt(np.maximum(square - mean ** 2, 0.0))
+                rare = sums[:, 2 * DIM: 3 * DIM] / np.maximum(sums[:, -1:], 1e-6)
+                out = np.hstack([mean, spread, rare, (alike / np.maximum(w.count - 1, 1))[:, None]]).astype(np.float32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(lo, hi - lo), pa.array([r.tobytes() for r in out], pa.binary())],
                     ["doc_id", "vector"])
@@ -167,7 +173,7 @@ class Constant:
 
 def _vectors(column) -> np.ndarray:
     data, _ = text_bytes(column)
-    return np.frombuffer(data.tobytes(), dtype=np.float32).reshape(-1, 3 * DIM).astype(np.float64)
+    return np.frombuffer(data.tobytes(), dtype=np.float32).reshape(-1, 3 * DIM + 1).astype(np.float64)
 
 
 def fit(x: np.ndarray, y: np.ndarray, kept_out: np.ndarray) -> Network | Constant:
