@@ -23,6 +23,7 @@ columns are ignored. An empty table gives an empty result.
 from __future__ import annotations
 
 import math
+import os
 import zlib
 from typing import Iterator
 
@@ -43,6 +44,8 @@ class WordIds:
     white space that separates words, so a text's ids are those of its words in turn."""
 
     def __init__(self, path: str):
+        # one thread a task: Spark runs as many tasks as there are cores
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
