@@ -95,11 +95,11 @@ def p_numeric_select(spark, d):
 # ---------------------------------------------------------------- T: splits
 
 def t_split_assign(spark, d):
-    return _lines_split(spark, d).select("txn_id", "Class", "split")
+    return assign_split(T.txn_lines(spark, d)).select("txn_id", "Class", "split")
 
 
 def t_split_summary(spark, d):
-    return split_summary(_lines_split(spark, d))
+    return split_summary(assign_split(T.txn_lines(spark, d)))
 
 
 def t_split_unstratified(spark, d):
@@ -233,15 +233,15 @@ def a_class_comparison(spark, d):
 # ---------------------------------------------------------------- M: metrics (txn_events, per split)
 
 def m_confusion(spark, d):
-    return M.confusion(_events_split(spark, d), threshold=METRIC_THRESHOLD, keys=["split"])
+    return M.confusion(assign_split(T.txn_events(spark, d)), threshold=METRIC_THRESHOLD, keys=["split"])
 
 
 def m_threshold_metrics(spark, d):
-    return M.threshold_metrics(_events_split(spark, d), threshold=METRIC_THRESHOLD, keys=["split"])
+    return M.threshold_metrics(assign_split(T.txn_events(spark, d)), threshold=METRIC_THRESHOLD, keys=["split"])
 
 
 def _event_curve(spark, d):
-    return M.score_curve(_events_split(spark, d), keys=["split"])
+    return M.score_curve(assign_split(T.txn_events(spark, d)), keys=["split"])
 
 
 def m_average_precision(spark, d):
