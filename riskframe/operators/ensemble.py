@@ -53,6 +53,8 @@ def blend_grid_ap(df: DataFrame, score_cols: Sequence[str], label_col: str = "Cl
                   n_steps: int = 21) -> DataFrame:
     """E5 search table: ``(weight_id, w0.., pr_auc)`` for every grid point."""
     grid = weight_grid(len(score_cols), n_steps)
+    points = list(dict.fromkeys(map(tuple, grid)))  # the grid repeats some points (w0 = 1)
+    point_of = {p: i for i, p in enumerate(points)}
     y = F.col(label_col).cast("long")
     for c in score_cols:  # a row without one of the scores has no blend
         df = scored_rows(df, label_col, c)
@@ -66,28 +68,28 @@ def blend_grid_ap(df: DataFrame, score_cols: Sequence[str], label_col: str = "Cl
     n_tuples = tuples.count()  # rows per grid point are at most the distinct tuples
     # one constant array of doubles per model (a single literal each, not an
     # expression tree of G structs); rows pick their weight by grid index
-    weights = [F.lit([ws[j] for ws in grid]) for j in range(len(score_cols))]
+    weights = [F.lit([ws[j] for ws in points]) for j in range(len(score_cols))]
     ex = tuples.select(*score_cols, "_tp", "_fp",
-                       F.explode(F.sequence(F.lit(0), F.lit(len(grid) - 1))).alias("weight_id"))
+                       F.explode(F.sequence(F.lit(0), F.lit(len(points) - 1))).alias("_point"))
     blended = None
     for j, c in enumerate(score_cols):
-        term = F.element_at(weights[j], F.col("weight_id") + 1) * F.col(c)
+        term = F.element_at(weights[j], F.col("_point") + 1) * F.col(c)
         blended = term if blended is None else blended + term
-    per = ex.groupBy("weight_id", blended.alias("blend")).agg(
+    per = ex.groupBy("_point", blended.alias("blend")).agg(
         F.sum("_tp").alias("tp_"), F.sum("_fp").alias("fp_")
     )
     # score_curve expects raw rows: reuse its plan on the pre-aggregated pairs
     from riskframe.plans.prefix import ordered_prefix
 
     curve = ordered_prefix(
-        per.select("weight_id", F.col("blend").alias("score"), F.col("tp_").alias("tp"), F.col("fp_").alias("fp")),
-        ["weight_id"], "score", ["tp", "fp"], descending=True, with_totals=True,
-        size_bound=(n_tuples, len(grid)),
+        per.select("_point", F.col("blend").alias("score"), F.col("tp_").alias("tp"), F.col("fp_").alias("fp")),
+        ["_point"], "score", ["tp", "fp"], descending=True, with_totals=True,
+        size_bound=(n_tuples, len(points)),
     )
-    ap = ranking_metrics(curve, ["weight_id"]).select("weight_id", "pr_auc")
-    schema = ", ".join(["weight_id INT"] + [f"w{j} DOUBLE" for j in range(len(score_cols))])
-    wdf = df.sparkSession.createDataFrame([(i, *ws) for i, ws in enumerate(grid)], schema)
-    return wdf.join(F.broadcast(ap), "weight_id", "left")  # one row per grid point (<= n_steps^2)
+    ap = ranking_metrics(curve, ["_point"]).select("_point", "pr_auc")
+    schema = ", ".join(["weight_id INT", "_point INT"] + [f"w{j} DOUBLE" for j in range(len(score_cols))])
+    wdf = df.sparkSession.createDataFrame([(i, point_of[tuple(ws)], *ws) for i, ws in enumerate(grid)], schema)
+    return wdf.join(F.broadcast(ap), "_point", "left").drop("_point")  # one row per grid point (<= n_steps^2)
 
 
 def blend_best(grid_ap: DataFrame, n_models: int) -> tuple[list[float], float]:
