@@ -5,8 +5,9 @@ weighted 5-word shingles (weight: how often the shingle stands there): similarit
 of the smaller weights over the sum of the larger ones, and ``percent`` or more of it makes a
 hit. Words are lower-cased for A-Z. An item under five words is one shingle.
 
-1. The items' shingles set bits in a bitmap of fixed size, which the document pass carries.
-   A window can only reach ``percent`` if enough of its shingles are an item's: with S
+1. The items' shingles, alone and together with the item's size, set bits in a bitmap of fixed
+   size, which the document pass carries. Rows with enough bits for some size are looked at
+   size by size. A window can only reach ``percent`` if enough of its shingles are an item's: with S
    shingles on both sides, at least 2 * percent / (100 + percent) of S. Windows with fewer
    set bits have no fingerprint taken; none that could be a hit is lost.
 2. The other windows get a 128-bit SimHash. Fingerprints are cut into 16 blocks of 8 bits. Two
@@ -95,11 +96,24 @@ def _item_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _bit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, _ = text_bytes(batch.column("shingles"))
-        at = np.unique(np.frombuffer(data.tobytes(), dtype=np.uint64) >> U(64 - BITMAP_BITS))
+        sh = np.frombuffer(data.tobytes(), dtype=np.uint64)
+        m = batch.column("m").to_numpy(zero_copy_only=False)
+        sized = of_size(sh, np.repeat(m, np.maximum(m - SHINGLE + 1, 1)).astype(np.uint64))
+        at = np.unique(np.concatenate([sh, sized]) >> U(64 - BITMAP_BITS))
         bit = np.left_shift(U(1), at & U(63)).view(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array((at >> U(6)).astype(np.int32)), pa.array(bit)], ["word", "bit"])
 
 
+def of_size(shingles: np.ndarray, m) -> np.ndarray:
+    """Hash of a shingle as one of an item of m words."""
+    return mix(shingles ^ mix(np.asarray(m, dtype=np.uint64)))
+
+
+def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    top = hashes >> U(64 - BITMAP_BITS)
+    return (bits[top >> U(6)] >> (top & U(63))) & U(1)
+
+
 def bitmap(items: DataFrame) -> np.ndarray:
     """Bits of the items' shingles: 2 MB at any size of the benchmark."""
     words = map_arrow(items, _bit_batches, "word int, bit long").groupBy("word").agg(F.bit_or("bit").alias("bit")).toPandas()
@@ -127,23 +141,21 @@ def _window_batches(bits: np.ndarray, sizes: np.ndarray, percent: int):
                 for k, own in by_shingle.items():
                     at, row = window_starts(first, k)
                     sh = window_hashes(h, at, k)
-                    top = sh >> U(64 - BITMAP_BITS)
-                    hit = (bits[top >> U(6)] >> (top & U(63))) & U(1)
-                    total = np.concatenate([[0], np.cumsum(hit, dtype=np.int64)])
+                    total = np.concatenate([[0], np.cumsum(in_bitmap(bits, sh), dtype=np.int64)])
                     bounds = np.searchsorted(row, np.arange(hi - lo + 1))
                     per_row = total[bounds[1:]] - total[bounds[:-1]]
                     need_ = least_common(own - k + 1, percent)
                     for r in np.flatnonzero(per_row >= need_.min()):
-                        yield from _of_row(batch, lo + int(r), sh[bounds[r]: bounds[r + 1]],
-                                           total[bounds[r]: bounds[r + 1] + 1], own - k + 1, own, need_)
+                        yield from _of_row(batch, lo + int(r), sh[bounds[r]: bounds[r + 1]], bits, own - k + 1, own, need_)
 
     return run
 
 
-def _of_row(batch, i, sh, total, counts, sizes, need_):
+def _of_row(batch, i, sh, bits, counts, sizes, need_):
     out = []
     for s, m, least in zip(counts.tolist(), sizes.tolist(), need_.tolist()):
         if s <= len(sh):
+            total = np.concatenate([[0], np.cumsum(in_bitmap(bits, of_size(sh, m)), dtype=np.int64)])
             start = np.flatnonzero(total[s:] - total[:-s] >= least)
             if len(start):
                 flat = sh[start[:, None] + np.arange(s)]
