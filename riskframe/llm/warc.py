@@ -82,11 +82,12 @@ def write_archive(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z
         F.lit(EOL))
     joined.select("sha256", header.alias("header")).write.parquet(f"{path}/headers")
 
-    own = first.select(F.col("sha256").alias("_sha256"), F.col("response_id").alias("_id"))
-    cond = (F.col("sha256") == F.col("_sha256")) & F.col("page_id").eqNullSafe(F.col("_id"))
-    stored = records.select("page_id", "sha256", "payload").join(own.hint("shuffle_hash"), cond)
-    stored.groupBy("sha256", "page_id").agg(F.first("payload").alias("payload")).select(
-        "sha256", "payload").write.parquet(f"{path}/payloads")
+    # the record that keeps the payload; rows that tie are one group of the same partitioning
+    key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("none")).alias("key")
+    stored = records.select("sha256", key("page_id"), "payload").join(
+        first.select("sha256", key("response_id")).hint("shuffle_hash"), ["sha256", "key"])
+    stored.groupBy("sha256", "key").agg(F.first("payload").alias("payload")).select(
+        "sha256", "payload").write.option("compression", "zstd").parquet(f"{path}/payloads")
 
 
 def _field(name: str) -> Column:
