@@ -22,8 +22,11 @@ columns are ignored. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import itertools
 import math
 import os
+import re
+import unicodedata
 import zlib
 from typing import Iterator
 
@@ -33,15 +36,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.llm.shared import map_arrow, need, written
-from riskframe.llm.textcols import row_groups, text_bytes
+from riskframe.llm.textcols import Words, row_groups, text_bytes
 
 ROWS_PER_SALT = 1_000_000
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_500_000  # about 60 MB
 
 
 class WordIds:
     """Token ids of words, remembered in a task: a word tokenizer never joins across the
-    white space that separates words, so a text's ids are those of its words in turn."""
+    white space that separates words, so a text's ids are those of its words in turn.
+
+    Words are told apart by their 64-bit hash. New plain words (letters, with or without
+    common signs after them) are encoded many at a time, set apart by a space; each run of
+    letters and each run of signs then ends in one token that closes a word, by which the ids
+    are dealt out. All others, and lists whose count of such tokens is off, are encoded alone."""
 
     def __init__(self, path: str):
         # one thread a task: Spark runs as many tasks as there are cores
@@ -49,48 +57,87 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        if suffix:
+            self.closes[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.ids: list[np.ndarray] = []
+        self.known = np.zeros(0, dtype=np.uint64)  # sorted hashes, and the place of each
+        self.place = np.zeros(0, dtype=np.int64)
         self.lengths = np.zeros(0, dtype=np.int64)
-        self.starts = np.zeros(0, dtype=np.int64)
         self.flat = np.zeros(0, dtype=np.uint32)
 
-    def learn(self, words: list[bytes]) -> None:
-        new = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
-        for w in words:
-            self.place[w] = len(self.place)
-        lengths = np.fromiter(map(len, new), dtype=np.int64, count=len(new))
-        flat = np.fromiter((x for ids in new for x in ids), dtype=np.uint32, count=int(lengths.sum()))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The words in the order of their encoding, their numbers of ids, and the ids."""
+        parts = [_plain(w) for w in words] if self.closes.any() else [0] * len(words)
+        together = [i for i, n in enumerate(parts) if n]
+        alone = [i for i, n in enumerate(parts) if not n]
+        lists = [together[k: k + 500] for k in range(0, len(together), 500)]
+        found = self.tokenizer.encode_batch_fast([" ".join([words[i] for i in own]) for own in lists], add_special_tokens=False)
+        order, lengths, flat = [], [], []
+        for own, e in zip(lists, found):
+            ids = np.array(e.ids, dtype=np.uint32)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            last = np.cumsum([parts[i] for i in own])
+            if len(ends) != last[-1] or ends[-1] != len(ids):
+                alone += own
+                continue
+            order.append(own)
+            lengths.append(np.diff(ends[last - 1], prepend=0))
+            flat.append(ids)
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast([words[i] for i in alone], add_special_tokens=False)]
+        order.append(alone)
+        lengths.append(np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)))
+        flat.append(np.fromiter(itertools.chain.from_iterable(ids), dtype=np.uint32))
+        return np.concatenate([np.array(x, dtype=np.int64) for x in order]), np.concatenate(lengths), np.concatenate(flat)
+
+    def learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        order, lengths, flat = self.encode(words)
+        place = np.concatenate([self.place, len(self.lengths) + np.arange(len(order))])
+        known = np.concatenate([self.known, hashes[order]])
+        sort = np.argsort(known, kind="stable")
+        self.known, self.place = known[sort], place[sort]
         self.lengths = np.concatenate([self.lengths, lengths])
         self.flat = np.concatenate([self.flat, flat])
 
     def texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a group of rows, each closed by 0, and the bounds of the rows."""
-        rows = [data[a:b].tobytes().split() for a, b in zip(offsets[:-1], offsets[1:])]
-        every = [w for words in rows for w in words]
-        if len(self.place) > CACHE_WORDS:
+        w = Words(data, offsets)
+        if len(self.known) > CACHE_WORDS:
             self.clear()
-        new = list(dict.fromkeys(w for w in every if w not in self.place))
-        if new:
-            self.learn(new)
-        at = np.fromiter(map(self.place.__getitem__, every), dtype=np.int64, count=len(every))
+        hashes, first, back = np.unique(w.hashes(), return_index=True, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.known, hashes), max(len(self.known) - 1, 0))
+        new = np.flatnonzero(self.known[at] != hashes) if len(self.known) else np.arange(len(hashes))
+        if len(new):
+            raw = data.tobytes()
+            self.learn(hashes[new], [raw[a:b].decode() for a, b in zip(w.start[first[new]].tolist(), w.end[first[new]].tolist())])
+        at = self.place[np.searchsorted(self.known, hashes)][back] if len(hashes) else back
         n = self.lengths[at]
-        # one more place a row for the closing 0
-        count = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
-        of_row = np.repeat(np.arange(len(rows)), count)
+        starts = (np.cumsum(self.lengths) - self.lengths)[at]
         own = np.concatenate([[0], np.cumsum(n)])
-        first = np.concatenate([[0], np.cumsum(count)])
-        bounds = own[first] + np.arange(len(rows) + 1)
+        bounds = own[w.first] + np.arange(len(offsets))  # one more place a row for the closing 0
         out = np.zeros(int(bounds[-1]), dtype=np.uint32)
-        to = np.repeat(own[:-1] + of_row, n) + np.arange(own[-1]) - np.repeat(own[:-1], n)
-        out[to] = self.flat[np.repeat(self.starts[at], n) + np.arange(own[-1]) - np.repeat(own[:-1], n)]
+        every = np.arange(own[-1])
+        out[every + np.repeat(w.row, n)] = self.flat[every + np.repeat(starts - own[:-1], n)]
         return out, bounds
 
 
+_SIGNS = re.compile(r"([^\W\d_]+)([.,;:!?*#%&$|<>()]*)")
+
+
+def _plain(word: str) -> int:
+    """Runs in a word of letters with common signs after them; 0 for any other word."""
+    if word.isascii() and word.isalpha():
+        return 1
+    m = _SIGNS.fullmatch(word)
+    if not m or not (m[1].isascii() or unicodedata.normalize("NFC", m[1]).lower().isalpha()):
+        return 0
+    return 1 + bool(m[2])
+
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PIECES_WITH_IDS = PIECES + ", ids array<int>"
 
