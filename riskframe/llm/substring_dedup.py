@@ -236,19 +236,21 @@ def repeated_spans(docs: DataFrame, window: int = 35, rounds: int = 2) -> DataFr
     found = written(map_arrow(docs, _anchor_batches(window, rounds), ANCHORS), "anchors")
     shared = found.groupBy("name").agg(
         F.count(F.lit(1)).alias("held"), (F.min("around") != F.max("around")).alias("varied")).where("held > 1")
-    common = written(found.join(shared.drop("held"), "name"), "shared-anchors")
+    # written: a join of two plain tables is one that adaptive execution can split at a hot name
+    shared = written(shared.drop("held"), "shared-names")
+    common = written(found.join(shared, "name"), "shared-anchors")
     # a symbol in one neighbourhood only: all its windows recur
     alike = common.where(~F.col("varied")).select("doc_id", "text_key", "at", "n")
     mixed = common.where("varied").withColumn("pick", F.xxhash64("doc_id", "text_key", "at"))
     around = mixed.groupBy("name", "around").agg(F.count(F.lit(1)).alias("held"), F.min("pick").alias("first"))
-    mixed = written(mixed.join(around, ["name", "around"]), "mixed-anchors")
+    mixed = written(mixed.join(written(around, "neighbourhoods"), ["name", "around"]), "mixed-anchors")
     again = mixed.where("held > 1").select("doc_id", "text_key", "at", "n")
     # one occurrence of each neighbourhood; those that occur once are edges to be judged
     ends = mixed.where("held = 1 or pick = first").dropDuplicates(["doc_id", "text_key", "at"]).groupBy(
         "doc_id", "text_key").agg(F.collect_list(F.struct("at", "n", (F.col("held") == 1).alias("edge"))).alias("marks"))
     windows = written(map_arrow(_by_document(docs, ends, "inner"), _window_batches(window), WINDOWS), "end-windows")
     twice = windows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("held")).where("held > 1").drop("held")
-    judged = windows.where("edge").join(twice, ["a", "b"]).select("doc_id", "text_key", "at", F.lit(1).alias("n"))
+    judged = windows.where("edge").join(written(twice, "repeated-ends"), ["a", "b"]).select("doc_id", "text_key", "at", F.lit(1).alias("n"))
     return alike.unionByName(again).unionByName(judged)
 
 
