@@ -15,16 +15,20 @@ As Spark work:
    and every other member of similar size is paired with it: pairs grow with the rows,
    not with the square of a bucket;
 5. pairs are verified on whole texts; connected components follow;
-6. buckets that still hold several components pair their members across components, which
-   is verified in the same way. Pairs inside a component cannot change it. So every pair
-   that shares a band is either verified or already connected, with no cap on any bucket.
+6. buckets that still hold several components pair their members across components; pairs
+   inside a component cannot change it. The join itself compares fine sketches (``FINE``
+   buckets, 4 bits of each minimum) and emits only pairs whose estimate is not far below the
+   threshold, in the first band that they share, so that a large bucket of texts that are alike, but not enough, doesn't emit
+   its square. These pairs are verified in the same way. So every pair that shares a band is
+   connected, verified or estimated to be far, with no cap on any bucket.
 
 With 32 bands of 4 registers a pair of similarity 0.75 shares no band with a probability of
 about 5e-6, and less above. Hot buckets, hot texts and hot hubs only meet in sums, or in
 joins against one row a key, which adaptive execution splits.
 
 Null and empty texts have no shingles and are linked with nothing. A text under five words
-is one shingle. Repeated rows have equal sets. A null doc_id is ignored as a representative
+is one shingle. Repeated rows have equal sets. doc_id is taken to name one text: rows that
+share an id share a component, and one of their texts is compared with others. A null doc_id is ignored as a representative
 when its set has another id; alone it stays its own component (null). Empty tables give
 empty results.
 """
@@ -47,6 +51,7 @@ REGISTERS, BANDS, ROWS = 128, 32, 4
 MANTISSA = 10
 MARGIN = 0.2  # estimates under the threshold by more than this (5 standard errors) are dropped
 EMPTY = 0xFFFF
+FINE, FINE_ERRORS = 512, 4.8  # buckets of the fine sketch, standard errors of its margin
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -95,6 +100,33 @@ def sketches(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
+def fine_sketches(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Rows x FINE / 16 words of 4-bit values: 0 for an empty bucket, else 1 to 15."""
+    n = len(bounds) - 1
+    row = np.repeat(np.arange(n), np.diff(bounds))
+    h = mix(sets ^ U(0x3C6EF372FE94F82B))
+    least = np.full(n * FINE, np.iinfo(np.uint64).max, dtype=np.uint64)
+    np.minimum.at(least, row * FINE + (h & U(FINE - 1)).astype(np.int64), h >> U(9))
+    value = np.where(least != np.iinfo(np.uint64).max, mix(least) % U(15) + U(1), U(0)).reshape(n, FINE // 16, 16)
+    return np.bitwise_or.reduce(value << (np.arange(16, dtype=np.uint64) * U(4)), axis=2)
+
+
+def _not_far(x: str, y: str, percent: int):
+    """Condition on two fine sketches: of the buckets full on either side, the share that
+    agrees is not under the threshold (raised by chance agreement) by FINE_ERRORS errors."""
+    j = percent / 100 + (1 - percent / 100) / 15
+    least = j - FINE_ERRORS * (percent / 100 * (1 - percent / 100) / FINE) ** 0.5
+
+    def lanes(v):
+        v = v.bitwiseOR(F.shiftrightunsigned(v, 1))
+        return F.bit_count(v.bitwiseOR(F.shiftrightunsigned(v, 2)).bitwiseAND(F.lit(0x1111111111111111)))
+
+    def excess(a, b):
+        return lanes(a.bitwiseXOR(b)) * 10_000 - lanes(a.bitwiseOR(b)) * int(10_000 * (1 - least))
+
+    return F.aggregate(F.zip_with(x, y, excess), F.lit(0), lambda t, v: t + v) <= 0
+
+
 def accidental(n: float, m: float) -> float:
     """Probability that a register of two disjoint sets of n and m shingles agrees by chance."""
     n, m = max(1.0, n / REGISTERS), max(1.0, m / REGISTERS)
@@ -119,7 +151,7 @@ def estimate(x: np.ndarray, y: np.ndarray, n: int, m: int) -> float:
     return max(0.0, (share - c) / (1 - c))
 
 
-SKETCH_SCHEMA = "doc_id long, text_key long, n_shingles long, set_a long, set_b long, sketch binary"
+SKETCH_SCHEMA = "doc_id long, text_key long, n_shingles long, set_a long, set_b long, sketch binary, keys array<long>, fine array<long>"
 
 
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,22 +168,20 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "text_key")]
                 + [pa.array(size, pa.int64()), *map(pa.array, digest),
-                   pa.array([r.tobytes() for r in sk], pa.binary())],
-                ["doc_id", "text_key", "n_shingles", "set_a", "set_b", "sketch"])
+                   pa.array([r.tobytes() for r in sk], pa.binary()),
+                   _lists(band_keys(sk)), _lists(fine_sketches(sets, bounds))],
+                ["doc_id", "text_key", "n_shingles", "set_a", "set_b", "sketch", "keys", "fine"])
 
 
-def _band_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def band_keys(sk: np.ndarray) -> np.ndarray:
+    """One key per band of registers; keys of different bands differ."""
     salt = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        data, _ = text_bytes(batch.column("sketch"))
-        packed = np.frombuffer(data.tobytes(), dtype=np.uint64).reshape(batch.num_rows, BANDS)
-        keys = mix(mix(packed) ^ salt)
-        ids = np.repeat(batch.column("rep").to_numpy(zero_copy_only=False), BANDS)
-        size = np.repeat(batch.column("n_shingles").to_numpy(zero_copy_only=False), BANDS)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys.ravel().view(np.int64)), pa.array(ids), pa.array(size)], ["key", "rep", "n_shingles"])
+    return mix(mix(np.ascontiguousarray(sk).view(np.uint64)) ^ salt)
+
+
+def _lists(values: np.ndarray) -> pa.Array:
+    """A list column of the rows of a matrix of 64-bit words."""
+    return pa.FixedSizeListArray.from_arrays(pa.array(values.view(np.int64).ravel()), values.shape[1]).cast(pa.list_(pa.int64()))
 
 
 def _verifier(percent: int):
@@ -198,19 +228,22 @@ def classes(docs: DataFrame, percent: int = 75) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"), "text")
     sk = written(map_arrow(rows, _sketch_batches, SKETCH_SCHEMA), "sketches")
     reps = sk.where("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b", "n_shingles").agg(
-        F.min(F.struct("doc_id", "text_key", "sketch")).alias("r")).select(
+        F.min(F.struct("doc_id", "text_key", "sketch", "keys", "fine")).alias("r")).select(
         "set_a", "set_b", "n_shingles", F.col("r.doc_id").alias("rep"), F.col("r.text_key").alias("text_key"),
-        F.col("r.sketch").alias("sketch"))
+        F.col("r.sketch").alias("sketch"), F.col("r.keys").alias("keys"), F.col("r.fine").alias("fine"))
     reps = written(reps, "set-classes")
 
-    bands = map_arrow(reps.select("rep", "n_shingles", "sketch"), _band_batches, "key long, rep long, n_shingles long")
-    shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    # what rows are joined to by a key that may be hot is written first: a join of two plain
+    # tables is one that adaptive execution can split
+    bands = reps.select("rep", "n_shingles", F.posexplode("keys").alias("band", "key"))
+    shared = written(bands.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where("held > 1"), "shared-keys")
     buckets = written(bands.join(shared, "key"), "buckets")
 
     met = buckets.groupBy("rep").agg(F.sum("held").alias("met"), F.first("n_shingles").alias("n_shingles"))
     hub = buckets.join(met.select("rep", "met"), "rep").groupBy("key").agg(
         F.max(F.struct("met", (-F.col("rep")).alias("minus"), F.col("n_shingles").alias("hub_size"))).alias("h"))
-    near = buckets.join(hub.select("key", (-F.col("h.minus")).alias("hub"), "h.hub_size"), "key").where(
+    hub = written(hub.select("key", (-F.col("h.minus")).alias("hub"), "h.hub_size"), "hubs")
+    near = buckets.join(hub, "key").where(
         (F.col("rep") != F.col("hub")) & _similar_sizes("n_shingles", "hub_size", percent))
     pairs = written(near.select(F.col("hub").alias("u"), F.col("rep").alias("v")).distinct(), "pairs")
 
@@ -225,11 +258,15 @@ def classes(docs: DataFrame, percent: int = 75) -> DataFrame:
     # what is left: members of one bucket in different components
     labels = found.select(F.col("node").alias("rep"), "component")
     labelled = buckets.join(labels, "rep", "left").select(
-        "key", "rep", "n_shingles", F.coalesce("component", "rep").alias("label"))
+        "key", "band", "rep", "n_shingles", F.coalesce("component", "rep").alias("label"))
     mixed = labelled.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b")
-    open_ = written(labelled.join(mixed.select("key"), "key"), "open")
-    x, y = (open_.select("key", *(F.col(c).alias(c + s) for c in ("rep", "label", "n_shingles"))) for s in "xy")
-    rest = x.join(y, "key").where((F.col("labelx") < F.col("labely")) & _similar_sizes("n_shinglesx", "n_shinglesy", percent)).select(
+    mixed = written(mixed.select("key"), "mixed-keys")
+    open_ = written(labelled.join(mixed, "key").join(reps.select("rep", "keys", "fine"), "rep"), "open")
+    x, y = (open_.select("key", *(F.col(c).alias(c + s) for c in ("band", "rep", "label", "n_shingles", "keys", "fine"))) for s in "xy")
+    earlier = F.arrays_overlap(F.slice("keysx", F.lit(1), F.col("bandx")), F.slice("keysy", F.lit(1), F.col("bandx")))
+    cond = ((x.key == y.key) & (F.col("labelx") < F.col("labely")) & _similar_sizes("n_shinglesx", "n_shinglesy", percent)
+            & _not_far("finex", "finey", percent) & ~earlier)
+    rest = x.join(y, cond).select(
         F.least("repx", "repy").alias("u"), F.greatest("repx", "repy").alias("v")).distinct()
     tried = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     rest = rest.join(tried, ["u", "v"], "left_anti")
@@ -239,7 +276,7 @@ def classes(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     of_set = reps.join(found, F.col("rep") == F.col("node"), "left").select(
         "set_a", "set_b", F.col("n_shingles").alias("_n"), F.coalesce("component", "rep").alias("component_id"))
-    s = sk.drop("sketch")
+    s = sk.drop("sketch", "keys", "fine")
     cond = (s.set_a == of_set.set_a) & (s.set_b == of_set.set_b) & (s.n_shingles == F.col("_n"))
     return s.join(of_set, cond, "left").select(
         "doc_id", "text_key", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
