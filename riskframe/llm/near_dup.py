@@ -265,7 +265,7 @@ def classes(docs: DataFrame, percent: int = 75) -> DataFrame:
     x, y = (open_.select("key", *(F.col(c).alias(c + s) for c in ("band", "rep", "label", "n_shingles", "keys", "fine"))) for s in "xy")
     earlier = F.arrays_overlap(F.slice("keysx", F.lit(1), F.col("bandx")), F.slice("keysy", F.lit(1), F.col("bandx")))
     cond = ((x.key == y.key) & (F.col("labelx") < F.col("labely")) & _similar_sizes("n_shinglesx", "n_shinglesy", percent)
-            & _not_far("finex", "finey", percent) & ~earlier)
+            & ~earlier & _not_far("finex", "finey", percent))
     rest = x.join(y, cond).select(
         F.least("repx", "repy").alias("u"), F.greatest("repx", "repy").alias("v")).distinct()
     tried = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
