@@ -12,9 +12,14 @@ a salted group key, bins the distance, and sums moments per (group, bin) with a
 combine. The subset is whole bins of distance, so a group of any size is summed where its
 rows are; only at most ``BINS`` rows of moments a group meet in one task.
 
-Null text has no words; null lang or source are values of their own. Groups under
-``min_group`` rows get no verdict from the method: their base rules decide. Equal rows get
-equal verdicts. Extra columns are kept by ``filter_documents`` and ignored otherwise. An
+A group under ``min_group`` rows is too small for an estimate of its own: its rows are
+judged by the estimate of their whole language, and where that has too few rows too, by that
+of the whole table (of any size). These pools are made of all their rows, by the same steps
+and the same binned sums as a group, so every row has a robust distance; pools that no small
+group needs are not computed.
+
+Null text has no words; null lang or source are values of their own. Equal rows get equal
+verdicts. Extra columns are kept by ``filter_documents`` and ignored otherwise. An
 empty table gives an empty result.
 """
 
@@ -41,7 +46,7 @@ PAIRS = [(i, j) for i in range(5) for j in range(i, 5)]
 # nearly all agree (no symbols, no repeats) would else reject any row that differs at all.
 FLOORS = (0.5, 0.35, 0.1, 0.5, 0.15)
 
-STATS_SCHEMA = ("doc_id long, text_key long, group_key string, n_words long, word_chars long, n_symbols long, "
+STATS_SCHEMA = ("doc_id long, text_key long, group_key string, lang_key string, n_words long, word_chars long, n_symbols long, "
                 "n_dup_lines long, n_repeat_words long, " + ", ".join(f"{f} double" for f in FEATURES))
 
 _SYMBOL = np.zeros(256, dtype=bool)
@@ -100,10 +105,10 @@ def _stats_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         data, offsets = text_bytes(batch.column("text"))
         for lo, hi in row_groups(offsets):
             s = _statistics(data[offsets[lo]: offsets[hi]], offsets[lo: hi + 1] - offsets[lo])
-            cols = [batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "text_key", "group_key")]
+            cols = [batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "text_key", "group_key", "lang_key")]
             yield pa.RecordBatch.from_arrays(
                 cols + [pa.array(v) for v in s.values()] + [pa.array(v, pa.float64()) for v in _features(s)],
-                ["doc_id", "text_key", "group_key", *s, *FEATURES])
+                ["doc_id", "text_key", "group_key", "lang_key", *s, *FEATURES])
 
 
 def _marked(c: str):
@@ -115,7 +120,7 @@ def statistics(docs: DataFrame) -> DataFrame:
     need(docs, "doc_id", "text", "lang", "source")
     group = F.concat_ws("\x01", _marked("lang"), _marked("source"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"),
-                       group.alias("group_key"), F.col("text"))
+                       group.alias("group_key"), F.concat(F.lit("L"), _marked("lang")).alias("lang_key"), F.col("text"))
     return map_arrow(rows, _stats_batches, STATS_SCHEMA)
 
 
@@ -142,18 +147,18 @@ def consistency(support: float, p: int = 5) -> float:
     return support / chi2_cdf(lo, p + 2)
 
 
-_EST_SCHEMA = ("group_key string, n long, " + ", ".join(f"m{i} double" for i in range(5)) + ", "
+_EST_SCHEMA = ("pool string, n long, " + ", ".join(f"m{i} double" for i in range(5)) + ", "
                + ", ".join(f"w{i}{j} double" for i, j in PAIRS))
 
 
-def _estimate(group_key: str, n: int, mean: np.ndarray, cov: np.ndarray) -> list:
+def _estimate(pool: str, n: int, mean: np.ndarray, cov: np.ndarray) -> list:
     cov = cov + np.diag(np.square(FLOORS))
     inv = np.linalg.inv(cov)
-    return [group_key, int(n), *map(float, mean), *(float(inv[i, j]) for i, j in PAIRS)]
+    return [pool, int(n), *map(float, mean), *(float(inv[i, j]) for i, j in PAIRS)]
 
 
 def _names() -> list[str]:
-    return ["group_key", "n", *(f"m{i}" for i in range(5)), *(f"w{i}{j}" for i, j in PAIRS)]
+    return ["pool", "n", *(f"m{i}" for i in range(5)), *(f"w{i}{j}" for i, j in PAIRS)]
 
 
 def _start(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -162,7 +167,7 @@ def _start(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for r in pdf.itertuples(index=False):
             q = [np.asarray(getattr(r, f"q{i}"), dtype=float) for i in range(5)]
             spread = np.array([(x[2] - x[0]) / 1.349 for x in q])
-            out.append(_estimate(r.group_key, r.n, np.array([x[1] for x in q]), np.diag(spread ** 2)))
+            out.append(_estimate(r.pool, r.n, np.array([x[1] for x in q]), np.diag(spread ** 2)))
         yield pd.DataFrame(out, columns=_names())
 
 
@@ -180,37 +185,56 @@ def _concentrate(support: float):
         for i, j in PAIRS:
             cov[i, j] = cov[j, i] = use[f"s{i}{j}"].sum() / h - mean[i] * mean[j]
         scale = factor if h < n else 1.0
-        return pd.DataFrame([_estimate(pdf["group_key"].iloc[0], n, mean, cov * scale)], columns=_names())
+        return pd.DataFrame([_estimate(pdf["pool"].iloc[0], n, mean, cov * scale)], columns=_names())
 
     return step
 
 
-def _with_distance(stats: DataFrame, est: DataFrame, salts: int) -> DataFrame:
-    """Squared distance of each row. The group key is salted on both sides."""
+def _with_distance(rows: DataFrame, est: DataFrame, salts: int) -> DataFrame:
+    """Squared distance of each row from the estimate of its pool. The pool is salted on both sides."""
     spread = est.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    rows = stats.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(salts)).cast("int"))
-    j = rows.join(spread, ["group_key", "salt"])
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(salts)).cast("int"))
+    j = rows.join(spread, ["pool", "salt"])
     d = [F.col(f"x{i}") - F.col(f"m{i}") for i in range(5)]
     total = sum((1 if i == j_ else 2) * d[i] * d[j_] * F.col(f"w{i}{j_}") for i, j_ in PAIRS)
     return j.withColumn("distance2", F.greatest(total, F.lit(0.0))).drop("salt")
 
 
-def estimates(stats: DataFrame, support: float = 0.75, steps: int = 3) -> tuple[DataFrame, int]:
-    """MCD estimate of every group, and the number of salts of the group key."""
-    n_rows = stats.count()
+TABLE = "T"  # the pool of all rows; group keys begin with = or -, those of languages with L
+
+
+def pools(stats: DataFrame, min_group: int = 30) -> DataFrame:
+    """Of every (lang, source) group: ``judge``, the pool whose estimate judges its rows (the
+    group, its language or the table), and ``pools``, the pools that its rows are part of."""
+    groups = written(stats.groupBy("lang_key", "group_key").agg(F.count(F.lit(1)).alias("n_group")), "quality-groups")
+    langs = groups.groupBy("lang_key").agg(
+        F.sum("n_group").alias("n_lang"), F.min("n_group").alias("least"))
+    langs = written(langs.select("lang_key", (F.col("least") < min_group).alias("pooled"), (F.col("n_lang") < min_group).alias("few")), "quality-langs")
+    whole = bool(langs.agg(F.max(F.col("pooled") & F.col("few"))).first()[0])
+    own = F.col("n_group") >= min_group
+    judge = F.when(own, F.col("group_key")).when(~F.col("few"), F.col("lang_key")).otherwise(F.lit(TABLE))
+    parts = F.array(F.when(own, F.col("group_key")), F.when(F.col("pooled") & ~F.col("few"), F.col("lang_key")),
+                    F.lit(TABLE if whole else None).cast("string"))
+    return written(groups.join(langs, "lang_key").select(
+        "lang_key", "group_key", judge.alias("judge"), F.array_compact(parts).alias("pools")), "quality-pools")
+
+
+def estimates(rows: DataFrame, support: float = 0.75, steps: int = 3) -> tuple[DataFrame, int]:
+    """MCD estimate of every pool, from ``rows`` that name theirs, and the number of salts."""
+    n_rows = rows.count()
     salts = max(1, math.ceil(n_rows / ROWS_PER_SALT))
-    quartiles = stats.groupBy("group_key").agg(
+    quartiles = rows.groupBy("pool").agg(
         F.count(F.lit(1)).alias("n"),
         *(F.percentile_approx(f, [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i, f in enumerate(FEATURES)))
     est = written(quartiles.mapInPandas(_start, _EST_SCHEMA), "mcd-start")
     # log-spaced bins: 32 to a doubling of 1 + d2, the last one open
     bin_ = F.least(F.floor(F.log2(1 + F.col("distance2")) * 32), F.lit(BINS - 1)).cast("int")
     for _ in range(steps):
-        binned = _with_distance(stats, est, salts).withColumn("bin", bin_)
-        sums = binned.groupBy("group_key", "bin").agg(
+        binned = _with_distance(rows, est, salts).withColumn("bin", bin_)
+        sums = binned.groupBy("pool", "bin").agg(
             F.count(F.lit(1)).alias("c"), *(F.sum(f"x{i}").alias(f"s{i}") for i in range(5)),
             *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}{j}") for i, j in PAIRS))
-        est = written(sums.groupBy("group_key").applyInPandas(_concentrate(support), _EST_SCHEMA), "mcd-step")
+        est = written(sums.groupBy("pool").applyInPandas(_concentrate(support), _EST_SCHEMA), "mcd-step")
     return est, salts
 
 
@@ -218,10 +242,12 @@ def quality_rules(docs: DataFrame, support: float = 0.75, steps: int = 3, cutoff
                   min_group: int = 30, min_words: int = 20, max_repeat_percent: int = 30) -> DataFrame:
     """One row per document: doc_id, text_key, statistics, distance2, base_failed, kept."""
     stats = written(statistics(docs), "quality-stats")
-    est, salts = estimates(stats, support, steps)
-    out = _with_distance(stats, est, salts).withColumn("base_failed", base_failed(min_words, max_repeat_percent))
-    fits = (F.col("n") < min_group) | (F.col("distance2") <= cutoff)
-    return out.withColumn("kept", ~F.col("base_failed") & fits).select(
+    of_group = stats.join(pools(stats, min_group), ["lang_key", "group_key"])
+    parts = of_group.select("doc_id", "text_key", F.explode("pools").alias("pool"), *FEATURES)
+    est, salts = estimates(written(parts, "quality-parts"), support, steps)
+    out = _with_distance(of_group.withColumnRenamed("judge", "pool"), est, salts).withColumn(
+        "base_failed", base_failed(min_words, max_repeat_percent))
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("distance2") <= cutoff)).select(
         "doc_id", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "distance2", "base_failed", "kept", "group_key")
 

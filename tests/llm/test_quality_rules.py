@@ -72,3 +72,24 @@ def test_chi_square():
 def test_base_rule_bounds(spark):
     df = spark.createDataFrame([(19, 0), (20, 6), (20, 7)], "n_words long, n_repeat_words long")
     assert [r[0] for r in df.select(base_failed()).collect()] == [True, False, True]
+
+
+def test_small_groups_are_judged_by_their_language_or_the_table(spark, text_of):
+    junk = " ".join(w + "###" for w in text_of(50, 1, 5000).split())
+    tail = [(k, text_of(40 + k % 20, k, 5000), "en", f"host{k}") for k in range(60)]
+    large = [(100 + k, text_of(40 + k % 20, 200 + k, 5000), "en", "large") for k in range(40)]
+    odd = [(300, junk, "en", "host-a"), (301, junk, "en", None), (302, junk, "fr", "host-b"), (303, junk, None, None)]
+    few = [(400, text_of(50, 999, 5000), "fr", "host-c")]
+    df = spark.createDataFrame(tail + large + odd + few, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in quality_rules(df).collect()}
+    assert len(got) == 105 and all(r["distance2"] is not None for r in got.values())
+    assert [i for i in sorted(got) if not got[i]["kept"]] == [300, 301, 302, 303]
+
+    def d2(rows):
+        x = [brute.features(brute.statistics(r[1])) for r in rows]
+        return dict(zip([r[0] for r in rows], brute.distances(x, FLOORS, factor=consistency(0.75))))
+
+    english, table = d2(tail + large + odd[:2]), d2(tail + large + odd + few)
+    for i, want in [*((r[0], english) for r in tail + odd[:2]), *((r[0], table) for r in odd[2:] + few),
+                    *((r[0], d2(large)) for r in large[:3])]:
+        assert got[i]["distance2"] == pytest.approx(want[i], rel=1e-6, abs=1e-9)
