@@ -7,7 +7,9 @@ shares with a template shares a fingerprint. Hits of the templates' inverted ind
 by template and diagonal (document position minus template position); a local alignment of
 the words in a band around each group's diagonals, with matches, mismatches and gaps, gives
 the matched part: ``coverage`` (share of the template's words matched), word and character
-spans in the document and word span in the template. Of matches that overlap in a document
+spans in the document and word span in the template. What lies left and right of a matched
+part is aligned again in the same band, so notices that follow each other closely are a row
+each. Of matches that overlap in a document
 the one with most words matched stays.
 
 Templates are a parameter of the job, not a table: the index is built from them in each task
@@ -20,6 +22,7 @@ equal matches. Extra columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from typing import Iterator, Mapping
 
 import numpy as np
@@ -131,9 +134,8 @@ class Index:
         return order[near >= least[order]]
 
 
-def align(doc: np.ndarray, template: np.ndarray, low: int, high: int) -> tuple[int, list[tuple[int, int]]]:
-    """Best local alignment with document minus template position within [low, high]:
-    its score and the matched (document, template) positions."""
+def _scores(doc: np.ndarray, template: np.ndarray, low: int, high: int) -> np.ndarray:
+    """Best score of a local alignment that ends at each template word and diagonal."""
     width = high - low + 1
     j = np.arange(width)
     best = np.zeros((len(template) + 1, width), dtype=np.int64)
@@ -147,6 +149,14 @@ def align(doc: np.ndarray, template: np.ndarray, low: int, high: int) -> tuple[i
         row = np.maximum(np.maximum(pair, down), 0)
         # document words stand alone: a linear gap is a running maximum
         best[i] = np.maximum(np.maximum.accumulate(row - GAP * j) + GAP * j, 0)
+    return best
+
+
+def align(doc: np.ndarray, template: np.ndarray, low: int, high: int) -> tuple[int, list[tuple[int, int]]]:
+    """Best local alignment with document minus template position within [low, high]:
+    its score and the matched (document, template) positions."""
+    width = high - low + 1
+    best = _scores(doc, template, low, high)
     i, c = np.unravel_index(int(best.argmax()), best.shape)
     score, pairs = int(best[i, c]), []
     while i > 0 and best[i, c] > 0:
@@ -167,6 +177,59 @@ def align(doc: np.ndarray, template: np.ndarray, low: int, high: int) -> tuple[i
     return score, pairs[::-1]
 
 
+def alignments(doc: np.ndarray, template: np.ndarray, low: int, high: int, least: int) -> Iterator[list[tuple[int, int]]]:
+    """Matched positions of the alignments of ``least`` words or more that share no document
+    word: the best one, then the best of what lies left and right of it, and so on.
+
+    A local alignment spans at most three times the template's words of the document. So what
+    is found changes the scores of as many words to its right only, and they alone are aligned
+    again: the work grows with the document's words, not with their product with the notices."""
+    reach = 3 * len(template)
+
+    def band(a: int, b: int) -> tuple:
+        return doc[a:b], template, max(low, a - len(template)) - a, min(high, b) - a
+
+    def ends(a: int, b: int) -> np.ndarray:
+        """Best score of an alignment within doc[a:b] that ends at each of its words."""
+        out = np.zeros(b - a, dtype=np.int64)
+        part, _, lo, hi = band(a, b)
+        if hi >= lo:
+            best = _scores(part, template, lo, hi)
+            for i in range(len(template)):
+                x, y = max(0, i + lo), min(b - a, i + hi + 1)
+                if x < y:
+                    out[x:y] = np.maximum(out[x:y], best[i + 1, x - i - lo: y - i - lo])
+        # too few of the template's words before this end
+        n = np.append(0, np.cumsum(known[a:b]))
+        stop = np.arange(1, b - a + 1)
+        return np.where(n[stop] - n[np.maximum(stop - reach, 0)] < least, 0, out)
+
+    known = np.isin(doc, template)
+    taken = np.zeros(len(doc), dtype=bool)
+    score = ends(0, len(doc))
+    while len(score):
+        end = int(score.argmax()) + 1
+        if score[end - 1] <= 0:
+            return
+        a = max(0, end - reach)
+        before = np.flatnonzero(taken[a:end])
+        a = a + int(before[-1]) + 1 if len(before) else a
+        _, pairs = align(*band(a, end))
+        if not pairs:
+            score[end - 1] = 0
+            continue
+        pairs = [(a + x, y) for x, y in pairs]
+        first, last = pairs[0][0], max(end, pairs[-1][0] + 1)
+        if len(pairs) >= least:
+            yield pairs
+        taken[first:last], score[first:last] = True, 0
+        b = min(len(doc), last + reach)
+        after = np.flatnonzero(taken[last:b])
+        b = last + int(after[0]) if len(after) else b
+        if b > last:
+            score[last:b] = ends(last, b)
+
+
 def _matches(doc: np.ndarray, index: Index, at: np.ndarray, entry: np.ndarray, least: float) -> list[tuple]:
     """(template, coverage, document span, template span, words matched) of one document's hits."""
     out = []
@@ -179,10 +242,12 @@ def _matches(doc: np.ndarray, index: Index, at: np.ndarray, entry: np.ndarray, l
         lo = max(0, int(diagonal[a]) - BAND)
         hi = min(len(doc), int(diagonal[b - 1]) + len(template) + BAND)
         part = doc[lo:hi]
-        _, pairs = align(part, template, int(diagonal[a]) - lo - BAND, int(diagonal[b - 1]) - lo + BAND)
-        coverage = len(pairs) / len(template)
-        if pairs and coverage >= least:
-            out.append((int(t[a]), coverage, lo + pairs[0][0], lo + pairs[-1][0] + 1, pairs[0][1], pairs[-1][1] + 1, len(pairs)))
+        low, high = int(diagonal[a]) - lo - BAND, int(diagonal[b - 1]) - lo + BAND
+        # as many words as make coverage >= least
+        words = next((k for k in range(1, len(template) + 1) if k / len(template) >= least), len(template) + 1)
+        for pairs in alignments(part, template, low, high, words):
+            out.append((int(t[a]), len(pairs) / len(template), lo + pairs[0][0], lo + pairs[-1][0] + 1,
+                        pairs[0][1], pairs[-1][1] + 1, len(pairs)))
     return out
 
 
@@ -191,9 +256,10 @@ def distinct_spans(found: list[tuple]) -> list[tuple]:
     best covered, then the first template)."""
     kept: list[tuple] = []
     for m in sorted(found, key=lambda m: (-m[6], -m[1], m[0])):
-        if all(m[3] <= k[2] or k[3] <= m[2] for k in kept):
-            kept.append(m)
-    return sorted(kept, key=lambda m: m[2])
+        i = bisect_left(kept, m[2], key=lambda k: k[2])
+        if (i == 0 or kept[i - 1][3] <= m[2]) and (i == len(kept) or m[3] <= kept[i][2]):
+            kept.insert(i, m)
+    return kept
 
 
 MATCHES = ("doc_id long, template string, coverage double, word_start int, word_end int, char_start int, char_end int, "
@@ -226,8 +292,9 @@ def _scan_batches(templates: Mapping[str, str], least: float):
                     r = row[x]
                     first, last = tokens.first[r], tokens.first[r + 1]
                     found = _matches(tokens.hash[first:last], index, at[x:y] - first, entry[x:y], least)
+                    chars_before = np.append(0, np.cumsum((own[bounds[r]: bounds[r + 1]] & 0xC0) != 0x80))
                     for t, coverage, a, b, ta, tb, _ in distinct_spans(found):
-                        chars = [len(own[bounds[r]: z].tobytes().decode()) for z in (tokens.start[first + a], tokens.end[first + b - 1])]
+                        chars = [int(chars_before[z - bounds[r]]) for z in (tokens.start[first + a], tokens.end[first + b - 1])]
                         rows.append((ids[lo + int(r)].as_py(), index.names[t], coverage, a, b, *chars, ta, tb, len(index.words[t])))
                 yield pa.RecordBatch.from_pylist([dict(zip(schema.names, x)) for x in rows], schema=schema)
 

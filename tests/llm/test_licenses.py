@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from riskframe.llm.licenses import GAP, MATCH, MISMATCH, TEMPLATES, align, scan_licenses
+from riskframe.llm.licenses import GAP, MATCH, MISMATCH, TEMPLATES, align, alignments, scan_licenses
 
 
 def test_planted_notices_are_found(docs_of, text_of, odd_texts):
@@ -56,3 +56,52 @@ def test_alignment_equals_the_full_one_in_a_wide_band():
         assert score == _full(doc, template)
         assert all(doc[a] == template[b] for a, b in pairs)
         assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:]))
+
+
+def _full_runs(doc, template, least):
+    """Spans of the best full alignments, of what lies left and right of them, and so on."""
+    _, pairs = align(doc, template, -len(template), len(doc))
+    if not pairs or len(pairs) < least:
+        return []
+    a, b = pairs[0][0], pairs[-1][0] + 1
+    return _full_runs(doc[:a], template, least) + [(a, b)] + [(b + x, b + y) for x, y in _full_runs(doc[b:], template, least)]
+
+
+def test_repeated_notices_are_a_row_each(docs_of, text_of):
+    short = {n: t for n, t in TEMPLATES.items() if len(t.split()) < 20}
+    texts, want = [], []
+    for n, t in short.items():
+        for k, between in ((2, " "), (3, "\n"), (7, " and "), (5, " one two three ")):
+            texts.append(text_of(12, k) + " " + between.join([t] * k) + " " + text_of(12, k + 50))
+            want.append((n, k, t))
+    rows = {}
+    for x in scan_licenses(docs_of(enumerate(texts))).collect():
+        rows.setdefault(x["doc_id"], []).append(x)
+    for i, (n, k, t) in enumerate(want):
+        assert [x["template"] for x in rows[i]] == [n] * k, texts[i]
+        assert {texts[i][x["char_start"]: x["char_end"]] for x in rows[i]} == {t.rstrip(".")}
+    both = "All rights reserved. Released under the MIT License. " * 3
+    found = sorted(scan_licenses(docs_of([(1, both)])).collect(), key=lambda x: x["word_start"])
+    assert [x["template"] for x in found] == ["all-rights-reserved", "mit-line"] * 3
+
+
+def test_repeats_equal_repeated_full_alignment():
+    r = np.random.default_rng(3)
+    for size in (3, 5, 8, 12):
+        template = np.arange(size).astype(np.uint64)
+        for _ in range(40):
+            parts = []
+            for _ in range(r.integers(1, 9)):
+                p = template.copy()
+                if r.random() < 0.3:
+                    p[r.integers(size)] = 99
+                parts += [p, r.integers(100, 200, r.integers(0, 5)).astype(np.uint64)]
+            doc = np.concatenate(parts)
+            least = -(-size * 4 // 5)
+            got = sorted((p[0][0], p[-1][0] + 1) for p in alignments(doc, template, -size, len(doc), least))
+            assert got == _full_runs(doc, template, least)
+
+
+def test_a_long_run_of_notices(docs_of):
+    rows = scan_licenses(docs_of([(1, "All rights reserved.\n" * 5000)])).collect()
+    assert len(rows) == 5000 and len({x["char_start"] for x in rows}) == 5000
