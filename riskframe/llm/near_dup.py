@@ -9,7 +9,8 @@ collision-corrected estimate from all registers drops far ones; full sets decide
 
 As Spark work:
 1. one Arrow pass over the texts gives set size, 128-bit set digest and sketch;
-2. documents with equal sets become one class, represented by its smallest doc_id;
+2. rows with equal sets become one class with a number of its own, represented by its smallest
+   (doc_id, text_key), ids that are null last;
 3. band keys of representatives are counted; keys held by one representative go away;
 4. in each remaining bucket the member that meets most others over all bands is the hub,
    and every other member of similar size is paired with it: pairs grow with the rows,
@@ -27,10 +28,12 @@ about 5e-6, and less above. Hot buckets, hot texts and hot hubs only meet in sum
 joins against one row a key, which adaptive execution splits.
 
 Null and empty texts have no shingles and are linked with nothing. A text under five words
-is one shingle. Repeated rows have equal sets. doc_id is taken to name one text: rows that
-share an id share a component, and one of their texts is compared with others. A null doc_id is ignored as a representative
-when its set has another id; alone it stays its own component (null). Empty tables give
-empty results.
+is one shingle. A row is known by (doc_id, text_key): rows that share an id, or have none, but
+differ in text are linked by their texts only. A component keeps one row, that of the smallest
+key (null ids last), and so do fully equal rows, also without shingles. The smallest doc_id of
+a component is its component_id, null if no row has one; rows that share an id without being
+alike so have one component_id in two components, and one row of each is kept. Empty tables
+give empty results.
 """
 
 from __future__ import annotations
@@ -51,6 +54,8 @@ REGISTERS, BANDS, ROWS = 128, 32, 4
 MANTISSA = 10
 MARGIN = 0.2  # estimates under the threshold by more than this (5 standard errors) are dropped
 EMPTY = 0xFFFF
+# order of the rows of a component: smallest (doc_id, text_key), null ids last, one of equal rows
+KEY_NAMES = ("without", "doc_id", "text_key", "row")
 FINE, FINE_ERRORS = 512, 4.8  # buckets of the fine sketch, standard errors of its margin
 
 
@@ -223,13 +228,15 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def classes(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """doc_id, text_key, n_shingles, component_id of every row of ``docs``."""
+    """doc_id, text_key, n_shingles, component_id of every row of ``docs``, and whether it is the
+    one that its component keeps."""
     need(docs, "doc_id", "text")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"), "text")
-    sk = written(map_arrow(rows, _sketch_batches, SKETCH_SCHEMA), "sketches")
-    reps = sk.where("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b", "n_shingles").agg(
-        F.min(F.struct("doc_id", "text_key", "sketch", "keys", "fine")).alias("r")).select(
-        "set_a", "set_b", "n_shingles", F.col("r.doc_id").alias("rep"), F.col("r.text_key").alias("text_key"),
+    sk = written(map_arrow(rows, _sketch_batches, SKETCH_SCHEMA).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    # a number for every class, fixed by being written; what it is decides no result
+    reps = sk.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(
+        F.min(F.struct(F.isnull("doc_id").alias("without"), *KEY_NAMES[1:], "sketch", "keys", "fine")).alias("r")).select(
+        "set_a", "set_b", "n_shingles", F.monotonically_increasing_id().alias("rep"), F.struct(*(f"r.{c}" for c in KEY_NAMES)).alias("first"),
         F.col("r.sketch").alias("sketch"), F.col("r.keys").alias("keys"), F.col("r.fine").alias("fine"))
     reps = written(reps, "set-classes")
 
@@ -249,8 +256,8 @@ def classes(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     # texts of the representatives that meet any other, once, for all verification
     some = reps.join(met.select("rep"), "rep", "left_semi").select(
-        F.col("rep"), F.col("text_key").alias("_key"), "sketch", "n_shingles")
-    texts = written(rows.join(some.hint("shuffle_hash"), (F.col("doc_id") == F.col("rep")) & (F.col("text_key") == F.col("_key")))
+        F.col("rep"), F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key"), "sketch", "n_shingles")
+    texts = written(rows.join(some.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")))
                     .select("rep", "text", "sketch", "n_shingles").dropDuplicates(["rep"]), "texts")
     links = written(_verified(pairs, texts, percent), "links")
     found = connected_components(links)
@@ -274,24 +281,41 @@ def classes(docs: DataFrame, percent: int = 75) -> DataFrame:
     if not more.isEmpty():
         found = connected_components(links.union(more))
 
-    of_set = reps.join(found, F.col("rep") == F.col("node"), "left").select(
-        "set_a", "set_b", F.col("n_shingles").alias("_n"), F.coalesce("component", "rep").alias("component_id"))
+    of_rep = written(reps.join(found, F.col("rep") == F.col("node"), "left").select(
+        "set_a", "set_b", F.col("n_shingles").alias("_n"), "first", F.coalesce("component", "rep").alias("label")), "of-class")
+    first = written(of_rep.groupBy("label").agg(F.min("first").alias("kept_row")), "first-rows")
+    of_set = of_rep.drop("first").join(first, "label")
     s = sk.drop("sketch", "keys", "fine")
     cond = (s.set_a == of_set.set_a) & (s.set_b == of_set.set_b) & (s.n_shingles == F.col("_n"))
-    return s.join(of_set, cond, "left").select(
-        "doc_id", "text_key", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    out = ["doc_id", "text_key", "n_shingles"]
+    linked = s.join(of_set, cond).select(
+        *out, F.col("kept_row.doc_id").alias("component_id"), (F.col("row") == F.col("kept_row.row")).alias("kept"))
+    bare = s.where("n_shingles = 0")
+    ones = bare.groupBy("doc_id", "text_key").agg(F.min("row").alias("row")).select("row", F.lit(True).alias("one"))
+    return linked.union(bare.join(ones, "row", "left").select(
+        *out, F.col("doc_id").alias("component_id"), F.coalesce("one", F.lit(False)).alias("kept")))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept (doc_id = component_id)."""
-    return classes(docs, percent).select(
-        "doc_id", "n_shingles", "component_id",
-        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept (one row a component)."""
+    return classes(docs, percent).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """The documents that represent their component (one row of each id), with all columns."""
-    kept = classes(docs, percent).where(F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))).groupBy(
-        F.col("doc_id").alias("_k_id")).agg(F.min("text_key").alias("_k_text"))
+    """The rows that represent their component, one of each, with all columns. Of rows equal in
+    id and text that differ in other columns any one stays."""
+    nodes = classes(docs, percent).groupBy(F.col("doc_id").alias("_k_id"), F.col("text_key").alias("_k_text")).agg(
+        F.count(F.lit(1)).alias("copies"), F.max("kept").alias("kept")).where("kept")
+    nodes = written(nodes, "kept-rows")
     cond = F.col("doc_id").cast("long").eqNullSafe(F.col("_k_id")) & (text_key(F.col("text")) == F.col("_k_text"))
-    return docs.join(kept.hint("shuffle_hash"), cond, "left_semi")
+
+    def of(some: DataFrame) -> DataFrame:
+        return docs.join(some.hint("shuffle_hash"), cond, "left_semi")
+
+    again = nodes.where("copies > 1")
+    if again.isEmpty():
+        return of(nodes)
+    # named so that no column of the documents is taken for them
+    keys = {"\x01id": F.col("doc_id").cast("long"), "\x01text": text_key(F.col("text"))}
+    one = of(again).withColumns(keys).dropDuplicates(list(keys)).drop(*keys)
+    return of(nodes.where("copies = 1")).union(one)

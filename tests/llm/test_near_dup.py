@@ -84,3 +84,22 @@ def test_connected_components(spark):
     assert got == {i: find(i) for e in edges if e[0] != e[1] for i in e}
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
     assert connected_components(spark.createDataFrame(edges, "u long, v long")).groupBy("node").count().where(F.col("count") > 1).count() == 0
+
+
+def test_rows_without_or_with_shared_ids_are_told_apart_by_text(docs_of, text_of):
+    base, other, third = (text_of(150, k, 3000) for k in (71, 72, 73))
+    pairs = [(None, base), (None, _family(base, 1, 2)), (None, other), (None, third), (7, text_of(90, 74, 3000)),
+             (7, text_of(90, 75, 3000)), (9, _family(third, 2, 2)), (5, text_of(60, 76, 3000)), (5, text_of(60, 76, 3000)),
+             (None, other), (7, _family(text_of(90, 75, 3000), 3, 1)), (11, ""), (11, ""), (12, "")]
+    df = docs_of(pairs)
+    want = [(5, pairs[7][1]), (7, pairs[4][1]), (9, pairs[6][1]), (11, ""), (12, ""), (None, other)]
+    got = [(r["doc_id"], r["text"]) for r in drop_near_duplicates(df).collect()]
+    assert sorted(x for x in got if x[0] not in (None, 7)) == [x for x in want if x[0] not in (None, 7)]
+    null = [t for i, t in got if i is None]
+    assert len(null) == 2 and other in null and (set(null) - {other}) <= {base, pairs[1][1]}
+    seven = [t for i, t in got if i == 7]
+    assert len(seven) == 2 and pairs[4][1] in seven and (set(seven) - {pairs[4][1]}) <= {pairs[5][1], pairs[10][1]}
+    rows = near_duplicates(df).collect()
+    assert len(rows) == len(pairs) and sum(r["kept"] for r in rows) == len(got) == 9 - 1
+    # a row without an id takes the component_id of the near copy that has one
+    assert sorted(str(r["component_id"]) for r in rows if r["doc_id"] is None) == ["9", "None", "None", "None", "None"]
