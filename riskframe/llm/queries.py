@@ -105,12 +105,20 @@ def op7_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotate(table(spark, sf_dir, "conversations")).withColumn("spans", spans)
 
 
+@query
+def op12_pointer_jumping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskframe.llm.manifest import document_manifest
+
+    return document_manifest(table(spark, sf_dir, "documents"))
+
+
 def _oracles() -> None:
-    from riskframe.llm import chat, line_dedup, warc
+    from riskframe.llm import chat, line_dedup, manifest, warc
 
     ORACLES["op3_line_windows"] = line_dedup.ORACLE
     ORACLES["op7_perspectives"] = chat.ORACLE
     ORACLES["op9_archive"] = warc.ORACLE
+    ORACLES["op12_pointer_jumping"] = manifest.oracle()
 
 
 _oracles()
