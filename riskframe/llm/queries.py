@@ -105,6 +105,13 @@ def op7_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotate(table(spark, sf_dir, "conversations")).withColumn("spans", spans)
 
 
+@query
+def op11_chebyshev(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskframe.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op12_pointer_jumping(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskframe.llm.manifest import document_manifest
