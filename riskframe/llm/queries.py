@@ -119,6 +119,13 @@ def op12_pointer_jumping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_manifest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_universe_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskframe.llm.set_join import similar_sets
+
+    return similar_sets(table(spark, sf_dir, "documents"))
+
+
 def _oracles() -> None:
     from riskframe.llm import chat, line_dedup, manifest, warc
 
