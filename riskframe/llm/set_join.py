@@ -48,7 +48,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.components import connected_components
-from riskframe.llm.shared import map_arrow, need, text_key, written
+from riskframe.llm.shared import discard, map_arrow, need, text_key, written
 from riskframe.llm.textcols import U, Words, distinct_per_row, mix, mix_int, row_groups, shingles, text_bytes
 
 MOST_FREQUENT = 1 << 16  # frequent shingles that are told apart; beyond it the less frequent count as rare
@@ -388,7 +388,8 @@ def similar_sets(docs: DataFrame, percent: int = 80) -> DataFrame:
         raise ValueError("percent must be 50 to 100: similar sets lie in one band or in two that follow each other")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"), "text")
     bands, frequent = measure(rows.select("text"), percent)
-    signed = written(map_arrow(rows, _sign(bands, frequent, percent), SIGNED), "signed")
+    full = written(map_arrow(rows, _sign(bands, frequent, percent), SIGNED), "signed")
+    signed = written(full.drop("keys"), "sets")
     # classes of equal sets get numbers, fixed by being written; what they are decides no result
     classes = signed.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(
         F.min("doc_id").alias("least"), F.min(F.struct(F.isnull("doc_id").alias("without"), "doc_id", "text_key", "parity", "narrow")).alias("r"))
@@ -396,10 +397,11 @@ def similar_sets(docs: DataFrame, percent: int = 80) -> DataFrame:
                                      F.col("r.doc_id").alias("r_id"), F.col("r.text_key").alias("r_key"), F.col("r.parity").alias("parity"), F.col("r.narrow").alias("narrow")), "set-classes")
 
     # 64 bits of the digest stand for a class here; a pair of them means every class that has them
-    keys = signed.select(F.explode("keys").alias("key"), "set_a", "n_shingles")
+    keys = full.select(F.explode("keys").alias("key"), "set_a")
     shared = keys.groupBy("key").agg(F.min("set_a").alias("hub"), F.max("set_a").alias("other")).where("hub <> other")
     shared = written(shared.select("key", "hub"), "shared-keys")
-    buckets = written(keys.join(shared, "key").select("key", "hub", "set_a", "n_shingles"), "buckets")
+    buckets = written(keys.join(shared, "key").select("key", "hub", "set_a"), "buckets")
+    discard(full)  # the largest table; all that is read from here on has been written
     met = classes.join(buckets.select("set_a").distinct(), "set_a", "left_semi")
     met = written(met.select("set_a", "rep", "n_shingles", "parity", "narrow", "r_id", "r_key"), "met")
 

@@ -19,7 +19,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     lost executor loses nothing."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete what ``written`` returned, once all that is made of it has been written too."""
+    sc = df.sparkSession.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(df.scratch)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_key(text: Column) -> Column:
