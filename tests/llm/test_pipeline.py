@@ -9,17 +9,28 @@ from . import brute
 SF = "/root/testdata/sf0.001"
 
 
-def _quality(docs):
-    groups, keep = defaultdict(list), set()
+def _quality(docs, min_group=30):
+    """Ids that the rules keep. A group of fewer than ``min_group`` rows is judged by the estimate of its
+    language, or of the table if that has fewer too."""
     stats = {d["doc_id"]: brute.statistics(d["text"]) for d in docs}
+    pools, keep = defaultdict(list), set()
     for d in docs:
-        groups[d["lang"], d["source"]].append(d["doc_id"])
-    for ids in groups.values():
-        d2 = brute.distances([brute.features(stats[i]) for i in ids], FLOORS, factor=consistency(0.75))
-        for i, x in zip(ids, d2):
-            s = stats[i]
-            if s["n_words"] >= 20 and 100 * s["n_repeat_words"] <= 30 * s["n_words"] and (len(ids) < 30 or x <= 30.0):
-                keep.add(i)
+        for pool in (("group", d["lang"], d["source"]), ("lang", d["lang"]), "table"):
+            pools[pool].append(d["doc_id"])
+
+    def distances(pool):
+        ids = pools[pool]
+        return dict(zip(ids, brute.distances([brute.features(stats[i]) for i in ids], FLOORS, factor=consistency(0.75))))
+
+    known = {}
+    for d in docs:
+        pool = next(p for p in (("group", d["lang"], d["source"]), ("lang", d["lang"]), "table") if p == "table" or len(pools[p]) >= min_group)
+        if pool not in known:
+            known[pool] = distances(pool)
+        s = stats[d["doc_id"]]
+        failed = s["n_words"] < 20 or 100 * s["n_repeat_words"] > 30 * s["n_words"]
+        if not failed and known[pool][d["doc_id"]] <= 30.0:
+            keep.add(d["doc_id"])
     return keep
 
 
