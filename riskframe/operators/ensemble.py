@@ -1,11 +1,9 @@
 """Base-score matrix, blending by a weight grid, stacking with a logistic meta-learner.
 
-Blending (E5) plan: identical base-score tuples are collapsed first (one row per
-distinct tuple with its tp/fp counts); each tuple row then emits one blended score
-per grid point through ``explode`` of a literal weight array (a generator, no
-join); ties are collapsed again per (grid point, blended score) and average
-precision per grid point comes from the bucketed prefix plan keyed by grid point.
-The grid has n or n^2 points (21 / 441 by default), a fixed bound.
+Blending (E5): identical base-score tuples are collapsed first (one row per distinct
+tuple with its tp/fp counts). ``BlendingEnsemble`` finds the best of the n or n^2 grid
+points (21 / 441 by default) by bounds on their average precision (``blend_search``);
+``blend_grid_ap`` gives the table of all of them.
 """
 
 from __future__ import annotations
@@ -20,11 +18,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.operators.metrics import ranking_metrics, scored_rows
+from riskframe.operators.blend_search import TRAVEL_TUPLES, grid_ap_of_few_tuples, grid_best, score_tuples
+from riskframe.operators.metrics import ROUND, ranking_metrics
 from riskframe.operators.score import decide
-from riskframe.plans.materialize import cut, keep
-
-AP_TIE_DIGITS = 9
+from riskframe.plans.materialize import cut
+from riskframe.plans.prefix import ordered_prefix
 
 
 def base_scores(df: DataFrame, scorers: Sequence[tuple[str, Transformer]]) -> DataFrame:
@@ -50,54 +48,40 @@ def weight_grid(n_models: int, n_steps: int = 21) -> list[list[float]]:
 
 
 def blend_grid_ap(df: DataFrame, score_cols: Sequence[str], label_col: str = "Class",
-                  n_steps: int = 21) -> DataFrame:
-    """E5 search table: ``(weight_id, w0.., pr_auc)`` for every grid point."""
+                  n_steps: int = 21, travel: int = TRAVEL_TUPLES) -> DataFrame:
+    """E5 table: ``(weight_id, w0.., pr_auc)`` for every grid point (``grid_best`` finds the best alone).
+
+    Up to ``travel`` distinct score tuples travel to the tasks, which share the points; more of them stay
+    where they are, and the table is exploded by grid point."""
     grid = weight_grid(len(score_cols), n_steps)
     points = list(dict.fromkeys(map(tuple, grid)))  # the grid repeats some points (w0 = 1)
     point_of = {p: i for i, p in enumerate(points)}
-    y = F.col(label_col).cast("long")
-    for c in score_cols:  # a row without one of the scores has no blend
-        df = scored_rows(df, label_col, c)
-    tuples = df.groupBy(*score_cols).agg(F.sum(y).alias("_tp"), F.sum(1 - y).alias("_fp"))
-    # the explode below multiplies every tuple by the grid size: spread the (already
-    # de-duplicated) tuples over all cores first; AQE would otherwise coalesce a small
-    # tuple table into one partition and run the whole expansion in one task
-    spark = df.sparkSession
-    width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    tuples = keep(tuples.repartition(width))
-    n_tuples = tuples.count()  # rows per grid point are at most the distinct tuples
-    # one constant array of doubles per model (a single literal each, not an
-    # expression tree of G structs); rows pick their weight by grid index
-    weights = [F.lit([ws[j] for ws in points]) for j in range(len(score_cols))]
-    ex = tuples.select(*score_cols, "_tp", "_fp",
-                       F.explode(F.sequence(F.lit(0), F.lit(len(points) - 1))).alias("_point"))
-    blended = None
-    for j, c in enumerate(score_cols):
-        term = F.element_at(weights[j], F.col("_point") + 1) * F.col(c)
-        blended = term if blended is None else blended + term
-    per = ex.groupBy("_point", blended.alias("blend")).agg(
-        F.sum("_tp").alias("tp_"), F.sum("_fp").alias("fp_")
-    )
-    # score_curve expects raw rows: reuse its plan on the pre-aggregated pairs
-    from riskframe.plans.prefix import ordered_prefix
-
-    curve = ordered_prefix(
-        per.select("_point", F.col("blend").alias("score"), F.col("tp_").alias("tp"), F.col("fp_").alias("fp")),
-        ["_point"], "score", ["tp", "fp"], descending=True, with_totals=True,
-        size_bound=(n_tuples, len(points)),
-    )
-    ap = ranking_metrics(curve, ["_point"]).select("_point", "pr_auc")
+    tuples = score_tuples(df, score_cols, label_col)
+    n_tuples = tuples.count()
+    if n_tuples <= travel:
+        ap = grid_ap_of_few_tuples(tuples, np.array(points)).select(F.col("point").alias("_point"), F.round("ap", ROUND).alias("pr_auc"))
+    else:
+        ap = _exploded_grid_ap(tuples, points, n_tuples)
     schema = ", ".join(["weight_id INT", "_point INT"] + [f"w{j} DOUBLE" for j in range(len(score_cols))])
     wdf = df.sparkSession.createDataFrame([(i, point_of[tuple(ws)], *ws) for i, ws in enumerate(grid)], schema)
     return wdf.join(F.broadcast(ap), "_point", "left").drop("_point")  # one row per grid point (<= n_steps^2)
 
 
-def blend_best(grid_ap: DataFrame, n_models: int) -> tuple[list[float], float]:
-    """E5 argmax: highest AP (rounded to 9 places against float noise), first grid point on ties."""
-    key = F.struct(F.round("pr_auc", AP_TIE_DIGITS), -F.col("weight_id"))
-    row = grid_ap.agg(F.max_by(F.struct(*[f"w{j}" for j in range(n_models)], "pr_auc"), key).alias("b")).first()
-    b = row["b"]
-    return [float(b[f"w{j}"]) for j in range(n_models)], float(b["pr_auc"] if b["pr_auc"] is not None else -1.0)
+def _exploded_grid_ap(tuples: DataFrame, points: Sequence[Sequence[float]], n_tuples: int) -> DataFrame:
+    """``(_point, pr_auc)`` by the prefix plan keyed by grid point; rows per point are at most the tuples."""
+    spark = tuples.sparkSession
+    # the explode multiplies every tuple by the grid size: AQE would coalesce a small table
+    # into one partition and run the whole expansion in one task
+    width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ex = tuples.repartition(width).select("*", F.explode(F.sequence(F.lit(0), F.lit(len(points) - 1))).alias("_point"))
+    blended = None
+    for j in range(len(points[0])):
+        term = F.element_at(F.lit([ws[j] for ws in points]), F.col("_point") + 1) * F.col(f"s{j}")
+        blended = term if blended is None else blended + term
+    per = ex.groupBy("_point", blended.alias("score")).agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"))
+    curve = ordered_prefix(per, ["_point"], "score", ["tp", "fp"], descending=True, with_totals=True,
+                           size_bound=(n_tuples, len(points)))
+    return ranking_metrics(curve, ["_point"]).select("_point", "pr_auc")
 
 
 def blend_score(df: DataFrame, score_cols: Sequence[str], weights: Sequence[float], out_col: str = "score") -> DataFrame:
@@ -119,8 +103,8 @@ class BlendingEnsemble:
 
     def fit(self, val_df: DataFrame, label_col: str = "Class", n_steps: int = 21) -> "BlendingEnsemble":
         if len(self.score_cols) in (2, 3):
-            self.weights_, self.val_ap_ = blend_best(blend_grid_ap(val_df, self.score_cols, label_col, n_steps),
-                                                     len(self.score_cols))
+            best = grid_best(val_df, self.score_cols, weight_grid(len(self.score_cols), n_steps), label_col)
+            self.weights_, self.val_ap_ = best.weights, best.ap
         else:
             self.weights_, self.val_ap_ = weight_grid(len(self.score_cols))[0], -1.0
         return self
