@@ -17,7 +17,7 @@ from pyspark.sql.types import NumericType
 
 from riskframe.plans.broadcast import bounded_broadcast
 from riskframe.plans.materialize import cut
-from riskframe.plans.quantiles import exact_quantiles
+from riskframe.plans.quantiles import ALL, exact_quantiles
 
 ROUND = 6
 
@@ -64,17 +64,12 @@ def missing(df: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """A2: count, mean, sample std, min, 25/50/75 % (exact), max per feature."""
-    lf = long_form(df, features)
-    base = lf.groupBy("feature").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-    )
-    q = exact_quantiles(lf, ["feature"], "value", [0.25, 0.5, 0.75])
-    qw = q.groupBy("feature").agg(
-        F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("p25"),
-        F.max(F.when(F.col("p") == 0.5, F.col("q"))).alias("p50"),
-        F.max(F.when(F.col("p") == 0.75, F.col("q"))).alias("p75"),
-    )
+    one = df.agg(*(f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(features) for n, f in (
+        ("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))))
+    rows = F.array(*(F.struct(F.lit(c).alias("feature"), *(F.col(f"{n}{i}").alias(n) for n in ("count", "mean", "std", "min", "max")))
+                     for i, c in enumerate(features)))
+    base = one.select(F.explode(rows).alias("r")).select("r.*")
+    qw = _wide_quantiles(df, features, {0.25: "p25", 0.5: "p50", 0.75: "p75"})
     out = base.join(bounded_broadcast(qw, len(features)), "feature", "left")
     return out.select(
         "feature", F.col("count").cast("long").alias("count"),
@@ -82,6 +77,12 @@ def describe(df: DataFrame, features: Sequence[str]) -> DataFrame:
     )
 
 
+def _wide_quantiles(df: DataFrame, features: Sequence[str], names: dict[float, str]) -> DataFrame:
+    """Exact quantiles of all rows, a column each: ``feature`` and ``names``."""
+    q = exact_quantiles(df, list(features), list(names))
+    return q.groupBy("feature").agg(*(F.max(F.when(F.col("p") == p, F.col("q"))).alias(n) for p, n in names.items()))
+
+
 def duplicates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """A4: rows beyond the first copy of each distinct row, count and percent.
 
@@ -139,11 +140,9 @@ def amount_by_class(df: DataFrame, amount: str = "Amount", target: str = "Class"
         F.avg(amount).alias("mean"), F.max(amount).alias("max"), F.count(amount).alias("n"),
         F.grouping(target).alias("_g"),
     )
-    both = df.select(F.col(target).cast("string").alias("_k"), F.col(amount).alias("v")).unionByName(
-        df.select(F.lit("__all__").alias("_k"), F.col(amount).alias("v"))
-    )
-    med = exact_quantiles(both, ["_k"], "v", [0.5]).select("_k", F.col("q").alias("median"))
-    key = F.when(F.col("_g") == 1, F.lit("__all__")).otherwise(F.col(target).cast("string"))
+    med = exact_quantiles(df, [amount], [0.5], by=target).select(F.col("grp").alias("_k"), F.col("q").alias("median"))
+    of = F.col(target).cast("string")
+    key = F.when(F.col("_g") == 1, F.lit(ALL)).when(of.isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), of))
     out = base.withColumn("_k", key).join(med, "_k", "left")  # one row per class: AQE broadcasts it
     return out.select(
         F.when(F.col("_g") == 0, F.col(target)).alias(target),
@@ -227,18 +226,16 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def iqr_outliers(df: DataFrame, features: Sequence[str], k: float = 10.0) -> DataFrame:
     """Count of ``x > Q3 + k * IQR`` (upper side) per feature; features with > 0 only."""
-    lf = long_form(df, features)
-    q = exact_quantiles(lf, ["feature"], "value", [0.25, 0.75]).groupBy("feature").agg(
-        F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("q1"),
-        F.max(F.when(F.col("p") == 0.75, F.col("q"))).alias("q3"),
-    )
-    thr = q.select("feature", "q1", "q3", (F.col("q3") + F.lit(float(k)) * (F.col("q3") - F.col("q1"))).alias("upper"))
-    j = lf.join(bounded_broadcast(thr, len(features)), "feature")
-    out = j.groupBy("feature").agg(
-        F.sum((F.col("value") > F.col("upper")).cast("long")).alias("outliers"),
-        F.first("upper").alias("upper"),
-    )
-    return out.where(F.col("outliers") > 0).select("feature", "outliers", F.round("upper", ROUND).alias("upper"))
+    q = _wide_quantiles(df, features, {0.25: "q1", 0.75: "q3"}).select(
+        "feature", (F.col("q3") + F.lit(float(k)) * (F.col("q3") - F.col("q1"))).alias("upper"))
+    upper = {r["feature"]: r["upper"] for r in q.collect()}  # one row a feature
+    over = [c for c in features if c in upper]
+    if not over:
+        return df.sparkSession.createDataFrame([], "feature string, outliers long, upper double")
+    counts = df.agg(*(F.sum((F.col(c).cast("double") > F.lit(upper[c])).cast("long")).alias(f"n{i}") for i, c in enumerate(over)))
+    rows = F.array(*(F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("outliers"), F.round(F.lit(upper[c]), ROUND).alias("upper"))
+                     for i, c in enumerate(over)))
+    return counts.select(F.explode(rows).alias("r")).select("r.*").where(F.col("outliers") > 0)
 
 
 def class_comparison(df: DataFrame, features: Sequence[str], target: str = "Class") -> DataFrame:

@@ -1,21 +1,48 @@
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from riskframe.functions.search import count_below
 from riskframe.operators import profile as A
-from riskframe.plans.quantiles import exact_quantiles
+from riskframe.plans.quantiles import exact_quantiles, select_ranks
 
 
 def test_exact_quantiles_match_numpy(spark):
     rng = np.random.default_rng(7)
-    v = rng.integers(0, 500, 3000).astype(float)
-    df = spark.createDataFrame(pd.DataFrame({"feature": "x", "value": v}))
-    import riskframe.plans.prefix as P
-
-    got = {r["p"]: r["q"] for r in exact_quantiles(df, ["feature"], "value", [0.1, 0.25, 0.5, 0.9]).collect()}
-    for p, q in got.items():
-        assert abs(q - np.percentile(v, p * 100)) < 1e-9
+    wide = pd.DataFrame({"x": rng.integers(0, 500, 3000).astype(float), "y": rng.normal(0, 1e-300, 3000), "z": -rng.pareto(0.2, 3000), "one": -0.0})
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 0.999, 1.0]
+    got = exact_quantiles(spark.createDataFrame(wide).repartition(5), list(wide), probs).collect()
+    assert len(got) == len(probs) * 4
+    for r in got:
+        assert r["q"] == pytest.approx(np.percentile(wide[r["feature"]], r["p"] * 100), rel=1e-12, abs=0)
+
+
+def test_selected_ranks_are_the_sorted_values(spark):
+    """Values bit by bit, per group and over all, with NULLs, NaN, infinities and both zeros."""
+    rows = [(k, v) for k in ("a", "b", None) for v in (0.0, -0.0, 1.5, -1.5, float("inf"), float("-inf"), 5e-324, -5e-324, 1e308)]
+    rows += [("b", None), ("b", float("nan")), ("c", None)] + [("a", 7.0)] * 50
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {g: (n, at) for g, _, n, at in select_ranks(df, ["v"], [i / 40 for i in range(41)], by="g")}
+    assert set(got) == {"=a", "=b", "-", "all"}
+    for g, (n, at) in got.items():
+        values = [v for k, v in rows if v is not None and (g == "all" or g == ("-" if k is None else "=" + k))]
+        want = sorted(values, key=lambda v: (v != v, v))
+        assert n == len(want)
+        for rank, v in at.items():
+            assert v == want[rank] or (v != v and want[rank] != want[rank])
+    assert exact_quantiles(df.limit(0), ["v"], [0.5]).count() == 0
+
+
+def test_only_counts_are_shuffled(spark):
+    """The plan of a round sorts no data and exchanges counts by group, column and digit."""
+    from riskframe.plans.quantiles import _counter
+
+    df = spark.range(1000).select(F.col("id").cast("double").alias("_c0"))
+    plan = df.mapInArrow(_counter(["v"], 0, None, True, False), "g string, c int, head long, digit long, n long").groupBy(
+        "g", "c", "head", "digit").agg(F.sum("n").alias("n"))._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "SinglePartition" not in plan and "Sort" not in plan
+    assert plan.count("Exchange") == 1 and "hashpartitioning(g" in plan
 
 
 def test_count_below(spark):
@@ -56,8 +83,6 @@ def test_registered_queries_smoke(spark, sf):
 
 
 def test_csv_source_roundtrip_and_missing(spark, tmp_path):
-    import pytest
-
     from riskframe.sources import io
     from riskframe.sources.tables import TXN_FEATURES
 
@@ -73,8 +98,6 @@ def test_csv_source_roundtrip_and_missing(spark, tmp_path):
 
 
 def test_missing_pipeline_and_report_raise(spark, tmp_path):
-    import pytest
-
     from riskframe.sources import io
 
     with pytest.raises(FileNotFoundError):
