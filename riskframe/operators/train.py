@@ -7,8 +7,9 @@ algorithms: compare behaviour, never published numbers):
 * ``gbt_sub`` GBTClassifier with per-node feature subsampling, same weights    (slot 2)
 * ``rf``      RandomForestClassifier with balanced weights ``n / (2 n_c)``     (slot 3)
 
-Early stopping uses the validation rows through ``validationIndicatorCol`` with an
-explicit tolerance. The search is a seeded random search bounded by a trial count
+Early stopping (L5): boosting stops when ``patience`` rounds bring no better average precision on
+the validation rows, and keeps the trees up to the best round (``early_stop``). With ``patience=0``
+MLlib's own rule holds, ``validationIndicatorCol`` with an explicit tolerance. The search is a seeded random search bounded by a trial count
 and a wall-clock budget; every trial is a distributed fit and a distributed AP.
 """
 
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.operators import metrics as M
+from riskframe.operators.early_stop import fit_with_patience
 from riskframe.operators.score import ProbabilityScorer
 
 # Search ranges of the reference, as far as MLlib has the parameter
@@ -51,6 +53,7 @@ SEARCH_SPACES = {
 ROUNDS = 1000
 TRIALS = 50
 TIMEOUT_S = 600
+PATIENCE = 50
 VALIDATION_TOL = 1e-4
 
 
@@ -61,6 +64,7 @@ class TrainConfig:
     max_iter: int = ROUNDS
     seed: int = 42
     fixed: dict = field(default_factory=dict)
+    patience: int = PATIENCE
 
 
 def build_model(model_type: str, params: dict | None = None, seed: int = 42, max_iter: int = ROUNDS,
@@ -116,9 +120,16 @@ def sample_params(space: dict, rng: random.Random) -> dict:
 
 
 def fit_score(model_type: str, params: dict, split_df: DataFrame, cfg: TrainConfig) -> ProbabilityScorer:
-    """Fit on ``train`` (GBT: ``val`` rows as the early-stopping set) and wrap as a scorer."""
+    """Fit on ``train`` (boosting: ``val`` rows decide when it stops) and wrap as a scorer. A limit of
+    rounds within the patience leaves nothing to wait for: MLlib's tolerance rule applies then."""
     train = split_df.where(F.col("split") == "train")
     w = weight_column(train, model_type, cfg.label_col)
+    if model_type in ("gbt", "gbt_sub") and 0 < cfg.patience < cfg.max_iter:
+        both = [assemble(part.withColumn("weight", w), cfg.feature_cols, cfg.label_col).select("features", "label", "weight")
+                for part in (train, split_df.where(F.col("split") == "val"))]
+        fitted = fit_with_patience(lambda n: build_model(model_type, {**cfg.fixed, **params}, cfg.seed, n), both[0], both[1],
+                                   cfg.max_iter, cfg.patience)
+        return ProbabilityScorer(FeaturesThen(fitted.model, cfg.feature_cols, cfg.label_col))
     if model_type in ("gbt", "gbt_sub"):
         data = split_df.where(F.col("split").isin("train", "val")).withColumn("is_val", F.col("split") == "val")
         est = build_model(model_type, {**cfg.fixed, **params}, cfg.seed, cfg.max_iter, "is_val")
