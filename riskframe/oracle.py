@@ -537,6 +537,18 @@ Q["d_stream_psi_days"] = (
     "SELECT strftime(d, '%Y-%m-%d') AS day, round(sum((pc - pr) * ln(pc / pr)), 5) AS psi, CAST(max(n) AS BIGINT) AS rows, "
     "d + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events) AS closed FROM c GROUP BY d")
 
+Q["d_stream_ks_days"] = (
+    "WITH e AS (SELECT date_trunc('day', ts) AS d, 'value' AS feature, CAST(value AS DOUBLE) AS v FROM events "
+    "UNION ALL SELECT date_trunc('day', ts), 'user_id', CAST(user_id AS DOUBLE) FROM events), "
+    "s AS (SELECT feature, list(v ORDER BY v) AS l, count(v) AS n FROM e WHERE v IS NOT NULL GROUP BY feature), "
+    "g AS (SELECT DISTINCT feature, l[CAST(floor(j / 64.0 * (n - 1)) AS BIGINT) + 1] AS q FROM s CROSS JOIN (SELECT unnest(range(65)) AS j)), "
+    "r AS (SELECT feature, q, count_if(v <= q) / CAST(count(v) AS DOUBLE) AS fi, count_if(v < q) / CAST(count(v) AS DOUBLE) AS fe "
+    "FROM g JOIN e USING (feature) GROUP BY feature, q), "
+    "w AS (SELECT d, feature, q, any_value(fi) AS fi, any_value(fe) AS fe, count(*) AS rows, count(v) AS n, "
+    "count_if(v <= q) / CAST(count(v) AS DOUBLE) AS wi, count_if(v < q) / CAST(count(v) AS DOUBLE) AS we FROM r JOIN e USING (feature) GROUP BY d, feature, q) "
+    "SELECT strftime(d, '%Y-%m-%d') AS day, feature, round(max(greatest(abs(wi - fi), abs(we - fe))), 6) AS ks, CAST(max(rows) AS BIGINT) AS rows, "
+    "CAST(max(n) AS BIGINT) AS n, d + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events) AS closed FROM w GROUP BY d, feature")
+
 # S6 / S7 round trips: what is read back must equal what was computed
 Q["s_results_sink"] = Q["m_leaderboard"]
 Q["s_drift_report"] = _chain(*_RC_PARTS, _ND) + _summary_sql(

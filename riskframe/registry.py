@@ -474,6 +474,20 @@ def a_corr_top15_wide(spark, d):
     return A.corr_top(T.txn(spark, d), T.TXN_FEATURES, k=15)
 
 
+def d_stream_ks_days(spark, d):
+    """KS distance of two features per day of the stream, from merged sketches."""
+    from riskframe.session import scratch_path
+    from riskframe.streaming import windows as W
+    from riskframe.streaming.scoring import file_stream, run_to_completion
+
+    features = ["value", "user_id"]
+    reference = W.reference_points(T.table(spark, d, "events"), features, points=64)
+    out, ck = scratch_path(spark, "stream-windows"), scratch_path(spark, "stream-windows-ckpt")
+    run_to_completion(W.start_windows(file_stream(spark, d, "events.parquet", _events_schema(spark, d)), "ts", features, out, ck))
+    drift = W.drift_of_windows(W.windows(spark, out), reference)
+    return drift.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "feature", "ks", "rows", "n", "closed")
+
+
 def d_stream_psi_days(spark, d):
     """Every day of the stream: closed windows from the stream's output, those that the
     watermark has not passed from the same counts over the source."""
@@ -523,6 +537,7 @@ DETERMINISTIC = {
     "a_iqr_outliers_chars": a_iqr_outliers_chars,
     "a_corr_top15_wide": a_corr_top15_wide,
     "d_stream_psi_days": d_stream_psi_days,
+    "d_stream_ks_days": d_stream_ks_days,
     "p_validate_quarantine": p_validate_quarantine,
     "p_numeric_select": p_numeric_select,
     "p_head": p_head,
