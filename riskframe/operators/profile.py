@@ -1,22 +1,24 @@
 """Profiling aggregations of a transaction table.
 
-Per-feature work runs on one unpivoted ``(feature, value[, Class])`` frame grouped
-by feature, never as a Python loop of jobs. Small per-feature statistics (at most
-#features rows) are broadcast back; quantiles are exact via ``plans.quantiles``.
-Correlations use ``covar_pop / (stddev_pop * stddev_pop)`` under ``try_divide``:
-``corr`` raises DIVIDE_BY_ZERO on a constant column under ANSI mode.
+All features share a scan, never a Python loop of jobs: quantiles are selected exactly
+(``plans.quantiles``), correlations, class means and deviations come from sums of products
+over all pairs (``plans.moments``), histograms from one unpivoted ``(feature, value[, Class])``
+frame whose small per-feature ranges are broadcast. The correlation with a constant column is
+NULL.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from riskframe.plans.broadcast import bounded_broadcast
 from riskframe.plans.materialize import cut
+from riskframe.plans.moments import cross_moments
 from riskframe.plans.quantiles import ALL, exact_quantiles
 
 ROUND = 6
@@ -190,15 +192,15 @@ def histogram(lf: DataFrame, bins: int | dict, keys: Sequence[str] = ("feature",
     )
 
 
-def corr_expr(a, b):
-    """Pearson correlation, NULL (not an error) when either side is constant."""
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+def _number(v: float) -> float | None:
+    return None if np.isnan(v) else float(v)
 
 
 def corr_with_target(df: DataFrame, features: Sequence[str], target: str = "Class") -> DataFrame:
-    """``(feature, corr, rank)``; ``rank`` orders by corr ascending (a #features-row window)."""
-    lf = long_form(df, features, [target])
-    c = lf.groupBy("feature").agg(corr_expr(F.col("value"), F.col(target).cast("double")).alias("corr"))
+    """``(feature, corr, rank)``; ``rank`` orders by corr ascending (a #features-row window).
+    NULL when a side is constant; a pair counts the rows that have both."""
+    r = cross_moments(df, features, [target]).correlation()[:, 0]
+    c = df.sparkSession.createDataFrame([(f, _number(v)) for f, v in zip(features, r)], "feature string, corr double")
     c = c.select("feature", F.round("corr", ROUND).alias("corr"))
     return c.withColumn("rank", F.row_number().over(Window.orderBy(F.col("corr").asc_nulls_last(), "feature")).cast("long"))
 
@@ -210,18 +212,12 @@ def corr_top(df: DataFrame, features: Sequence[str], target: str = "Class", k: i
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Strict lower triangle ``(row_feature, col_feature, corr)`` in one aggregation."""
+    """Strict lower triangle ``(row_feature, col_feature, corr)`` from one scan."""
     cols = list(columns)
-    aggs, names = [], []
-    for i in range(len(cols)):
-        for j in range(i):
-            aggs.append(corr_expr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(f"_c{i}_{j}"))
-            names.append((cols[i], cols[j], f"_c{i}_{j}"))
-    a = df.agg(*aggs)
-    stack = ", ".join(f"'{r}', '{c}', {n}" for r, c, n in names)
-    return a.select(F.expr(f"stack({len(names)}, {stack}) AS (row_feature, col_feature, corr)")).withColumn(
-        "corr", F.round("corr", ROUND)
-    )
+    r = cross_moments(df, cols, cols).correlation()
+    rows = [(cols[i], cols[j], _number(r[i, j])) for i in range(len(cols)) for j in range(i)]
+    return df.sparkSession.createDataFrame(rows, "row_feature string, col_feature string, corr double").withColumn(
+        "corr", F.round("corr", ROUND))
 
 
 def iqr_outliers(df: DataFrame, features: Sequence[str], k: float = 10.0) -> DataFrame:
@@ -240,14 +236,11 @@ def iqr_outliers(df: DataFrame, features: Sequence[str], k: float = 10.0) -> Dat
 
 def class_comparison(df: DataFrame, features: Sequence[str], target: str = "Class") -> DataFrame:
     """Per feature mean/sample std for class 0 and 1, and ``mean_diff`` = mean_1 - mean_0."""
-    lf = long_form(df, features, [target])
-    y = F.col(target)
-    c = lf.groupBy("feature").agg(
-        F.avg(F.when(y == 0, F.col("value"))).alias("mean_0"),
-        F.avg(F.when(y == 1, F.col("value"))).alias("mean_1"),
-        F.stddev_samp(F.when(y == 0, F.col("value"))).alias("std_0"),
-        F.stddev_samp(F.when(y == 1, F.col("value"))).alias("std_1"),
-    )
+    inside = {f"\x01class{k}": F.when(F.col(target) == k, F.lit(1.0)) for k in (0, 1)}  # present in its class only
+    m = cross_moments(df.withColumns(inside), list(features), list(inside))
+    std = m.sample_std_a()
+    rows = [(f, *map(_number, (m.mean_a[i, 0], m.mean_a[i, 1], std[i, 0], std[i, 1]))) for i, f in enumerate(features)]
+    c = df.sparkSession.createDataFrame(rows, "feature string, mean_0 double, mean_1 double, std_0 double, std_1 double")
     out = c.select(
         "feature", *[F.round(x, ROUND).alias(x) for x in ["mean_0", "mean_1", "std_0", "std_1"]],
         F.round(F.col("mean_1") - F.col("mean_0"), ROUND).alias("mean_diff"),

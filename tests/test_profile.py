@@ -104,3 +104,37 @@ def test_missing_pipeline_and_report_raise(spark, tmp_path):
         io.load_pipeline(spark, str(tmp_path / "no_pipeline"))
     with pytest.raises(FileNotFoundError):
         io.load_drift_report(spark, str(tmp_path / "no_report"))
+
+
+def test_moments_of_many_columns_in_one_scan(spark):
+    """300 columns: one job over the rows, exact beside NumPy, with gaps and a large mean."""
+    from riskframe.plans.moments import cross_moments
+
+    rng = np.random.default_rng(2)
+    n, m = 400, 300
+    x = rng.normal(size=(n, m)) @ rng.normal(size=(m, m)) / 10
+    x[:, 0] = 1e9 + rng.normal(size=n)  # a spread of 1 beside a mean of a billion
+    x[:, 1] = x[:, 0] + rng.normal(size=n)
+    x[:, 2] = 7.25
+    x[rng.random((n, m)) < 0.02] = np.nan
+    x[:, 2] = 7.25
+    pdf = pd.DataFrame(x, columns=[f"f{i}" for i in range(m)])
+    df = spark.createDataFrame(pdf).repartition(3)
+    got = cross_moments(df, list(pdf), list(pdf)).correlation()
+    want = pdf.assign(f0=pdf["f0"] - 1e9, f1=pdf["f1"] - 1e9).corr().to_numpy()
+    assert np.isnan(got[2]).all() and np.isnan(got[:, 2]).all()
+    keep = [i for i in range(m) if i != 2]
+    assert np.allclose(got[np.ix_(keep, keep)], want[np.ix_(keep, keep)], atol=1e-9)
+    both = pdf[["f0", "f1"]].dropna()
+    a, b = (both[c].to_numpy() - 1e9 for c in both)
+    assert got[0, 1] == pytest.approx(np.corrcoef(a, b)[0, 1], abs=1e-12)
+    assert A.corr_matrix(df, list(pdf)[:5]).count() == 10
+
+
+def test_class_comparison_matches_pandas(spark):
+    pdf = pd.DataFrame({"x": [1.0, 2.0, 4.0, 8.0, np.nan], "y": [1e9, 1e9 + 1, 1e9 + 2, 1e9 + 3, 1e9], "Class": [0, 0, 1, 1, 1]})
+    got = {r["feature"]: r for r in A.class_comparison(spark.createDataFrame(pdf), ["x", "y"]).collect()}
+    for f in ("x", "y"):
+        for k in (0, 1):
+            v = pdf.loc[pdf["Class"] == k, f]
+            assert got[f][f"mean_{k}"] == pytest.approx(v.mean(), abs=1e-6) and got[f][f"std_{k}"] == pytest.approx(v.std(), abs=1e-6)
