@@ -11,7 +11,10 @@ Numeric features: one unpivoted frame ``(feature, value, side)`` grouped by
 * PSI        = sum (c - r) ln(c / r) over 10 equal-width bins of the reference range
              (shares floored at 1e-4).
 
-Categorical features: chi-square statistic of the (category x side) table.
+* JS         Jensen-Shannon distance over 20 bins of equal pooled share (``effect_min``).
+
+Categorical features: chi-square statistic of the (category x side) table, its p-value from the
+regularised incomplete gamma function.
 Simulators are pure functions of (id, column, seed), so results never depend on
 partitioning or task re-execution.
 """
@@ -21,18 +24,24 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from riskframe.functions.exprs import clip, nan_to_null
 from riskframe.functions.hashing import hash_normal, hash_uniform
+from riskframe.functions.special import chi_square_sf
 from riskframe.plans.broadcast import bounded_broadcast
 from riskframe.plans.prefix import ordered_prefix
+from riskframe.plans.quantiles import select_ranks
+from riskframe.plans.workers import ship
 
 ROUND = 6
 PSI_BINS = 10
 PSI_EPS = 1e-4
+JS_BINS = 20
 KS_TERMS = 100
 DRIFT_TYPES = ("mean_shift", "scale_change", "corruption", "missing")
 
@@ -126,6 +135,11 @@ def psi(reference: DataFrame, current: DataFrame, features: Sequence[str], bins:
 
 def chi_square(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
     """D1 (categorical): chi-square statistic and degrees of freedom of (category x side)."""
+    return chi_square_test(reference, current, features).select("feature", F.round("statistic", ROUND).alias("statistic"), "dof")
+
+
+def chi_square_test(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``feature, statistic, dof, p``, unrounded; NULL when a side is empty."""
     def lf(df, side):
         return df.select(*[F.col(c).cast("string").alias(c) for c in features]).unpivot(
             [], list(features), "feature", "value").withColumn("side", F.lit(side))
@@ -142,7 +156,64 @@ def chi_square(reference: DataFrame, current: DataFrame, features: Sequence[str]
             + F.try_divide((F.col("c") - ec) * (F.col("c") - ec), ec))  # NULL when a side is empty
     return j.groupBy("feature").agg(
         F.sum(term).alias("statistic"), F.max("_k").alias("_k")
-    ).select("feature", F.round("statistic", ROUND).alias("statistic"), (F.col("_k") - 1).cast("long").alias("dof"))
+    ).select("feature", "statistic", (F.col("_k") - 1).cast("long").alias("dof")).withColumn(
+        "p", chi_square_sf(F.col("statistic"), F.col("dof")))
+
+
+def _js(r: np.ndarray, c: np.ndarray) -> float | None:
+    """Jensen-Shannon distance (base 2, 0 to 1) of two rows of counts; None if a side is empty."""
+    if not r.sum() or not c.sum():
+        return None
+    p, q = r / r.sum(), c / c.sum()
+    m = (p + q) / 2
+    part = lambda x: float((x[x > 0] * np.log2(x[x > 0] / m[x > 0])).sum())
+    return math.sqrt(max(0.0, (part(p) + part(q)) / 2))
+
+
+def js_distance(reference: DataFrame, current: DataFrame, features: Sequence[str], bins: int = JS_BINS) -> DataFrame:
+    """D1 (JS): Jensen-Shannon distance over bins that hold equal shares of both sides together.
+
+    The cuts are exact ranks of the pooled values (``plans.quantiles``); a value equal to a cut lies
+    below it. One more scan counts both sides per bin; nothing is sorted or multiplied."""
+    side = lambda df, k: df.select(*(nan_to_null(F.col(c).cast("double")).alias(c) for c in features), F.lit(k).alias("\x01side"))
+    both = side(reference, 0).unionByName(side(current, 1))
+    cuts = {c: np.unique([at[math.floor(j / bins * (n - 1))] for j in range(1, bins)])
+            for _, c, n, at in select_ranks(both, list(features), [j / bins for j in range(1, bins)])}
+    ship(reference.sparkSession)
+    names = list(features)
+
+    def count(parts):
+        total = np.zeros((len(names), 2, bins + 1), dtype=np.int64)
+        for p in parts:
+            of = p["\x01side"].to_numpy()
+            for c, q in cuts.items():
+                v = p[names[c]].to_numpy(dtype=np.float64)
+                ok = ~np.isnan(v)
+                cell = of[ok] * (bins + 1) + np.searchsorted(q, v[ok], side="left")
+                total[c] += np.bincount(cell, minlength=2 * (bins + 1)).reshape(2, bins + 1)
+        c, s, b = np.nonzero(total)
+        yield pd.DataFrame({"c": c.astype(np.int32), "side": s.astype(np.int32), "bin": b.astype(np.int32), "n": total[c, s, b]})
+
+    table = np.zeros((len(names), 2, bins + 1))
+    for r in both.mapInPandas(count, "c int, side int, bin int, n long").groupBy("c", "side", "bin").agg(F.sum("n").alias("n")).collect():
+        table[r["c"], r["side"], r["bin"]] = r["n"]  # features x bins of them
+    rows = [(f, _js(table[i, 0], table[i, 1])) for i, f in enumerate(names)]
+    return reference.sparkSession.createDataFrame(rows, "feature string, js double").withColumn("js", F.round("js", ROUND))
+
+
+def js_of_categories(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Jensen-Shannon distance of categories, from their counts on both sides."""
+    def lf(df, k):
+        return df.select(*[F.col(c).cast("string").alias(c) for c in features]).unpivot([], list(features), "feature", "value").withColumn("side", F.lit(k))
+    cnt = lf(reference, 0).unionByName(lf(current, 1)).where(F.col("value").isNotNull()).groupBy("feature", "value").agg(
+        F.count_if(F.col("side") == 0).alias("r"), F.count_if(F.col("side") == 1).alias("c"))
+    tot = cnt.groupBy("feature").agg(F.sum("r").alias("_nr"), F.sum("c").alias("_nc"))
+    j = cnt.join(bounded_broadcast(tot, len(features)), "feature")
+    p, q = F.try_divide("r", "_nr"), F.try_divide("c", "_nc")
+    m = (p + q) / 2
+    part = lambda x: F.when(x > 0, x * F.log2(x / m)).otherwise(F.when(m.isNotNull(), 0.0))
+    return j.groupBy("feature").agg(F.sum(part(p) + part(q)).alias("s")).select(
+        "feature", F.round(F.sqrt(F.greatest(F.col("s") / 2, F.lit(0.0))), ROUND).alias("js"))
 
 
 def default_features(df: DataFrame, target_col: str | None = "Class", id_col: str | None = "txn_id") -> list[str]:
@@ -155,9 +226,12 @@ def detect_data_drift(reference: DataFrame, current: DataFrame, target_col: str
                       numerical_features: Sequence[str] | None = None,
                       categorical_features: Sequence[str] | None = None,
                       threshold: float = 0.05, share_threshold: float = 0.5, rule: str = "any",
-                      id_col: str | None = "txn_id") -> tuple[DataFrame, DataFrame]:
+                      id_col: str | None = "txn_id", effect_min: float | None = None) -> tuple[DataFrame, DataFrame]:
     """``(summary, detail)``.
 
+    At scale the smallest shift is significant: with ``effect_min`` a feature drifts only if its
+    Jensen-Shannon distance (column ``js`` of the detail then) reaches that as well.
+
     ``detail``: one row per feature (``feature, kind, statistic, p_value, drift``).
     ``summary``: the 8-field record; ``rule='any'`` flags the dataset when any feature
     drifts, ``rule='share'`` when the drifted share exceeds ``share_threshold``.
@@ -174,16 +248,17 @@ def detect_data_drift(reference: DataFrame, current: DataFrame, target_col: str
         parts.append(nd.select("feature", F.lit("numeric").alias("kind"), F.col("ks_d").alias("statistic"),
                                "p_value", "drift"))
     if cat:
-        cs = chi_square(reference, current, cat)
-        # chi-square upper tail by the Wilson-Hilferty normal approximation
-        k = F.col("dof").cast("double")
-        z = (F.pow(F.col("statistic") / k, 1.0 / 3) - (F.lit(1.0) - F.lit(2.0) / (9 * k))) / F.sqrt(F.lit(2.0) / (9 * k))
-        p = F.when(F.col("dof") <= 0, F.lit(1.0)).otherwise(_norm_sf(z))
-        parts.append(cs.select("feature", F.lit("categorical").alias("kind"), "statistic",
-                               F.round(p, ROUND).alias("p_value"), (p < threshold).alias("drift")))
+        cs = chi_square_test(reference, current, cat)
+        parts.append(cs.select("feature", F.lit("categorical").alias("kind"), F.round("statistic", ROUND).alias("statistic"),
+                               F.round("p", ROUND).alias("p_value"), (F.col("p") < threshold).alias("drift")))
     detail = parts[0]
     for p_ in parts[1:]:
         detail = detail.unionByName(p_)
+    if effect_min is not None:
+        js = [f(reference, current, fs) for f, fs in ((js_distance, num), (js_of_categories, cat)) if fs]
+        js = js[0].unionByName(js[1]) if len(js) > 1 else js[0]
+        strong = F.coalesce(F.col("js") >= F.lit(float(effect_min)), F.lit(False))
+        detail = detail.join(bounded_broadcast(js, len(num) + len(cat)), "feature", "left").withColumn("drift", F.col("drift") & strong)
     total = len(num) + len(cat)
     one = lambda r, c: (F.lit(r).cast("long").alias("r"), F.lit(c).cast("long").alias("c"))
     rows = reference.select(*one(1, 0)).union(current.select(*one(0, 1))).agg(F.sum("r").alias("r"), F.sum("c").alias("c")).first()
@@ -204,16 +279,6 @@ def detect_data_drift(reference: DataFrame, current: DataFrame, target_col: str
     return summary, detail
 
 
-def _norm_sf(z: F.Column) -> F.Column:
-    """Half of ``erfc(z / sqrt 2)`` by the Abramowitz-Stegun 7.1.26 rational form (|err| < 1.5e-7)."""
-    x = F.abs(z) / F.lit(math.sqrt(2.0))
-    t = F.lit(1.0) / (F.lit(1.0) + F.lit(0.3275911) * x)
-    poly = t * (F.lit(0.254829592) + t * (F.lit(-0.284496736) + t * (F.lit(1.421413741)
-                + t * (F.lit(-1.453152027) + t * F.lit(1.061405429)))))
-    erfc = poly * F.exp(-x * x)
-    return F.when(z >= 0, erfc / 2).otherwise(F.lit(1.0) - erfc / 2)
-
-
 # ---------------------------------------------------------------- simulators
 
 def _check(drift_type: str):

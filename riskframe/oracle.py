@@ -384,12 +384,8 @@ Q["d_chi_square"] = _chain(*_RC_PARTS, _chi_sql("ref", "cur", LINE_CATEGORICAL))
     "SELECT feature, round(statistic, 6) AS statistic, dof FROM cs"
 
 
-def _norm_sf_sql(z: str) -> str:
-    x = f"(abs({z}) / sqrt(2.0))"
-    t = f"(1.0 / (1.0 + 0.3275911 * {x}))"
-    poly = f"({t} * (0.254829592 + {t} * (-0.284496736 + {t} * (1.421413741 + {t} * (-1.453152027 + {t} * 1.061405429)))))"
-    erfc = f"({poly} * exp(-{x} * {x}))"
-    return f"(CASE WHEN {z} >= 0 THEN {erfc} / 2 ELSE 1.0 - {erfc} / 2 END)"
+_CHI_SF = ("(CASE WHEN dof <= 0 OR statistic <= 0 THEN 1.0 ELSE 1.0 - list_sum(list_transform(range(0, 4000), lambda i: "
+           "exp((dof / 2 + i) * ln(statistic / 2) - statistic / 2 - lgamma(dof / 2 + i + 1)))) END)")
 
 
 def _summary_sql(num_detail: str, cat_detail: str | None, total: int, ref: str, cur: str, stage: str | None = None) -> str:
@@ -405,14 +401,31 @@ def _summary_sql(num_detail: str, cat_detail: str | None, total: int, ref: str,
     )
 
 
-_wh = ("(power(statistic / dof, 1.0 / 3) - (1.0 - 2.0 / (9 * dof))) / sqrt(2.0 / (9 * dof))")
 Q["d_summary"] = _chain(*_RC_PARTS, _ND, _chi_sql("ref", "cur", LINE_CATEGORICAL)) + _summary_sql(
     "SELECT feature, p < 0.05 AS drift FROM nd",
-    f"SELECT feature, (CASE WHEN dof <= 0 THEN 1.0 ELSE {_norm_sf_sql(_wh)} END) < 0.05 AS drift FROM cs",
+    f"SELECT feature, {_CHI_SF} < 0.05 AS drift FROM cs",
     len(LINE_NUMERIC) + len(LINE_CATEGORICAL), "ref", "cur",
 )
 
 
+Q["d_chi_square_p"] = _chain(*_RC_PARTS, _chi_sql("ref", "cur", LINE_CATEGORICAL)) + f"SELECT feature, dof, round({_CHI_SF}, 9) AS p_value FROM cs"
+
+_JS_TERM = "CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END"
+Q["d_js"] = _chain(
+    *_RC_PARTS, _chi_sql("ref", "cur", LINE_CATEGORICAL),
+    "nlf AS (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, CAST(\"{c}\" AS DOUBLE) AS v, {side} AS side FROM {src}" for c in LINE_NUMERIC for src, side in (("ref", 0), ("cur", 1))) + ")",
+    "nl AS (SELECT feature, list(v ORDER BY v) AS l, count(v) AS n FROM nlf WHERE v IS NOT NULL GROUP BY feature)",
+    "nq AS (SELECT DISTINCT feature, l[CAST(floor(CAST(j AS DOUBLE) / 20 * (n - 1)) AS BIGINT) + 1] AS cut FROM nl CROSS JOIN (SELECT unnest(range(1, 20)) AS j))",
+    "nv AS (SELECT feature, v, side, count(*) AS m FROM nlf WHERE v IS NOT NULL GROUP BY feature, v, side)",
+    "nb AS (SELECT nv.feature, nv.v, side, any_value(m) AS m, count(cut) AS bin FROM nv LEFT JOIN nq ON nq.feature = nv.feature AND cut < v GROUP BY nv.feature, nv.v, side)",
+    "nc AS (SELECT feature, bin, sum(CASE WHEN side = 0 THEN m ELSE 0 END) AS r, sum(CASE WHEN side = 1 THEN m ELSE 0 END) AS c FROM nb GROUP BY feature, bin)",
+    "ac AS (SELECT feature, r, c FROM nc UNION ALL SELECT feature, r, c FROM ccnt)",
+    "tots AS (SELECT feature, CAST(sum(r) AS DOUBLE) AS nr, CAST(sum(c) AS DOUBLE) AS nc FROM ac GROUP BY feature)",
+    "pq AS (SELECT feature, r / nr AS p, c / nc AS q FROM ac JOIN tots USING (feature))",
+) + f"SELECT feature, round(sqrt(greatest(sum({_JS_TERM}) / 2, 0)), 6) AS js FROM pq GROUP BY feature"
+
+
 def _perturb_sql(kind: str, magnitude: float) -> str:
     cols = []
     for c in ["Quantity", "Amount"]:

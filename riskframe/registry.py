@@ -317,6 +317,18 @@ def d_chi_square(spark, d):
     return D.chi_square(r, c, LINE_CATEGORICAL)
 
 
+def d_chi_square_p(spark, d):
+    """Upper tail of the chi-square statistic."""
+    r, c = _ref_cur(spark, d)
+    return D.chi_square_test(r, c, LINE_CATEGORICAL).select("feature", "dof", F.round("p", 9).alias("p_value"))
+
+
+def d_js(spark, d):
+    """Jensen-Shannon distance of every feature."""
+    r, c = _ref_cur(spark, d)
+    return D.js_distance(r, c, LINE_NUMERIC).unionByName(D.js_of_categories(r, c, LINE_CATEGORICAL))
+
+
 def _summary_flat(summary: DataFrame) -> DataFrame:
     return summary.withColumn("drifted_features", F.array_join("drifted_features", ","))
 
@@ -581,6 +593,8 @@ DETERMINISTIC = {
     "d_wasserstein": d_wasserstein,
     "d_psi": d_psi,
     "d_chi_square": d_chi_square,
+    "d_chi_square_p": d_chi_square_p,
+    "d_js": d_js,
     "d_summary": d_summary,
     "d_mean_shift": d_mean_shift,
     "d_scale_change": d_scale_change,
