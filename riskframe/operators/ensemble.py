@@ -174,20 +174,28 @@ def oof_base_scores(train_df: DataFrame, fit_fns: Sequence[tuple[str, object]],
     """E2 ``oof=True``: per fold f of the train rows (T4 hash folds), fit each base
     learner on the other folds and score fold f. ``fit_fns`` maps a name to a
     function ``(train_frame) -> scorer``. Returns the train rows with ``score_<name>``.
+
+    The rows are scored in one scan: every fold's model is part of the plan, and a row takes the score
+    of its own fold's (``route_by_fold``).
     """
     from riskframe.operators.split import kfold_assign
 
-    # every fold is read by one fit and one scoring
+    # every fold is read by the fits on the others, and all of them by the scoring
     folded = cut(kfold_assign(train_df, k=k, id_col=id_col, target_col=label_col, seed=seed), "folds")
-    parts = []
-    for f in range(k):
-        held = folded.where(F.col("fold") == f)
-        rest = folded.where(F.col("fold") != f)
-        out = held
-        for name, fit in fit_fns:
-            out = fit(rest).transform(out).withColumnRenamed("score", f"score_{name}")
-        parts.append(out)
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
-    return res.drop("fold")
+    scorers = [(name, [fit(folded.where(F.col("fold") != f)) for f in range(k)]) for name, fit in fit_fns]
+    return route_by_fold(folded, scorers).drop("fold")
+
+
+def route_by_fold(folded: DataFrame, scorers: Sequence[tuple[str, Sequence]]) -> DataFrame:
+    """``score_<name>`` of each row from the scorer that its ``fold`` (from 0) names, without splitting
+    the rows by fold: a CASE on the fold, whose other branches are not evaluated for the row."""
+    out = folded
+    for name, by_fold in scorers:
+        kept = [*out.columns, *(f"_s{f}" for f in range(len(by_fold)))]
+        for f, scorer in enumerate(by_fold):
+            out = scorer.transform(out).withColumnRenamed("score", f"_s{f}")
+        score = F.lit(None).cast("double")
+        for f in range(len(by_fold)):
+            score = F.when(F.col("fold") == f, F.col(f"_s{f}")).otherwise(score)
+        out = out.select(*(c for c in kept if not c.startswith("_s")), score.alias(f"score_{name}"))
+    return out

@@ -529,10 +529,9 @@ def s_run_log(spark, d):
     from riskframe.sources.io import RunLog
 
     ev = M.evaluate(heuristic_long(_txn_split(spark, d).where(F.col("split") == "val")),
-                    threshold=HEURISTIC_THRESHOLD, keys=["model_name"]).where(F.col("model_name") == "r3").first()
+                    threshold=HEURISTIC_THRESHOLD, keys=["model_name"]).where(F.col("model_name") == "r3")
     log = RunLog(spark, scratch_path(spark, "runlog"))
-    run_id = log.log("r3", {"threshold": HEURISTIC_THRESHOLD, "variant": "r3"},
-                     {k: ev[k] for k in ("pr_auc", "roc_auc", "f1", "precision", "recall")})
+    run_id = log.log("r3", {"threshold": HEURISTIC_THRESHOLD, "variant": "r3"}, ev.select("pr_auc", "roc_auc", "f1", "precision", "recall"))
     return log.table("run_metrics").where(F.col("run_id") == run_id).select("k", "v")
 
 
@@ -691,7 +690,7 @@ def e_stack_oof(spark, d):
         return fit_score("rf", {}, frame.withColumn("split", F.lit("train")), cfg)
 
     train = ff.where(F.col("split") == "train")
-    meta_x = oof_base_scores(train, [("rf", fit_rf)], k=3)
+    meta_x = oof_base_scores(train, [("rf", fit_rf)], k=5)
     st = StackingEnsemble(["score_rf"]).fit(meta_x)
     test = fit_rf(train).transform(ff.where(F.col("split") == "test")).withColumnRenamed("score", "score_rf")
     return st.predict_proba(test).select("txn_id", F.round("score", 6).alias("score"))

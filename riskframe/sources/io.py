@@ -19,6 +19,7 @@ import uuid
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 from pyspark.sql import types as T
 
 from riskframe.sources.tables import TXN_FEATURES
@@ -170,26 +171,41 @@ def load_drift_report(spark: SparkSession, path: str) -> DataFrame:
 class RunLog:
     """Append-only experiment tables under ``root`` (no tracking server).
 
-    ``runs(run_id, model_name, ts)``, ``run_params(run_id, k, v)``,
-    ``run_metrics(run_id, k, v)``.
+    ``runs(run_id, model_name, ts)``, ``run_params(run_id, k, v)``, ``run_metrics(run_id, k, v)``.
+    A run is logged as a whole or not at all: its parameters and metrics are written first, its row in
+    ``runs`` last, and readers see only rows of runs that have one. What a broken run left behind
+    is never read, and a run logged again gets an id of its own.
     """
 
+    TABLES = {"runs": "run_id STRING, model_name STRING, ts TIMESTAMP_NTZ", "run_params": "run_id STRING, k STRING, v STRING",
+              "run_metrics": "run_id STRING, k STRING, v DOUBLE"}
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
 
-    def log(self, model_name: str, params: dict, metrics: dict) -> str:
+    def log(self, model_name: str, params: dict, metrics: dict | DataFrame) -> str:
+        """``metrics`` is a dict, or a one-row frame whose numeric columns are unpivoted where they lie."""
         run_id = uuid.uuid4().hex
+        self._append("run_params", self._rows("run_params", [(run_id, str(k), str(v)) for k, v in params.items()]))
+        if isinstance(metrics, DataFrame):
+            cols = [f.name for f in metrics.schema.fields if isinstance(f.dataType, NumericType)]
+            long = metrics.select(*(F.col(c).cast("double").alias(c) for c in cols)).unpivot([], cols, "k", "v")
+            values = long.where(F.col("v").isNotNull()).select(F.lit(run_id).alias("run_id"), "k", "v")
+        else:
+            values = self._rows("run_metrics", [(run_id, str(k), float(v)) for k, v in metrics.items() if v is not None])
+        self._append("run_metrics", values)
         ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        s = self.spark
-        s.createDataFrame([(run_id, model_name, ts)], "run_id STRING, model_name STRING, ts TIMESTAMP_NTZ") \
-            .write.mode("append").parquet(os.path.join(self.root, "runs"))
-        s.createDataFrame([(run_id, str(k), str(v)) for k, v in params.items()] or [(run_id, "", "")],
-                          "run_id STRING, k STRING, v STRING") \
-            .write.mode("append").parquet(os.path.join(self.root, "run_params"))
-        s.createDataFrame([(run_id, str(k), float(v)) for k, v in metrics.items() if v is not None] or [(run_id, "", 0.0)],
-                          "run_id STRING, k STRING, v DOUBLE") \
-            .write.mode("append").parquet(os.path.join(self.root, "run_metrics"))
+        self._append("runs", self._rows("runs", [(run_id, model_name, ts)]))
         return run_id
 
+    def _rows(self, table: str, rows: list) -> DataFrame:
+        return self.spark.createDataFrame(rows, self.TABLES[table]).coalesce(1)
+
+    def _append(self, table: str, rows: DataFrame) -> None:
+        rows.write.mode("append").parquet(os.path.join(self.root, table))
+
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(os.path.join(self.root, name))
+        rows = self.spark.read.schema(self.TABLES[name]).parquet(os.path.join(self.root, name))
+        if name == "runs":
+            return rows
+        return rows.join(self.table("runs").select("run_id"), "run_id", "left_semi")
