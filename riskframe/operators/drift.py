@@ -34,6 +34,7 @@ from riskframe.functions.exprs import clip, nan_to_null
 from riskframe.functions.hashing import hash_normal, hash_uniform
 from riskframe.functions.special import chi_square_sf
 from riskframe.plans.broadcast import bounded_broadcast
+from riskframe.plans.maxima import candidates
 from riskframe.plans.prefix import ordered_prefix
 from riskframe.plans.quantiles import select_ranks
 from riskframe.plans.workers import ship
@@ -77,6 +78,37 @@ def ks_pvalue(d: F.Column, n: F.Column, m: F.Column) -> F.Column:
     return clip(q, 0.0, 1.0)  # NULL-preserving (greatest/least skip NULLs)
 
 
+def gap_bounds():
+    """|F - G| within a bucket is at most the larger of one function's end less the other's start."""
+    share = lambda part, total, side: F.try_divide(part[side].cast("double"), total[side].cast("double"))
+
+    def upper(before, end, total):
+        a = share(end, total, "r") - share(before, total, "c")
+        b = share(end, total, "c") - share(before, total, "r")
+        return F.when(a >= b, a).otherwise(b)
+
+    return upper, lambda before, end, total: F.abs(share(end, total, "r") - share(end, total, "c"))
+
+
+def ks_test(reference: DataFrame, current: DataFrame, features: Sequence[str], threshold: float = 0.05,
+            **bounds_kw) -> DataFrame:
+    """D1 (KS only): ``feature, ks_d, p_value, drift, n_ref, n_cur`` as ``numeric_drift`` gives them.
+
+    Only values in buckets that can hold the largest gap are collapsed and sorted."""
+    rows = side_by_side(reference, current, features).select(
+        "feature", "value", (F.col("side") == 0).cast("long").alias("r"), (F.col("side") == 1).cast("long").alias("c"))
+    upper, lower = gap_bounds()
+    cur = candidates(rows, ["feature"], "value", ["r", "c"], upper, lower, descending=False, **bounds_kw)
+    gap = F.abs(F.try_divide(F.col("cum_r").cast("double"), F.col("tot_r").cast("double"))
+                - F.try_divide(F.col("cum_c").cast("double"), F.col("tot_c").cast("double")))
+    per = cur.groupBy("feature").agg(F.max(gap).alias("ks_d"), F.max("tot_r").alias("n_ref"), F.max("tot_c").alias("n_cur"))
+    per = per.withColumn("_p", ks_pvalue(F.col("ks_d"), F.col("n_ref"), F.col("n_cur")))
+    return per.select(
+        "feature", F.round("ks_d", ROUND).alias("ks_d"), F.round("_p", ROUND).alias("p_value"),
+        (F.col("_p") < F.lit(float(threshold))).alias("drift"),
+        F.col("n_ref").cast("long").alias("n_ref"), F.col("n_cur").cast("long").alias("n_cur"))
+
+
 def numeric_drift(reference: DataFrame, current: DataFrame, features: Sequence[str],
                   threshold: float = 0.05) -> DataFrame:
     """D1 (numeric): per feature ``ks_d, p_value, drift, w1, w1_norm, n_ref, n_cur``."""
@@ -244,7 +276,7 @@ def detect_data_drift(reference: DataFrame, current: DataFrame, target_col: str
         raise ValueError("no features to test for drift")
     parts = []
     if num:
-        nd = numeric_drift(reference, current, num, threshold)
+        nd = ks_test(reference, current, num, threshold)
         parts.append(nd.select("feature", F.lit("numeric").alias("kind"), F.col("ks_d").alias("statistic"),
                                "p_value", "drift"))
     if cat:

@@ -91,7 +91,7 @@ def tuned_metrics(scored: DataFrame, score_cols: Sequence[str], label_col: str =
     rows at that threshold (``optimal_threshold``); one row per model, NULL threshold: 0.5."""
     pairs = ", ".join(f"'{c[6:]}', {c}" for c in score_cols)
     long = scored.select("split", label_col, F.expr(f"stack({len(score_cols)}, {pairs}) AS (model_name, score)"))
-    best = M.best_threshold(M.score_curve(long.where("split = 'val'"), label_col, "score", ["model_name"]), ["model_name"])
+    best = M.best_threshold_by_bounds(long.where("split = 'val'"), label_col, "score", ["model_name"])
     found = {r["model_name"]: r["best_threshold"] for r in best.collect()}  # one row per model
     test, parts = long.where("split = 'test'"), []
     for c in score_cols:

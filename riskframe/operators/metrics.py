@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.exprs import nan_to_null, zero_div
+from riskframe.plans.maxima import candidates
 from riskframe.plans.prefix import ordered_prefix
 
 ROUND = 6
@@ -135,6 +136,27 @@ def best_threshold(curve: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def f1_bounds():
+    """F1 within a bucket of falling scores is at most what all its positives and none of its
+    negatives would give; at its end it is reached. NULL without positives."""
+    def f1(tp, fp, positives):
+        return F.when(positives > 0, 2.0 * tp / (tp + fp + positives).cast("double"))
+
+    return (lambda before, end, total: f1(end["tp"], before["fp"], total["tp"]),
+            lambda before, end, total: f1(end["tp"], end["fp"], total["tp"]))
+
+
+def best_threshold_by_bounds(df: DataFrame, label_col: str = "Class", score_col: str = "score",
+                             keys: Sequence[str] = (), **bounds_kw) -> DataFrame:
+    """M6 from scored rows: ``best_threshold`` of the curve, of which only the buckets that can
+    hold the largest F1 are ranked. The result is the same."""
+    y = _label(label_col)
+    rows = scored_rows(df, label_col, score_col).select(
+        *keys, F.col(score_col).cast("double").alias("score"), y.alias("tp"), (1 - y).alias("fp"))
+    upper, lower = f1_bounds()
+    return best_threshold(candidates(rows, keys, "score", ["tp", "fp"], upper, lower, descending=True, **bounds_kw), keys)
+
+
 def class_weight(df: DataFrame, label_col: str = "Class") -> DataFrame:
     """M7: ``n_neg / n_pos`` (NULL when there are no positives)."""
     y = _label(label_col)

@@ -184,9 +184,8 @@ def train_and_evaluate(model_type: str, params: dict, split_df: DataFrame, cfg:
     at the tuned threshold and at 0.5. One row per (split, threshold kind)."""
     scorer = fit_score(model_type, params, split_df, cfg)
     scored = scorer.transform(split_df.where(F.col("split").isin("val", "test")))
-    curve = M.score_curve(scored.where(F.col("split") == threshold_source), cfg.label_col, "score")
-    t_row = M.best_threshold(curve).first()
-    tuned = float(t_row["best_threshold"]) if t_row["best_threshold"] is not None else 0.5
+    t_row = M.best_threshold_by_bounds(scored.where(F.col("split") == threshold_source), cfg.label_col, "score").first()
+    tuned = float(t_row["best_threshold"]) if t_row and t_row["best_threshold"] is not None else 0.5
     parts = []
     for kind, t in (("tuned", tuned), ("default", 0.5)):
         ev = M.evaluate(scored, cfg.label_col, "score", t, keys=["split"])

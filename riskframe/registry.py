@@ -257,7 +257,7 @@ def m_pr_curve(spark, d):
 
 
 def m_best_threshold(spark, d):
-    return M.best_threshold(_event_curve(spark, d), ["split"])
+    return M.best_threshold_by_bounds(assign_split(T.txn_events(spark, d)), keys=["split"])
 
 
 def m_class_weight(spark, d):
@@ -299,7 +299,7 @@ def _ref_cur(spark, d):
 
 def d_ks(spark, d):
     r, c = _ref_cur(spark, d)
-    return D.numeric_drift(r, c, LINE_NUMERIC).select("feature", "ks_d", "p_value", "drift")
+    return D.ks_test(r, c, LINE_NUMERIC).select("feature", "ks_d", "p_value", "drift")
 
 
 def d_wasserstein(spark, d):
