@@ -36,13 +36,14 @@ def bucket_bounds(df: DataFrame, keys: Sequence[str], order_col: str, sum_cols:
     ``upper`` and ``lower`` get the totals before a bucket, up to its end, and of the key, by column.
     A bound that is NULL says that the key has no maximum: its lowest bucket alone stays."""
     keys = list(keys)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    size = sizes.agg(F.max("n").alias("most"), F.count(F.lit(1)).alias("keys")).first()
+    # salted by task: a task holds one sketch a key, and those of a hot key aren't merged in one task.
+    # At most SALTS rows a key, each with its share of the rows and evenly spaced values of it
+    steps = [i / (4 * least_buckets) for i in range(1, 4 * least_buckets)]
+    part = keep(df.withColumn("_sl", F.spark_partition_id() % SALTS).groupBy(*keys, "_sl").agg(
+        F.count(F.lit(1)).alias("_n"), F.percentile_approx(order_col, steps, 8 * least_buckets).alias("_v")))
+    size = part.groupBy(*keys).agg(F.sum("_n").alias("n")).agg(F.max("n").alias("most"), F.count(F.lit(1)).alias("keys")).first()
     n_buckets = max(least_buckets, math.ceil((size["most"] or 0) / DEFAULT_ROWS_PER_BUCKET))
     n_rows = int(size["keys"]) * n_buckets
-    salt = F.pmod(F.xxhash64(order_col), F.lit(SALTS)).cast("int")
-    part = df.groupBy(*keys, salt.alias("_sl")).agg(F.percentile_approx(
-        order_col, [i / (4 * n_buckets) for i in range(1, 4 * n_buckets)], 8 * n_buckets).alias("_v"))
     cuts = part.select(*keys, F.explode("_v").alias("_v")).groupBy(*keys).agg(F.array_distinct(F.percentile_approx(
         "_v", [i / n_buckets for i in range(1, n_buckets)], 8 * n_buckets)).alias("_cuts"))
     work = _join_keys(df, bounded_broadcast(cuts, n_rows), keys)

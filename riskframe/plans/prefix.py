@@ -97,7 +97,8 @@ def ordered_prefix(
         # merged in one task: each salt of a key gives evenly spaced values, those give the cuts
         salt = F.pmod(F.xxhash64(order_col), F.lit(SALTS)).cast("int")
         steps = [i / (4 * n_buckets) for i in range(1, 4 * n_buckets)]
-        part = work.groupBy(*keys, salt.alias("_sl")).agg(F.percentile_approx(order_col, steps, 1000).alias("_v"))
+        # (salted by task here: a task then holds one sketch a key, not 64 and a sort to tell them apart)
+        part = work.withColumn("_sl", F.spark_partition_id() % SALTS).groupBy(*keys, "_sl").agg(F.percentile_approx(order_col, steps, 1000).alias("_v"))
         cuts = part.select(*keys, F.explode("_v").alias("_v")).groupBy(*keys).agg(
             F.percentile_approx("_v", probs, max(1000, 4 * n_buckets)).alias("_cuts"))
         # one row per key holding n_buckets - 1 cut values: bounded by n_keys * n_buckets values.
