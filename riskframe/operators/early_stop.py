@@ -75,7 +75,8 @@ def trees_of(model: GBTClassificationModel) -> Trees:
     """Read from the saved form of the model; features must be continuous."""
     from pyspark.sql import SparkSession
 
-    spark = SparkSession.getActiveSession()
+    # trials run in threads of their own, which have no active session
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
     path = scratch_path(spark, "boosted-trees")
     model.write().save(path)
     nodes = spark.read.parquet(f"{path}/data").select(

@@ -9,8 +9,12 @@ algorithms: compare behaviour, never published numbers):
 
 Early stopping (L5): boosting stops when ``patience`` rounds bring no better average precision on
 the validation rows, and keeps the trees up to the best round (``early_stop``). With ``patience=0``
-MLlib's own rule holds, ``validationIndicatorCol`` with an explicit tolerance. The search is a seeded random search bounded by a trial count
-and a wall-clock budget; every trial is a distributed fit and a distributed AP.
+MLlib's own rule holds, ``validationIndicatorCol`` with an explicit tolerance.
+
+The search (L6) is a seeded random search bounded by a trial count and a wall-clock budget. Trials
+are Spark jobs that run side by side over one table of assembled vectors; with several rungs
+(successive halving) all trials get few rounds first, and only the best ``1 / eta`` of each rung
+get ``eta`` times as many, the last the full number.
 """
 
 from __future__ import annotations
@@ -19,12 +23,14 @@ import json
 import math
 import random
 import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from multiprocessing.pool import ThreadPool
 from typing import Sequence
 
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators import metrics as M
@@ -54,6 +60,8 @@ ROUNDS = 1000
 TRIALS = 50
 TIMEOUT_S = 600
 PATIENCE = 50
+# ours: trials at a time, rungs of the search and the share of a rung that goes on
+PARALLEL, RUNGS, ETA = 4, 3, 3
 VALIDATION_TOL = 1e-4
 
 
@@ -119,24 +127,30 @@ def sample_params(space: dict, rng: random.Random) -> dict:
     return out
 
 
+def vectors(model_type: str, split_df: DataFrame, cfg: TrainConfig) -> DataFrame:
+    """``features, label, weight, is_val`` of the train and val rows, weighted for the slot."""
+    w = weight_column(split_df.where(F.col("split") == "train"), model_type, cfg.label_col)
+    rows = split_df.where(F.col("split").isin("train", "val")).withColumn("is_val", F.col("split") == "val").withColumn("weight", w)
+    return assemble(rows, cfg.feature_cols, cfg.label_col).select("features", "label", "weight", "is_val")
+
+
+def fit_vectors(model_type: str, params: dict, data: DataFrame, cfg: TrainConfig):
+    """The model fitted on the ``vectors`` that are not val rows (boosting: val rows decide when it
+    stops). A limit of rounds within the patience leaves nothing to wait for: MLlib's tolerance rule
+    applies then."""
+    train = data.where(~F.col("is_val"))
+    own = {**cfg.fixed, **params}
+    if model_type not in ("gbt", "gbt_sub"):
+        return build_model(model_type, own, cfg.seed, cfg.max_iter).fit(train)
+    if 0 < cfg.patience < cfg.max_iter:
+        both = [part.drop("is_val") for part in (train, data.where("is_val"))]
+        return fit_with_patience(lambda n: build_model(model_type, own, cfg.seed, n), *both, cfg.max_iter, cfg.patience).model
+    return build_model(model_type, own, cfg.seed, cfg.max_iter, "is_val").fit(data)
+
+
 def fit_score(model_type: str, params: dict, split_df: DataFrame, cfg: TrainConfig) -> ProbabilityScorer:
-    """Fit on ``train`` (boosting: ``val`` rows decide when it stops) and wrap as a scorer. A limit of
-    rounds within the patience leaves nothing to wait for: MLlib's tolerance rule applies then."""
-    train = split_df.where(F.col("split") == "train")
-    w = weight_column(train, model_type, cfg.label_col)
-    if model_type in ("gbt", "gbt_sub") and 0 < cfg.patience < cfg.max_iter:
-        both = [assemble(part.withColumn("weight", w), cfg.feature_cols, cfg.label_col).select("features", "label", "weight")
-                for part in (train, split_df.where(F.col("split") == "val"))]
-        fitted = fit_with_patience(lambda n: build_model(model_type, {**cfg.fixed, **params}, cfg.seed, n), both[0], both[1],
-                                   cfg.max_iter, cfg.patience)
-        return ProbabilityScorer(FeaturesThen(fitted.model, cfg.feature_cols, cfg.label_col))
-    if model_type in ("gbt", "gbt_sub"):
-        data = split_df.where(F.col("split").isin("train", "val")).withColumn("is_val", F.col("split") == "val")
-        est = build_model(model_type, {**cfg.fixed, **params}, cfg.seed, cfg.max_iter, "is_val")
-    else:
-        data = train
-        est = build_model(model_type, {**cfg.fixed, **params}, cfg.seed, cfg.max_iter)
-    model = est.fit(assemble(data.withColumn("weight", w), cfg.feature_cols, cfg.label_col))
+    """Fit on ``train`` and ``val`` rows (``fit_vectors``) and wrap as a scorer of raw columns."""
+    model = fit_vectors(model_type, params, vectors(model_type, split_df, cfg), cfg)
     return ProbabilityScorer(FeaturesThen(model, cfg.feature_cols, cfg.label_col))
 
 
@@ -151,31 +165,66 @@ class FeaturesThen:
         return self.model.transform(va.transform(df)).drop("features")
 
 
-def tune_model(model_type: str, split_df: DataFrame, cfg: TrainConfig, n_trials: int = TRIALS,
-               timeout_s: float = TIMEOUT_S) -> tuple[dict, DataFrame]:
-    """Seeded random search maximising validation AP; first trial wins ties.
+def validation_ap(model, data: DataFrame) -> float:
+    """Average precision of a fitted model on the val rows of ``vectors``; -1 where there is none."""
+    scored = ProbabilityScorer(model).transform(data.where("is_val")).select("label", "score").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = scored.count()
+        row = M.ranking_metrics(M.score_curve(scored, "label", "score", size_bound=(n, 1))).first()
+    finally:
+        scored.unpersist()
+    return -1.0 if row is None or row["pr_auc"] is None else float(row["pr_auc"])
+
+
+def ladder(max_iter: int, rungs: int, eta: int) -> list[int]:
+    """Rounds of each rung, the full number last."""
+    return sorted({max(1, max_iter // eta ** k) for k in range(rungs)})
 
-    Returns ``(best_params, trials)`` with one row per finished trial.
+
+def tune_model(model_type: str, split_df: DataFrame, cfg: TrainConfig, n_trials: int = TRIALS,
+               timeout_s: float = TIMEOUT_S, parallelism: int = PARALLEL, rungs: int = RUNGS,
+               eta: int = ETA) -> tuple[dict, DataFrame]:
+    """Seeded random search maximising validation AP, ``parallelism`` trials at a time.
+
+    All parameters are drawn before the first trial, and who goes on to the next rung is decided when
+    a rung is over, so the result depends on the seed and not on which trial ends first. The best
+    trial is the one with the highest AP of those on the highest rung; the first one wins ties. Once
+    ``timeout_s`` is over no further trial begins (the very first always does). ``rungs=1`` gives
+    every trial the full number of rounds. Returns ``(best_params, trials)``, one row per
+    finished trial: ``rounds`` is what it got last and ``val_pr_auc`` what it reached with them.
     """
     if model_type not in SEARCH_SPACES:
         raise ValueError(f"Unknown model type: {model_type}")
+    spark = split_df.sparkSession
     rng = random.Random(cfg.seed)
     start = time.monotonic()
-    rows, best, best_ap = [], {}, -1.0
-    val = split_df.where(F.col("split") == "val")
-    for t in range(n_trials):
-        if time.monotonic() - start > timeout_s:
-            break
-        params = sample_params(SEARCH_SPACES[model_type], rng)
-        scorer = fit_score(model_type, params, split_df, cfg)
-        ap = M.evaluate(scorer.transform(val), cfg.label_col, "score").first()["pr_auc"]
-        ap = float(ap) if ap is not None else -1.0
-        rows.append((t, model_type, json.dumps(params, sort_keys=True), ap))
-        if ap > best_ap:
-            best, best_ap = params, ap
-    spark = SparkSession.getActiveSession()
-    trials = spark.createDataFrame(rows, "trial INT, model_type STRING, params STRING, val_pr_auc DOUBLE")
-    return {**cfg.fixed, **best}, trials
+    drawn = [sample_params(SEARCH_SPACES[model_type], rng) for _ in range(n_trials)]
+    data = vectors(model_type, split_df, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+    reached: dict[int, tuple[int, float]] = {}  # trial: rounds, AP
+
+    def attempt(t: int, rounds: int) -> tuple[int, float] | None:
+        if time.monotonic() - start > timeout_s and (t or reached):
+            return None
+        model = fit_vectors(model_type, drawn[t], data, replace(cfg, max_iter=rounds))
+        return rounds, validation_ap(model, data)
+
+    alive = list(range(n_trials))
+    try:
+        with ThreadPool(max(1, parallelism)) as pool:
+            for rounds in ladder(cfg.max_iter, rungs, eta):
+                # one wrapped function a trial: each carries its own copy of the local properties
+                jobs = [pool.apply_async(inheritable_thread_target(spark)(attempt), (t, rounds)) for t in alive]
+                results = [j.get() for j in jobs]
+                finished = {t: r for t, r in zip(alive, results) if r is not None}
+                reached.update(finished)
+                alive = sorted(finished, key=lambda t: (-finished[t][1], t))[: math.ceil(len(finished) / eta)]
+                alive.sort()
+    finally:
+        data.unpersist()
+    best = min(reached, key=lambda t: (-reached[t][0], -reached[t][1], t), default=None)
+    rows = [(t, model_type, json.dumps(drawn[t], sort_keys=True), *reached[t]) for t in sorted(reached)]
+    trials = spark.createDataFrame(rows, "trial INT, model_type STRING, params STRING, rounds INT, val_pr_auc DOUBLE")
+    return {**cfg.fixed, **(drawn[best] if best is not None else {})}, trials
 
 
 def train_and_evaluate(model_type: str, params: dict, split_df: DataFrame, cfg: TrainConfig,

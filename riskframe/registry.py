@@ -649,7 +649,7 @@ def l_tune(spark, d):
     from riskframe.operators.train import tune_model
 
     ff, feats = _ff(spark, d)
-    _best, trials = tune_model("rf", ff, _train_cfg(feats), n_trials=3, timeout_s=300)
+    _best, trials = tune_model("rf", ff, _train_cfg(feats), timeout_s=300)
     return trials
 
 
