@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.llm.decontamination import drop_contaminated
-from riskframe.llm.line_dedup import BLANK, dedup_lines
+from riskframe.llm.line_dedup import BLANK, count_names, dedup_lines
 from riskframe.llm.near_dup import drop_near_duplicates
 from riskframe.llm.packing import pack
 from riskframe.llm.quality_rules import filter_documents
@@ -31,10 +31,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = dedup_lines(docs)
-    emptied = (F.col("_n_removed") > 0) & (F.length(F.trim("text", F.lit(BLANK))) == 0)
+    out, removed = dedup_lines(docs), F.col(count_names(docs)[1]) > 0
+    emptied = removed & (F.length(F.trim("text", F.lit(BLANK))) == 0)
     out = out.where(~emptied).withColumn(
-        "n_chars", F.when(F.col("_n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+        "n_chars", F.when(removed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
 
 

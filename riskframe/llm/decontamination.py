@@ -231,6 +231,6 @@ def hits(docs: DataFrame, benchmark: DataFrame, percent: int = 75) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = 75) -> DataFrame:
     """The documents without a hit, with all their columns."""
-    bad = hits(docs, benchmark, percent).select(F.col("doc_id").alias("_h_id"), F.col("text_key").alias("_h_text")).distinct()
-    cond = F.col("doc_id").cast("long").eqNullSafe(F.col("_h_id")) & (text_key(F.col("text")) == F.col("_h_text"))
+    bad = hits(docs, benchmark, percent).select(F.col("doc_id").alias("\x01h_id"), F.col("text_key").alias("\x01h_text")).distinct()
+    cond = F.col("doc_id").cast("long").eqNullSafe(F.col("\x01h_id")) & (text_key(F.col("text")) == F.col("\x01h_text"))
     return docs.join(bad.hint("shuffle_hash"), cond, "left_anti")

@@ -12,7 +12,7 @@ adaptive execution. Texts are shuffled once, to meet their removed positions.
 
 Null texts stay null, texts with under three such lines are unchanged. Rows that share a
 doc_id are told apart by their text; fully equal rows are one document, changed alike.
-Extra columns pass through. An empty table gives an empty result.
+Extra columns pass through, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -62,26 +62,39 @@ def removed_lines(docs: DataFrame, size: int = 3) -> DataFrame:
     return later.groupBy("doc_id", "text_key").agg(F.array_distinct(F.flatten(F.collect_list(covered))).alias("gone"))
 
 
+def count_names(docs: DataFrame) -> tuple[str, str]:
+    """Names of the columns that ``dedup_lines`` adds: ``_n_lines`` and ``_n_removed``, with more
+    underscores before them where ``docs`` has such a column."""
+    names = []
+    for name in ("_n_lines", "_n_removed"):
+        while name.lower() in (c.lower() for c in docs.columns):
+            name = "_" + name
+        names.append(name)
+    return names[0], names[1]
+
+
 def dedup_lines(docs: DataFrame, size: int = 3) -> DataFrame:
-    """``docs`` with the later places' lines taken out of text, and the columns
-    ``_n_lines`` and ``_n_removed`` added."""
+    """``docs`` with the later places' lines taken out of text, and two columns added, ``_n_lines``
+    and ``_n_removed`` (``count_names``)."""
     need(docs, "doc_id", "text")
-    gone = removed_lines(docs, size).withColumnsRenamed({"doc_id": "_g_id", "text_key": "_g_text", "gone": "_gone"})
-    cond = F.col("doc_id").cast("long").eqNullSafe(F.col("_g_id")) & (text_key(F.col("text")) == F.col("_g_text"))
-    both = docs.join(gone.hint("shuffle_hash"), cond, "left").withColumn("_lines", _lines(F.col("text")))
+    # helpers are named so that no column of the documents is taken for them
+    gone = removed_lines(docs, size).withColumnsRenamed({"doc_id": "\x01id", "text_key": "\x01key", "gone": "\x01gone"})
+    cond = F.col("doc_id").cast("long").eqNullSafe(F.col("\x01id")) & (text_key(F.col("text")) == F.col("\x01key"))
+    both = docs.join(gone.hint("shuffle_hash"), cond, "left").withColumn("\x01lines", _lines(F.col("text")))
     # indexes among the lines with a word are turned into line indexes
-    worded = _worded(F.col("_lines"))
-    out = F.transform("_gone", lambda i: F.get(F.col("_worded"), i))
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_out"))
-    text = F.array_join(F.transform("_kept", lambda i: F.get(F.col("_lines"), i)), "\n")
-    touched = F.col("_gone").isNotNull()
-    names = [c for c in docs.columns if c != "text"]
-    both = both.withColumn("_worded", F.when(touched, worded)).withColumn("_out", F.when(touched, out))
-    both = both.withColumn("_kept", F.when(touched, kept))
+    worded = _worded(F.col("\x01lines"))
+    out = F.transform("\x01gone", lambda i: F.get(F.col("\x01worded"), i))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("\x01lines") - 1), F.col("\x01out"))
+    text = F.array_join(F.transform("\x01kept", lambda i: F.get(F.col("\x01lines"), i)), "\n")
+    touched = F.col("\x01gone").isNotNull()
+    names = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    both = both.withColumn("\x01worded", F.when(touched, worded)).withColumn("\x01out", F.when(touched, out))
+    both = both.withColumn("\x01kept", F.when(touched, kept))
+    n_lines, n_removed = count_names(docs)
     return both.select(
         *names, F.when(touched, text).otherwise(F.col("text")).alias("text"),
-        F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("_n_lines"),
-        F.when(touched, F.size("_gone")).otherwise(0).cast("long").alias("_n_removed"))
+        F.coalesce(F.size("\x01lines"), F.lit(0)).cast("long").alias(n_lines),
+        F.when(touched, F.size("\x01gone")).otherwise(0).cast("long").alias(n_removed))
 
 
 # DuckDB SQL with the same result. Two aggregates over a list keep it on whole tables.

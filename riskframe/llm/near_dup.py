@@ -304,10 +304,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """The rows that represent their component, one of each, with all columns. Of rows equal in
     id and text that differ in other columns any one stays."""
-    nodes = classes(docs, percent).groupBy(F.col("doc_id").alias("_k_id"), F.col("text_key").alias("_k_text")).agg(
+    nodes = classes(docs, percent).groupBy(F.col("doc_id").alias("\x01k_id"), F.col("text_key").alias("\x01k_text")).agg(
         F.count(F.lit(1)).alias("copies"), F.max("kept").alias("kept")).where("kept")
     nodes = written(nodes, "kept-rows")
-    cond = F.col("doc_id").cast("long").eqNullSafe(F.col("_k_id")) & (text_key(F.col("text")) == F.col("_k_text"))
+    cond = F.col("doc_id").cast("long").eqNullSafe(F.col("\x01k_id")) & (text_key(F.col("text")) == F.col("\x01k_text"))
 
     def of(some: DataFrame) -> DataFrame:
         return docs.join(some.hint("shuffle_hash"), cond, "left_semi")

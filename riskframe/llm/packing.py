@@ -7,7 +7,9 @@ that every piece has a place, with the fewest sequences - is solved approximatel
 multiplicative weights: lengths carry weights, a knapsack dynamic program prices the best
 configuration, used configurations lower the weights of what they serve. The fractional
 counts are rounded down, and what is left is filled best-fit: again and again the fullest
-configuration of the remaining lengths, used as often as the counts allow.
+configuration of the remaining lengths, used as often as the counts allow. That is done with all
+configurations and with the fuller ones only (shares ``FULLER`` of what the program uses, and
+those without room), and the plan with the fewest sequences is used.
 
 The result is a plan: for each configuration a count, and so for each length ranges of
 piece ranks that go to a range of sequences. Its size depends on ``capacity`` and
@@ -39,6 +41,7 @@ from riskframe.llm.shared import map_arrow, need, written
 from riskframe.llm.textcols import Words, row_groups, text_bytes
 
 ROWS_PER_SALT = 1_000_000
+FULLER = (0.75, 0.5, 0.25)
 CACHE_WORDS = 1_500_000  # about 60 MB
 
 
@@ -276,12 +279,11 @@ def fullest(lengths: np.ndarray, left: np.ndarray, capacity: int) -> dict[int, i
     return conf
 
 
-def packing_plan(histogram: dict[int, int], capacity: int, rounds: int = 60) -> list[tuple[dict[int, int], int]]:
-    """Configurations with whole counts that place every piece exactly once."""
-    lengths = np.array(sorted(histogram), dtype=np.int64)
-    if not len(lengths):
-        return []
-    left = np.array([histogram[int(n)] for n in lengths], dtype=np.int64)
+def _rounded(lengths: np.ndarray, counts: np.ndarray, found: list, scale: float, capacity: int,
+             waste: int) -> tuple[list[tuple[dict[int, int], int]], int]:
+    """The configurations rounded down and the rest filled best-fit, and how many sequences the
+    program placed. Configurations that leave more than ``waste`` are left to the filling."""
+    left = counts.copy()
     place = {int(n): i for i, n in enumerate(lengths)}
     plan = []
 
@@ -290,18 +292,41 @@ def packing_plan(histogram: dict[int, int], capacity: int, rounds: int = 60) ->
             left[place[n]] -= k * times
         plan.append((conf, times))
 
-    found, served = configuration_lp(lengths, left.astype(float), capacity, rounds)
-    scale = max(1.0, float(served.min()))
     for conf, amount in sorted(found, key=lambda x: (-sum(n * k for n, k in x[0].items()), -x[1])):
-        if sum(n * k for n, k in conf.items()) < capacity and len(lengths) > 1:
-            continue  # a loose one is better filled from what is left
+        if capacity - sum(n * k for n, k in conf.items()) > waste:
+            continue
         times = min([math.floor(amount / scale), *(int(left[place[n]]) // k for n, k in conf.items())])
         if times > 0:
             use(conf, times)
+    placed = sum(times for _, times in plan)
     while left.any():
         conf = fullest(lengths, left, capacity)
         use(conf, min(int(left[place[n]]) // k for n, k in conf.items()))
-    return plan
+    return plan, placed
+
+
+def rounded_plans(histogram: dict[int, int], capacity: int, rounds: int = 60) -> list[tuple[list, int]]:
+    """Ways to round the program, (plan, sequences placed by the program): all of its
+    configurations rounded down, then only the fuller ones by shares of what it uses, and last
+    those without room."""
+    lengths = np.array(sorted(histogram), dtype=np.int64)
+    counts = np.array([histogram[int(n)] for n in lengths], dtype=np.int64)
+    found, served = configuration_lp(lengths, counts.astype(float), capacity, rounds)
+    scale = max(1.0, float(served.min()))
+    room = np.array([capacity - sum(n * k for n, k in conf.items()) for conf, _ in found])
+    order = np.argsort(room, kind="stable")
+    used = np.cumsum(np.array([amount for _, amount in found])[order])
+    shares = [int(room[order][min(np.searchsorted(used, f * used[-1]), len(found) - 1)]) for f in FULLER]
+    wastes = sorted({capacity, 0, *shares}, reverse=True)
+    return [_rounded(lengths, counts, found, scale, capacity, w) for w in wastes]
+
+
+def packing_plan(histogram: dict[int, int], capacity: int, rounds: int = 60) -> list[tuple[dict[int, int], int]]:
+    """Configurations with whole counts that place every piece exactly once: the plan with fewer
+    sequences; of equals the one that rounds the most configurations."""
+    if not histogram:
+        return []
+    return min((plan for plan, _ in rounded_plans(histogram, capacity, rounds)), key=lambda plan: sum(t for _, t in plan))
 
 
 def plan_ranges(plan: list[tuple[dict[int, int], int]]) -> np.ndarray:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.shared import map_arrow, need, text_key, written
-from riskframe.llm.textcols import U, Words, hash_spans, mix, row_groups, row_sums, text_bytes, window_hashes, window_starts
+from riskframe.llm.textcols import U, Words, first_of_equals, mix, row_groups, row_sums, text_bytes, window_hashes, window_starts
 
 BINS = 1024
 ROWS_PER_SALT = 1_000_000
@@ -72,8 +72,7 @@ def _statistics(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     words_before = np.searchsorted(w.start, line_start)
     has_word = np.searchsorted(w.start, own) > words_before
     s, e, r = line_start[has_word], own[has_word], line_row[has_word]
-    key = mix(hash_spans(data, s, e) ^ (r.astype(np.uint64) * U(0x9E3779B97F4A7C15)))
-    _, firsts = np.unique(key, return_index=True)
+    firsts = first_of_equals(data, s, e, r)
     n_dup = np.bincount(r, minlength=rows) - np.bincount(r[firsts], minlength=rows)
 
     # words covered by 8-word windows that occur twice or more in the row
@@ -255,8 +254,8 @@ def quality_rules(docs: DataFrame, support: float = 0.75, steps: int = 3, cutoff
 def filter_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
     verdicts = quality_rules(docs, **options).where("kept").select(
-        F.col("doc_id").alias("_q_id"), F.col("text_key").alias("_q_text"), F.col("group_key").alias("_q_group")).distinct()
+        F.col("doc_id").alias("\x01q_id"), F.col("text_key").alias("\x01q_text"), F.col("group_key").alias("\x01q_group")).distinct()
     group = F.concat_ws("\x01", _marked("lang"), _marked("source"))
-    cond = (F.col("doc_id").cast("long").eqNullSafe(F.col("_q_id")) & (text_key(F.col("text")) == F.col("_q_text"))
-            & (group == F.col("_q_group")))
+    cond = (F.col("doc_id").cast("long").eqNullSafe(F.col("\x01q_id")) & (text_key(F.col("text")) == F.col("\x01q_text"))
+            & (group == F.col("\x01q_group")))
     return docs.join(verdicts.hint("shuffle_hash"), cond, "left_semi")

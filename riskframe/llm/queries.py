@@ -40,7 +40,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskframe.llm.near_dup import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    # here every copy of a repeated row is kept with its id; a null id is that of a null component
+    return near_duplicates(table(spark, sf_dir, "documents")).withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 @query
@@ -66,10 +68,12 @@ def op2_configuration_lp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from riskframe.llm.line_dedup import dedup_lines
+    from riskframe.llm.line_dedup import count_names, dedup_lines
 
-    out = dedup_lines(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), "text")
+    docs = table(spark, sf_dir, "documents")
+    n_lines, n_removed = count_names(docs)
+    out = dedup_lines(docs)
+    return out.select("doc_id", F.col(n_lines).alias("n_lines"), F.col(n_removed).alias("n_removed"), "text")
 
 
 @query

@@ -170,6 +170,22 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return BYTES.spans(lambda lo, hi: _BYTE_VALUE[data[lo:hi]], starts, ends)
 
 
+def first_of_equals(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Indexes of the spans that equal no earlier span of their group. Equal hashes are only a hint
+    (long spans can be made to collide): spans that share one are told apart by 128 bits of BLAKE2b."""
+    key = mix(hash_spans(data, starts, ends) ^ (group.astype(np.uint64) * U(0x9E3779B97F4A7C15)))
+    _, back, n = np.unique(key, return_inverse=True, return_counts=True)
+    alone = n[back] == 1
+    firsts = np.flatnonzero(alone)
+    seen, more = set(), []
+    for i in np.flatnonzero(~alone):
+        name = (int(group[i]), hashlib.blake2b(data[starts[i]: ends[i]].tobytes(), digest_size=16).digest())
+        if name not in seen:
+            seen.add(name)
+            more.append(i)
+    return np.sort(np.concatenate([firsts, np.array(more, dtype=np.int64)]))
+
+
 def window_hashes(words: np.ndarray, starts: np.ndarray, size, by: Rolling = WORDS) -> np.ndarray:
     """Hashes of the windows of ``size`` words at the sorted word positions ``starts``."""
     return by.spans(lambda lo, hi: words[lo:hi], starts, starts + size)

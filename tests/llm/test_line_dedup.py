@@ -1,6 +1,8 @@
 import random
 
-from riskframe.llm.line_dedup import dedup_lines
+from pyspark.sql import functions as F
+
+from riskframe.llm.line_dedup import count_names, dedup_lines
 
 from . import brute
 
@@ -30,3 +32,15 @@ def test_repeated_rows_and_empty_table(docs_of):
     # a null id is the smallest, so a, b, c are first there; b, c, d are first in document 1
     assert got == [("1", "d", 3), ("1", "d", 3), ("2", "", 4), ("3", None, 0), ("None", "q\na\nb\nc", 0)]
     assert dedup_lines(df.limit(0)).count() == 0
+
+
+def test_clashing_names_pass_through(docs_of):
+    names = ["_lines", "_kept", "_gone", "_g_id", "_g_text", "_worded", "_out", "_n_lines", "_n_removed", "a.b"]
+    df = docs_of([(1, "a\nb\nc\nd"), (2, "a\nb\nc\ne"), (3, None)]).withColumns(
+        {n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    assert count_names(df) == ("__n_lines", "__n_removed")
+    out = dedup_lines(df)
+    assert out.columns == [c for c in df.columns if c != "text"] + ["text", "__n_lines", "__n_removed"]
+    rows = {r["doc_id"]: r for r in out.collect()}
+    assert [(rows[i]["text"], rows[i]["__n_removed"]) for i in (1, 2, 3)] == [("a\nb\nc\nd", 0), ("e", 3), (None, 0)]
+    assert all(rows[i][n] == f"{n}{i}" for i in rows for n in names)

@@ -103,3 +103,13 @@ def test_rows_without_or_with_shared_ids_are_told_apart_by_text(docs_of, text_of
     assert len(rows) == len(pairs) and sum(r["kept"] for r in rows) == len(got) == 9 - 1
     # a row without an id takes the component_id of the near copy that has one
     assert sorted(str(r["component_id"]) for r in rows if r["doc_id"] is None) == ["9", "None", "None", "None", "None"]
+
+
+def test_the_query_keeps_where_the_id_is_that_of_the_component(spark, docs_of, text_of, tmp_path):
+    from riskframe.llm.queries import QUERIES
+
+    t = text_of(50, 1)
+    docs_of([(5, t), (5, t), (3, t.upper()), (3, t.upper()), (9, ""), (9, ""), (None, None)]).write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op8_hyperminhash"](spark, str(tmp_path)).collect()
+    assert sorted((str(r["doc_id"]), r["kept"]) for r in got) == [
+        ("3", True), ("3", True), ("5", False), ("5", False), ("9", True), ("9", True), ("None", True)]

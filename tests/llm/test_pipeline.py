@@ -73,3 +73,16 @@ def test_stages_take_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = written(stage(spark, docs, SF), "test-empty")
         assert docs.count() == 0
+
+
+def test_stages_keep_columns_with_clashing_names(spark):
+    from pyspark.sql import functions as F
+
+    names = ["_lines", "_kept", "_gone", "_g_id", "_k_id", "_k_text", "_q_id", "_q_text", "_q_group", "_h_id", "_h_text", "_n_removed", "_n_lines"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, SF), "test-names")
+        assert docs.columns[-len(names):] == names, name
+        assert docs.where(" or ".join(f"`{n}` is null or `{n}` <> concat('{n}', doc_id)" for n in names)).count() == 0
+        assert docs.count() > 50

@@ -93,3 +93,13 @@ def test_small_groups_are_judged_by_their_language_or_the_table(spark, text_of):
     for i, want in [*((r[0], english) for r in tail + odd[:2]), *((r[0], table) for r in odd[2:] + few),
                     *((r[0], d2(large)) for r in large[:3])]:
         assert got[i]["distance2"] == pytest.approx(want[i], rel=1e-6, abs=1e-9)
+
+
+def test_long_lines_are_compared_by_their_bytes(docs_of):
+    # a Thue-Morse line and its complement collide under every polynomial hash modulo 2^64
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    one, other = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    texts = [f"{one}\n{other}", f"{one}\n{other}\n{one}\n{other}\n{other}", f"{one}\n{other[:-1]}\n{one[:1024]}\n{other[:1024]}"]
+    got = {r["doc_id"]: r["n_dup_lines"] for r in statistics(docs_of(enumerate(texts))).collect()}
+    assert got == {0: 0, 1: 3, 2: 0}
+    assert all(brute.statistics(t)["n_dup_lines"] == got[i] for i, t in enumerate(texts))
