@@ -37,22 +37,53 @@ def features(s):
             math.log1p(s["n_dup_lines"]), math.sqrt(s["n_repeat_words"] / n)]
 
 
-def distances(x, floors, support=0.75, steps=3, factor=1.0):
-    """Squared robust distances of the rows of one group."""
+def raised(cov, floors):
+    units = np.outer(floors, floors)
+    values, vectors = np.linalg.eigh(cov / units)
+    up = np.maximum(values, 1)
+    return np.linalg.inv(vectors @ np.diag(up) @ vectors.T * units), (np.log(up) + values / up).sum()
+
+
+def distances(x, floors, support=0.75, factor=1.0, tolerance=0.01):
+    """Squared robust distances of the rows of one group: steps from three starts, the least
+    criterion after two of them goes on until it settles."""
     x = np.array(x)
     n = len(x)
+
+    def d2_of(mean, inv):
+        return np.einsum("ij,jk,ik->i", x - mean, inv, x - mean)
+
+    def step(mean, inv):
+        bins = np.minimum(np.floor(np.log2(1 + d2_of(mean, inv)) * 32), 1023)
+        weight, left = np.zeros(n), support * n
+        for b in np.unique(bins):
+            own = bins == b
+            weight[own] = min(1, max(0, left) / own.sum())
+            left -= own.sum()
+        mean = weight @ x / (support * n)
+        cov = (x - mean).T @ ((x - mean) * weight[:, None]) / (support * n)
+        inv, criterion = raised(cov, floors)
+        return criterion, mean, inv
+
     rank = lambda p: np.sort(x, axis=0)[max(math.ceil(p * n) - 1, 0)]
-    mean, cov = rank(0.5), np.diag(((rank(0.75) - rank(0.25)) / 1.349) ** 2)
-    for step in range(steps + 1):
-        inv = np.linalg.inv(cov + np.diag(np.square(floors)))
-        d2 = np.einsum("ij,jk,ik->i", x - mean, inv, x - mean)
-        if step == steps:
-            return d2
-        bins = np.minimum(np.floor(np.log2(1 + d2) * 32), 1023)
-        last = np.sort(bins)[math.ceil(support * n) - 1]
-        use = bins <= last
-        mean = x[use].mean(axis=0)
-        cov = np.cov(x[use].T, bias=True) * (factor if use.sum() < n else 1.0)
+    median, inv = rank(0.5), raised(np.diag(((rank(0.75) - rank(0.25)) / 1.349) ** 2), floors)[0]
+    z = (x - median) * np.sqrt(np.diag(inv))
+    u = z / np.maximum(np.sqrt((z ** 2).sum(axis=1)), 1e-300)[:, None]
+    scale = 1 / np.sqrt(np.diag(inv))
+    begin = [(median, inv), (x.mean(axis=0), raised(np.cov(x.T, bias=True), floors)[0]),
+             (median, raised(5 * u.T @ u / n * np.outer(scale, scale), floors)[0])]
+    seen = [step(*b) for b in begin]
+    second = [step(*b[1:]) for b in seen]
+    at = min(second, key=lambda b: b[0])
+    seen += second
+    while True:
+        after = step(*at[1:])
+        seen.append(after)
+        if after[0] >= at[0] - tolerance:
+            break
+        at = after
+    best = min(seen, key=lambda b: b[0])
+    return d2_of(*best[1:]) / factor
 
 
 # --- line dedup

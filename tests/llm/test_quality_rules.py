@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskframe.llm.quality_rules import FLOORS, base_failed, chi2_cdf, consistency, filter_documents, quality_rules, statistics
+from riskframe.llm.quality_rules import (
+    FLOORS, TOLERANCE, base_failed, chi2_cdf, concentrations, consistency, estimates, filter_documents, quality_rules, raised, salted, statistics)
 
 from . import brute
 
@@ -103,3 +104,53 @@ def test_long_lines_are_compared_by_their_bytes(docs_of):
     got = {r["doc_id"]: r["n_dup_lines"] for r in statistics(docs_of(enumerate(texts))).collect()}
     assert got == {0: 0, 1: 3, 2: 0}
     assert all(brute.statistics(t)["n_dup_lines"] == got[i] for i, t in enumerate(texts))
+
+
+def _pools(spark, groups):
+    rows = [(p, 1, k, *map(float, r)) for p, x in groups.items() for k, r in enumerate(x)]
+    return spark.createDataFrame(rows, "pool string, salts long, slot int, x0 double, x1 double, x2 double, x3 double, x4 double")
+
+
+def test_the_determinant_falls_and_the_least_is_kept(spark):
+    r = np.random.default_rng(4)
+    clean = r.normal(size=(300, 5)) @ r.normal(size=(5, 5)) * 3
+    crowd = np.concatenate([clean[:240], r.normal(size=(60, 5)) * 0.1 + 40])  # a fifth lies close together, far away
+    same = np.tile([3.0, 5.0, 0.0, 0.0, 0.1], (50, 1))
+    groups = {"clean": clean, "crowd": crowd, "same": same, "one": same[:1]}
+    rows = _pools(spark, groups)
+    steps = [{(x["pool"], x["start"]): x["criterion"] for x in e.collect()} for e in concentrations(rows)]
+    assert len(steps[0]) == len(steps[1]) == 12 and len(steps) < 30
+    for before, after in zip(steps, steps[1:]):
+        assert set(after) <= set(before)
+        assert all(after[k] <= before[k] + TOLERANCE for k in after)
+    est = {x["pool"]: x for x in estimates(rows).collect()}
+    assert all(est[p]["criterion"] == min(c for e in steps for (q, _), c in e.items() if q == p) for p in groups)
+    assert {p: est[p]["n"] for p in est} == {"clean": 300, "crowd": 300, "same": 50, "one": 1}
+    m = np.array([est["crowd"][f"m{i}"] for i in range(5)])
+    w = np.array([[est["crowd"][f"w{min(i, j)}{max(i, j)}"] for i in range(5)] for j in range(5)])
+    d2 = np.einsum("ij,jk,ik->i", crowd - m, w, crowd - m) / consistency(0.75)
+    assert (d2[240:] > 30).all() and (d2[:240] <= 30).all()
+
+
+def test_raised_eigenvalues():
+    inv, criterion = raised(np.diag(np.square(FLOORS)) * 4)
+    assert np.allclose(inv, np.diag(1 / np.square(FLOORS)) / 4) and criterion == pytest.approx(5 * np.log(4) + 5)
+    inv, criterion = raised(np.zeros((5, 5)))
+    assert np.allclose(inv, np.diag(1 / np.square(FLOORS))) and criterion == 0
+
+
+def test_salts_follow_the_pool(spark):
+    est = spark.range(10_000).select(F.col("id").cast("string").alias("pool"), F.lit(30).cast("long").alias("n"))
+    est = est.union(spark.createDataFrame([("hot", 2_500_000)], "pool string, n long"))
+    assert salted(est).count() == 10_000 + 3
+
+
+def test_equal_rows_of_a_hot_group_are_spread(docs_of, monkeypatch, text_of):
+    from riskframe.llm import quality_rules as q
+
+    texts = [text_of(40 + 7 * (k % 23), k, 5000) for k in range(60)] + [text_of(50, 1, 5000)] * 60
+    df = docs_of(enumerate(texts))
+    want = {r["doc_id"]: r["distance2"] for r in quality_rules(df).collect()}
+    monkeypatch.setattr(q, "ROWS_PER_SALT", 25)
+    got = {r["doc_id"]: r["distance2"] for r in quality_rules(df).collect()}
+    assert set(got) == set(want) and all(got[i] == pytest.approx(want[i], rel=1e-6) for i in want)
