@@ -3,12 +3,13 @@
 A benchmark item of m words is compared with every window of m words of every document, on
 weighted 5-word shingles (weight: how often the shingle stands there): similarity is the sum
 of the smaller weights over the sum of the larger ones, and ``percent`` or more of it makes a
-hit. Words are lower-cased for A-Z. An item under five words is one shingle.
+hit. Words are lower-cased for A-Z. An item under five words is one shingle. A document with
+fewer words than the item is one window, while its length can still reach ``percent``.
 
-1. The items' shingles, alone and together with the item's size, set bits in a bitmap of fixed
-   size, which the document pass carries. Rows with enough bits for some size are looked at
-   size by size. A window can only reach ``percent`` if enough of its shingles are an item's: with S
-   shingles on both sides, at least 2 * percent / (100 + percent) of S. Windows with fewer
+1. The items' shingles, alone and together with the item's size, set bits in a bitmap, which
+   the document pass carries. Rows with enough bits for some size are looked at size by size.
+   A window can only reach ``percent`` if enough of its shingles are an item's: with R and S
+   shingles on the two sides, at least percent / (100 + percent) of R + S. Windows with fewer
    set bits have no fingerprint taken; none that could be a hit is lost.
 2. The other windows get a 128-bit SimHash. Fingerprints are cut into 16 blocks of 8 bits. Two
    that differ in at most 47 bits differ in at most 2 bits of some block, so each item is
@@ -17,9 +18,9 @@ hit. Words are lower-cased for A-Z. An item under five words is one shingle.
    with a standard deviation of 4.3: the radius leaves a margin of almost 6.
 3. Pairs within the radius are verified on the exact weighted shingles.
 
-The bitmap has 2**24 bits whatever the benchmark holds (more items make it less selective,
-never wrong), item sizes are at most as many as the longest item has words, and all else -
-items, index, windows - is joined by key. A document with a hit is told by its windows only;
+The bitmap has 16 bits or more for each entry, between 2**20 and 2**28 bits (32 MB) in all;
+beyond 16 million entries it is less selective, never wrong. Item sizes are at most as many as
+the longest item has words, and all else - items, index, windows - is joined by key. A document with a hit is told by its windows only;
 texts are never shuffled.
 
 Null and empty texts and items have no window. Equal documents have equal hits. Equal items
@@ -40,7 +41,7 @@ from riskframe.llm.shared import map_arrow, need, text_key, written
 from riskframe.llm.textcols import U, Words, mix, row_groups, text_bytes, window_hashes, window_starts
 
 SHINGLE = 5
-BITMAP_BITS = 24
+BITMAP_BITS = (20, 28)  # the least and the most, as powers of two
 BLOCKS, BLOCK_BITS, BLOCK_ERRORS = 16, 8, 2
 RADIUS = BLOCKS * (BLOCK_ERRORS + 1) - 1
 
@@ -93,15 +94,18 @@ def _item_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                               ("shingles", pa.binary())]))
 
 
-def _bit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        data, _ = text_bytes(batch.column("shingles"))
-        sh = np.frombuffer(data.tobytes(), dtype=np.uint64)
-        m = batch.column("m").to_numpy(zero_copy_only=False)
-        sized = of_size(sh, np.repeat(m, np.maximum(m - SHINGLE + 1, 1)).astype(np.uint64))
-        at = np.unique(np.concatenate([sh, sized]) >> U(64 - BITMAP_BITS))
-        bit = np.left_shift(U(1), at & U(63)).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array((at >> U(6)).astype(np.int32)), pa.array(bit)], ["word", "bit"])
+def _bit_batches(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, _ = text_bytes(batch.column("shingles"))
+            sh = np.frombuffer(data.tobytes(), dtype=np.uint64)
+            m = batch.column("m").to_numpy(zero_copy_only=False)
+            sized = of_size(sh, np.repeat(m, np.maximum(m - SHINGLE + 1, 1)).astype(np.uint64))
+            at = np.unique(np.concatenate([sh, sized]) >> U(64 - width))
+            bit = np.left_shift(U(1), at & U(63)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array((at >> U(6)).astype(np.int32)), pa.array(bit)], ["word", "bit"])
+
+    return run
 
 
 def of_size(shingles: np.ndarray, m) -> np.ndarray:
@@ -110,14 +114,20 @@ def of_size(shingles: np.ndarray, m) -> np.ndarray:
 
 
 def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    top = hashes >> U(64 - BITMAP_BITS)
+    top = hashes >> U(64 - (len(bits).bit_length() + 5))
     return (bits[top >> U(6)] >> (top & U(63))) & U(1)
 
 
-def bitmap(items: DataFrame) -> np.ndarray:
-    """Bits of the items' shingles: 2 MB at any size of the benchmark."""
-    words = map_arrow(items, _bit_batches, "word int, bit long").groupBy("word").agg(F.bit_or("bit").alias("bit")).toPandas()
-    out = np.zeros(1 << (BITMAP_BITS - 6), dtype=np.int64)
+def bitmap_width(shingles: int) -> int:
+    """The power of two with 16 bits or more for both entries of each shingle, within bounds."""
+    return min(max((32 * shingles).bit_length(), BITMAP_BITS[0]), BITMAP_BITS[1])
+
+
+def bitmap(items: DataFrame, shingles: int) -> np.ndarray:
+    """Bits of the items' shingles, of which there are so many: 32 MB at most."""
+    width = bitmap_width(shingles)
+    words = map_arrow(items, _bit_batches(width), "word int, bit long").groupBy("word").agg(F.bit_or("bit").alias("bit")).toPandas()
+    out = np.zeros(1 << (width - 6), dtype=np.int64)
     out[words["word"].to_numpy(dtype=np.int64)] = words["bit"].to_numpy(dtype=np.int64)
     return out.view(np.uint64)
 
@@ -125,9 +135,9 @@ def bitmap(items: DataFrame) -> np.ndarray:
 WINDOWS = "doc_id long, text_key long, start int, m int, fa long, fb long, shingles binary"
 
 
-def least_common(shingles: np.ndarray, percent: int) -> np.ndarray:
-    """How many of S shingles must be common for a similarity of percent / 100."""
-    return -(-2 * percent * shingles // (100 + percent))
+def least_common(r: int, s: int, percent: int) -> int:
+    """How many of r and s shingles must be common for a similarity of percent / 100."""
+    return -(-percent * (r + s) // (100 + percent))
 
 
 def _window_batches(bits: np.ndarray, sizes: np.ndarray, percent: int):
@@ -144,22 +154,23 @@ def _window_batches(bits: np.ndarray, sizes: np.ndarray, percent: int):
                     total = np.concatenate([[0], np.cumsum(in_bitmap(bits, sh), dtype=np.int64)])
                     bounds = np.searchsorted(row, np.arange(hi - lo + 1))
                     per_row = total[bounds[1:]] - total[bounds[:-1]]
-                    need_ = least_common(own - k + 1, percent)
-                    for r in np.flatnonzero(per_row >= need_.min()):
-                        yield from _of_row(batch, lo + int(r), sh[bounds[r]: bounds[r + 1]], bits, own - k + 1, own, need_)
+                    # percent of an item's shingles must be there, however long the row
+                    for r in np.flatnonzero(per_row >= -(-percent * int(own.min() - k + 1) // 100)):
+                        yield from _of_row(batch, lo + int(r), sh[bounds[r]: bounds[r + 1]], bits, own - k + 1, own, percent)
 
     return run
 
 
-def _of_row(batch, i, sh, bits, counts, sizes, need_):
+def _of_row(batch, i, sh, bits, counts, sizes, percent):
     out = []
-    for s, m, least in zip(counts.tolist(), sizes.tolist(), need_.tolist()):
-        if s <= len(sh):
+    for s, m in zip(counts.tolist(), sizes.tolist()):
+        r = min(s, len(sh))  # a row shorter than the item is its one window
+        if 100 * r >= percent * s:
             total = np.concatenate([[0], np.cumsum(in_bitmap(bits, of_size(sh, m)), dtype=np.int64)])
-            start = np.flatnonzero(total[s:] - total[:-s] >= least)
+            start = np.flatnonzero(total[r:] - total[:-r] >= least_common(r, s, percent))
             if len(start):
-                flat = sh[start[:, None] + np.arange(s)]
-                f = simhash(flat.ravel(), np.arange(len(start) + 1) * s).view(np.int64)
+                flat = sh[start[:, None] + np.arange(r)]
+                f = simhash(flat.ravel(), np.arange(len(start) + 1) * r).view(np.int64)
                 out.append((start, np.full(len(start), m), f, [x.tobytes() for x in flat]))
     if out:
         n = sum(len(x[0]) for x in out)
@@ -200,14 +211,16 @@ def _verifier(percent: int):
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, percent: int = 75) -> DataFrame:
-    """doc_id, text_key, item_id, start (word), m (words), similarity: the best window (the
-    first of equals) of each document and item that reach ``percent``."""
+    """doc_id, text_key, item_id, start (word), m (words of the item), similarity: the best window
+    (the first of equals) of each document and item that reach ``percent``."""
     need(docs, "doc_id", "text")
     need(benchmark, "item_id", "text")
     items = written(map_arrow(benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text"), _item_batches, ITEMS), "items")
-    sizes = np.array(sorted(r["m"] for r in items.select("m").distinct().collect()), dtype=np.int64)
+    of_items = items.groupBy("m").count().collect()
+    sizes = np.array(sorted(r["m"] for r in of_items), dtype=np.int64)
+    shingles = sum(max(r["m"] - SHINGLE + 1, 1) * r["count"] for r in of_items)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"), "text")
-    windows = written(map_arrow(rows, _window_batches(bitmap(items), sizes, percent), WINDOWS), "windows")
+    windows = written(map_arrow(rows, _window_batches(bitmap(items, shingles), sizes, percent), WINDOWS), "windows")
     windows = windows.dropDuplicates(["doc_id", "text_key", "start", "m"])
 
     blocks = F.posexplode(F.array(*_blocks())).alias("block", "value")

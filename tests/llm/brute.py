@@ -169,7 +169,7 @@ def grams(w, size=5):
 
 
 def hits(docs, items, percent=75):
-    """{(doc_id, item_id): (similarity, start)} of the best windows"""
+    """{(doc_id, item_id): (similarity, start)} of the best windows; a text shorter than the item is one"""
     out = {}
     for i, text in docs:
         w = words(lower(text))
@@ -179,7 +179,7 @@ def hits(docs, items, percent=75):
             g = grams(own)
             if not m or not set(g) & set(grams(w, min(m, 5))):
                 continue
-            best = max(((similarity(grams(w[a:a + m]), g), -a) for a in range(len(w) - m + 1)), default=(0, 0))
+            best = max(((similarity(grams(w[a:a + m]), g), -a) for a in range(max(1, len(w) - m + 1))), default=(0, 0))
             if 100 * best[0] >= percent:
                 out[i, item] = (round(best[0], 9), -best[1])
     return out

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from riskframe.llm.decontamination import RADIUS, drop_contaminated, hits, simhash
+from riskframe.llm.decontamination import BITMAP_BITS, RADIUS, bitmap_width, drop_contaminated, hits, simhash
 from riskframe.llm.textcols import mix
 
 from . import brute
@@ -41,3 +41,29 @@ def test_similar_windows_lie_within_the_radius():
         f = simhash(np.concatenate([a, b]), np.array([0, 28, 56]))
         far.append(sum(bin(int(x)).count("1") for x in f[0] ^ f[1]))
     assert max(far) <= RADIUS and 12 < np.mean(far) < 32
+
+
+def test_documents_shorter_than_an_item(spark, docs_of, text_of):
+    r = random.Random(5)
+    items = [(k, text_of(n, 400 + k)) for k, n in enumerate((5, 6, 8, 20, 40, 41, 60))]
+    texts = []
+    for _, t in items:
+        w = t.split()
+        for n in range(len(w) + 2):  # each head of an item, some with a changed word or an added one
+            texts.append(" ".join(w[:n]))
+            texts.append(" ".join(w[len(w) - min(n, len(w)):] + ["more"]))
+            if n:
+                at = r.randrange(n)
+                texts.append(" ".join(w[:at] + ["changed"] + w[at + 1:n]))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(x["doc_id"], x["item_id"]): (round(x["similarity"], 9), x["start"]) for x in hits(docs_of(enumerate(texts)), bench).collect()}
+    want = brute.hits(list(enumerate(texts)), items)
+    assert got == want
+    assert any(len(texts[d].split()) < len(items[i][1].split()) for d, i in want)
+
+
+def test_bitmap_follows_the_items():
+    low, high = BITMAP_BITS
+    assert bitmap_width(0) == bitmap_width(1000) == low and bitmap_width(10 ** 9) == high
+    for n in (50_000, 10 ** 6, 5 * 10 ** 6):
+        assert 16 * 2 * n <= 1 << bitmap_width(n) <= 64 * 2 * n
