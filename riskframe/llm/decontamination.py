@@ -18,8 +18,8 @@ fewer words than the item is one window, while its length can still reach ``perc
    with a standard deviation of 4.3: the radius leaves a margin of almost 6.
 3. Pairs within the radius are verified on the exact weighted shingles.
 
-The bitmap has 16 bits or more for each entry, between 2**20 and 2**28 bits (32 MB) in all;
-beyond 16 million entries it is less selective, never wrong. Item sizes are at most as many as
+The bitmap has 256 bits or more for each entry, as items of one shingle need it sparse, between
+2**24 and 2**28 bits (32 MB) in all; beyond a million entries it is less selective, never wrong. Item sizes are at most as many as
 the longest item has words, and all else - items, index, windows - is joined by key. A document with a hit is told by its windows only;
 texts are never shuffled.
 
@@ -41,7 +41,7 @@ from riskframe.llm.shared import map_arrow, need, text_key, written
 from riskframe.llm.textcols import U, Words, mix, row_groups, text_bytes, window_hashes, window_starts
 
 SHINGLE = 5
-BITMAP_BITS = (20, 28)  # the least and the most, as powers of two
+BITMAP_BITS = (24, 28)  # the least and the most, as powers of two
 BLOCKS, BLOCK_BITS, BLOCK_ERRORS = 16, 8, 2
 RADIUS = BLOCKS * (BLOCK_ERRORS + 1) - 1
 
@@ -119,8 +119,8 @@ def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def bitmap_width(shingles: int) -> int:
-    """The power of two with 16 bits or more for both entries of each shingle, within bounds."""
-    return min(max((32 * shingles).bit_length(), BITMAP_BITS[0]), BITMAP_BITS[1])
+    """The power of two with 256 bits or more for both entries of each shingle, within bounds."""
+    return min(max((512 * shingles).bit_length(), BITMAP_BITS[0]), BITMAP_BITS[1])
 
 
 def bitmap(items: DataFrame, shingles: int) -> np.ndarray:

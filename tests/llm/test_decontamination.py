@@ -65,5 +65,5 @@ def test_documents_shorter_than_an_item(spark, docs_of, text_of):
 def test_bitmap_follows_the_items():
     low, high = BITMAP_BITS
     assert bitmap_width(0) == bitmap_width(1000) == low and bitmap_width(10 ** 9) == high
-    for n in (50_000, 10 ** 6, 5 * 10 ** 6):
-        assert 16 * 2 * n <= 1 << bitmap_width(n) <= 64 * 2 * n
+    for n in (40_000, 200_000, 500_000):
+        assert 256 * 2 * n <= 1 << bitmap_width(n) <= 512 * 2 * n
