@@ -26,7 +26,10 @@ As Spark work:
 3. rows with equal sets are one class, and what follows is between classes; keys of one class go;
 4. every member of a bucket is paired with the bucket's smallest member (a hub): pairs grow
    with the rows, not with the square of a bucket; pairs are verified on full sets, and connected;
-5. buckets that still hold several components pair their members across components. The join
+5. buckets with the same members count once. In those that still hold several components every
+   member is paired with the next one, in an order drawn anew each turn: again no more pairs than
+   rows. What is linked becomes one component; turns end when they link few;
+6. buckets that still hold several components pair their members across components. The join
    compares sizes and parity bitmaps, whose distance is never more than that of the sets, so what
    it drops is certain to be too far; the rest is verified. Pairs within a component can't
    change it. No bucket is capped.
@@ -44,7 +47,7 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.llm.components import connected_components
@@ -57,6 +60,7 @@ PER_SEGMENT = 2.5  # shingles of the largest set of a band in a segment of its o
 NEIGHBOURS = 8  # and in one with a neighbourhood
 SEEDS = 8
 MIN_BITS, MAX_BITS = 128, 1 << 14
+TURNS, TURN_SHARE = 8, 256  # at most so many turns; one more if the last linked one of so many components
 NARROW_BITS = 1024  # of the bitmap that travels with every key of a bucket
 
 
@@ -381,6 +385,24 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return map_arrow(pairs.join(side("v"), "v").join(side("u"), "u"), _verifier(percent), "u long, v long")
 
 
+def _beside(open_: DataFrame, turn: int) -> DataFrame:
+    """Members of a bucket and the next one in the turn's order, if it is of another component:
+    u, v and their labels."""
+    order = Window.partitionBy("key").orderBy(F.xxhash64(F.lit(turn), "key", "rep"), "rep")
+    this = F.struct("rep", "label")
+    pairs = open_.select("key", "rep", "label").select(this.alias("x"), F.lead(this).over(order).alias("y")).where("x.label <> y.label")
+    pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    return pairs.select(F.col("x.rep").alias("u"), F.col("y.rep").alias("v"), F.col("x.label").alias("label_u"), F.col("y.label").alias("label_v")).distinct()
+
+
+def _relabelled(open_: DataFrame, joined: DataFrame) -> DataFrame:
+    """The rows of buckets that still hold several components, once ``joined`` labels are one."""
+    now = joined.select(F.col("node").alias("label"), "component")
+    rows = open_.join(now, "label", "left").withColumn("label", F.coalesce("component", "label")).drop("component")
+    mixed = rows.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("key")
+    return written(rows.join(mixed, "key", "left_semi").select(*open_.columns), "open")
+
+
 def similar_sets(docs: DataFrame, percent: int = 80) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
     need(docs, "doc_id", "text")
@@ -402,6 +424,7 @@ def similar_sets(docs: DataFrame, percent: int = 80) -> DataFrame:
     shared = written(shared.select("key", "hub"), "shared-keys")
     buckets = written(keys.join(shared, "key").select("key", "hub", "set_a"), "buckets")
     discard(full)  # the largest table; all that is read from here on has been written
+    discard(shared)
     met = classes.join(buckets.select("set_a").distinct(), "set_a", "left_semi")
     met = written(met.select("set_a", "rep", "n_shingles", "parity", "narrow", "r_id", "r_key"), "met")
 
@@ -423,20 +446,38 @@ def similar_sets(docs: DataFrame, percent: int = 80) -> DataFrame:
     labelled = written(met.join(labels, "rep", "left").select(
         "set_a", "rep", "n_shingles", "narrow", F.coalesce("component", "rep").alias("label")), "labelled")
     members = buckets.select("key", "set_a").join(labelled.select("set_a", "rep", "label"), "set_a")
-    mixed = members.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b")
-    mixed = written(mixed.select("key"), "mixed-keys")
+    # a bucket is its members here: copies of a set share all keys, so equal sums are equal members
+    same = [F.sum(F.xxhash64(F.lit(i), "rep").cast("decimal(38,0)")).alias(f"sum_{i}") for i in range(2)]
+    mixed = members.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("n"), *same).where("a <> b")
+    mixed = written(mixed.groupBy("n", "sum_0", "sum_1").agg(F.min("key").alias("key")).select("key"), "mixed-keys")
     open_ = written(buckets.select("key", "set_a").join(mixed, "key").join(labelled, "set_a").select(
         "key", "rep", "label", "n_shingles", "narrow").distinct(), "open")
+    discard(buckets)
+    by_rep = lambda s: side(s).drop(f"set_{s}")
+    for turn in range(TURNS):
+        next_ = written(_beside(open_, turn).join(tried, ["u", "v"], "left_anti"), "beside")
+        near = written(next_.join(by_rep("v"), "v").join(by_rep("u"), "u").where(close).select("u", "v"), "pairs")
+        tried = tried.union(near)
+        found_now = written(_verified(near, texts, percent), "links")
+        links = links.union(found_now)
+        joined = connected_components(next_.join(found_now, ["u", "v"]).select(F.col("label_u").alias("u"), F.col("label_v").alias("v")))
+        n_joined = joined.count()
+        discard(next_)
+        if not n_joined:
+            break
+        before = open_
+        open_ = _relabelled(open_, joined)
+        discard(before)
+        if n_joined * TURN_SHARE < open_.select("label").distinct().count():
+            break
     x, y = (open_.select("key", *(F.col(c).alias(c + s) for c in ("rep", "label", "n_shingles", "narrow"))) for s in "xy")
     cond = ((x.key == y.key) & (F.col("labelx") < F.col("labely")) & _near_enough("n_shinglesx", "n_shinglesy", percent)
             & (_distance("narrowx", "narrowy") <= _most("n_shinglesx", "n_shinglesy", percent)))
     rest = x.join(y, cond).select(F.least("repx", "repy").alias("u"), F.greatest("repx", "repy").alias("v")).distinct()
     rest = written(rest.join(tried, ["u", "v"], "left_anti"), "open-pairs")
-    by_rep = lambda s: side(s).drop(f"set_{s}")
     rest = rest.join(by_rep("v"), "v").join(by_rep("u"), "u").where(close).select("u", "v")
-    more = written(_verified(rest, texts, percent), "links")
-    if not more.isEmpty():
-        found = connected_components(links.union(more))
+    links = links.union(written(_verified(rest, texts, percent), "links"))
+    found = connected_components(links)
 
     of_class = written(classes.select("set_a", "set_b", "n_shingles", "rep", "least").join(found, F.col("rep") == F.col("node"), "left").select(
         F.col("set_a").alias("a"), F.col("set_b").alias("b"), F.col("n_shingles").alias("n"), "least", F.coalesce("component", "rep").alias("label")), "of-class")

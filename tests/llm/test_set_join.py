@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from riskframe.llm import set_join
 from riskframe.llm.set_join import Band, allocate, budget, difference, narrow, parities, set_keys, similar_sets
 
 from . import brute
@@ -48,6 +49,21 @@ def test_components_equal_plain_python(docs_of, text_of, odd_texts, percent):
     assert {r["doc_id"]: (r["component_id"], r["n_shingles"]) for r in rows} == {i: (want[i], sizes[i]) for i in sizes}
 
 
+def test_a_large_group_is_linked_before_all_its_pairs_are_met(docs_of, text_of, monkeypatch):
+    base = text_of(150, 1, 3000)
+    pairs = [(i, _edited(base, 50 + i, 1 + i % 3)) for i in range(240)]
+    tables = {}
+
+    def spy(df, name, keep=set_join.written):
+        tables[name] = out = keep(df, name)
+        return out
+
+    monkeypatch.setattr(set_join, "written", spy)
+    got = {r["doc_id"]: r["component_id"] for r in similar_sets(docs_of(pairs).repartition(5)).collect()}
+    assert got == brute.components(pairs, 80)
+    assert tables["open-pairs"].count() <= 4 * len(pairs)
+
+
 def test_repeated_and_null_ids(docs_of, text_of):
     t = text_of(60, 1)
     rows = similar_sets(docs_of([(5, t), (5, t), (3, text_of(60, 2)), (3, t + " x"), (None, t), (None, "alone here"), (9, None), (None, "")])).collect()
