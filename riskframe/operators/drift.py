@@ -26,7 +26,7 @@ from typing import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -34,7 +34,8 @@ from riskframe.functions.exprs import clip, nan_to_null
 from riskframe.functions.hashing import hash_normal, hash_uniform
 from riskframe.functions.special import chi_square_sf
 from riskframe.plans.broadcast import bounded_broadcast
-from riskframe.plans.maxima import candidates
+from riskframe.plans.materialize import keep
+from riskframe.plans.maxima import LEAST_BUCKETS
 from riskframe.plans.prefix import ordered_prefix
 from riskframe.plans.quantiles import select_ranks
 from riskframe.plans.workers import ship
@@ -44,6 +45,8 @@ PSI_BINS = 10
 PSI_EPS = 1e-4
 JS_BINS = 20
 KS_TERMS = 100
+KS_BATCH_VALUES, KS_TASK_VALUES = 256, 1024  # for cuts only
+KS_MOST_BUCKETS, KS_MOST_CELLS = 1 << 14, 1 << 19  # of a feature; of all features
 DRIFT_TYPES = ("mean_shift", "scale_change", "corruption", "missing")
 
 
@@ -90,23 +93,118 @@ def gap_bounds():
     return upper, lambda before, end, total: F.abs(share(end, total, "r") - share(end, total, "c"))
 
 
+def _wide(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
+    """The features of both frames as doubles, NaN as NULL, and the side."""
+    side = lambda df, k: df.select(*(nan_to_null(F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(features)), F.lit(k).alias("side"))
+    return side(reference, 0).unionByName(side(current, 1))
+
+
+def _values(part: pd.DataFrame, c: int) -> tuple[np.ndarray, np.ndarray]:
+    v = part[f"v{c}"].to_numpy(dtype=np.float64)
+    ok = ~np.isnan(v)
+    return v[ok], part["side"].to_numpy()[ok]
+
+
+def _evenly(v: np.ndarray, k: int) -> np.ndarray:
+    return v if len(v) <= k else v[(np.arange(k) * (len(v) - 1)) // (k - 1)]
+
+
+def ks_cuts(both: DataFrame, n_features: int, least_buckets: int) -> list[np.ndarray]:
+    """Per feature ascending cuts of buckets that hold about equal shares, more of them the more rows
+    there are: the largest gap by chance falls with the root of the rows, and a bucket bounds it only as
+    far as its share. They only balance the work, so evenly spaced values of each task are enough."""
+    def some(parts):
+        n, held = np.zeros(n_features, dtype=np.int64), [np.zeros(0) for _ in range(n_features)]
+        for p in parts:
+            for c in range(n_features):
+                v, _ = _values(p, c)
+                n[c] += len(v)
+                held[c] = np.append(held[c], _evenly(np.sort(v), KS_BATCH_VALUES))
+                if len(held[c]) > 64 * KS_TASK_VALUES:
+                    held[c] = _evenly(np.sort(held[c]), 32 * KS_TASK_VALUES)
+        for c in np.flatnonzero(n):
+            v = _evenly(np.sort(held[c]), KS_TASK_VALUES)
+            yield pd.DataFrame({"c": np.full(len(v), c, dtype=np.int32), "v": v, "n": np.append(n[c], np.zeros(len(v) - 1, dtype=np.int64))})
+
+    found = keep(both.mapInPandas(some, "c int, v double, n long"))
+    most = found.groupBy("c").agg(F.sum("n").alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
+    n_buckets = max(least_buckets, min(KS_MOST_BUCKETS, 4 * math.isqrt(most), KS_MOST_CELLS // n_features))
+    cuts = [np.zeros(0) for _ in range(n_features)]
+    if n_buckets > 1:
+        steps = [i / n_buckets for i in range(1, n_buckets)]
+        for r in found.groupBy("c").agg(F.percentile_approx("v", steps, 8 * n_buckets).alias("v")).collect():
+            cuts[r["c"]] = np.unique(r["v"])
+    return cuts
+
+
+def ks_buckets(both: DataFrame, cuts: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per feature the rows of both sides in each bucket (2 x buckets), and which buckets can hold the
+    largest gap: |F - G| within one is at most the larger of one function's end less the other's start,
+    and at its end it is reached. One scan; what is shuffled are counts."""
+    def count(parts):
+        total = [np.zeros((2, len(q) + 1), dtype=np.int64) for q in cuts]
+        for p in parts:
+            for c, q in enumerate(cuts):
+                v, of = _values(p, c)
+                total[c] += np.bincount(of * (len(q) + 1) + np.searchsorted(q, v), minlength=2 * len(q) + 2).reshape(2, -1)
+        for c, t in enumerate(total):
+            b = np.flatnonzero(t.any(axis=0))
+            yield pd.DataFrame({"c": np.full(len(b), c, dtype=np.int32), "b": b.astype(np.int32), "r": t[0, b], "n": t[1, b]})
+
+    got = both.mapInPandas(count, "c int, b int, r long, n long").groupBy("c", "b").agg(
+        F.sum("r").alias("r"), F.sum("n").alias("n")).toPandas()  # at most KS_MOST_CELLS, or least_buckets a feature
+    out = []
+    for c, q in enumerate(cuts):
+        own, t = got[got["c"] == c], np.zeros((2, len(q) + 1), dtype=np.int64)
+        t[0, own["b"]], t[1, own["b"]] = own["r"], own["n"]
+        alive = np.zeros(len(q) + 1, dtype=bool)
+        if t.sum(axis=1).all():
+            end = np.cumsum(t, axis=1)
+            (f, g), (f0, g0) = (x / t.sum(axis=1, keepdims=True) for x in (end, end - t))
+            alive = t.any(axis=0) & (np.maximum(f - g0, g - f0) >= np.abs(f - g).max())
+        out.append((t, alive))
+    return out
+
+
 def ks_test(reference: DataFrame, current: DataFrame, features: Sequence[str], threshold: float = 0.05,
-            **bounds_kw) -> DataFrame:
+            least_buckets: int = LEAST_BUCKETS) -> DataFrame:
     """D1 (KS only): ``feature, ks_d, p_value, drift, n_ref, n_cur`` as ``numeric_drift`` gives them.
 
     Only values in buckets that can hold the largest gap are collapsed and sorted."""
-    rows = side_by_side(reference, current, features).select(
-        "feature", "value", (F.col("side") == 0).cast("long").alias("r"), (F.col("side") == 1).cast("long").alias("c"))
-    upper, lower = gap_bounds()
-    cur = candidates(rows, ["feature"], "value", ["r", "c"], upper, lower, descending=False, **bounds_kw)
-    gap = F.abs(F.try_divide(F.col("cum_r").cast("double"), F.col("tot_r").cast("double"))
-                - F.try_divide(F.col("cum_c").cast("double"), F.col("tot_c").cast("double")))
-    per = cur.groupBy("feature").agg(F.max(gap).alias("ks_d"), F.max("tot_r").alias("n_ref"), F.max("tot_c").alias("n_cur"))
+    spark, names = reference.sparkSession, list(features)
+    ship(spark)
+    both = _wide(reference, current, names)
+    cuts = ks_cuts(both, len(names), least_buckets)
+    buckets = ks_buckets(both, cuts)
+    alive = [a for _, a in buckets]
+
+    def open_values(parts):
+        for p in parts:
+            for c in range(len(cuts)):
+                v, of = _values(p, c)
+                b = np.searchsorted(cuts[c], v)
+                at = alive[c][b]
+                value, first, where = np.unique(v[at], return_index=True, return_inverse=True)
+                r = np.bincount(where, weights=of[at] == 0, minlength=len(value)).astype(np.int64)
+                n = np.bincount(where, minlength=len(value)) - r
+                yield pd.DataFrame({"c": np.full(len(value), c, dtype=np.int32), "b": b[at][first].astype(np.int32), "value": value, "r": r, "n": n})
+
+    one = both.mapInPandas(open_values, "c int, b int, value double, r long, n long").groupBy("c", "b", "value").agg(
+        F.sum("r").alias("r"), F.sum("n").alias("n"))
+    before = [pd.DataFrame({"c": c, "b": np.flatnonzero(a), "r0": (np.cumsum(t[0]) - t[0])[a], "n0": (np.cumsum(t[1]) - t[1])[a]}) for c, (t, a) in enumerate(buckets)]
+    before = spark.createDataFrame(pd.concat(before).astype("int64"), "c long, b long, r0 long, n0 long").select(
+        F.col("c").cast("int").alias("c"), F.col("b").cast("int").alias("b"), "r0", "n0")
+    sizes = [(c, f, *(int(x) for x in t.sum(axis=1))) for c, (f, (t, _)) in enumerate(zip(names, buckets)) if t.any()]
+    sizes = spark.createDataFrame(sizes, "c int, feature string, n_ref long, n_cur long")
+    run = Window.partitionBy("c", "b").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = one.join(bounded_broadcast(before, sum(int(a.sum()) for a in alive)), ["c", "b"]).join(bounded_broadcast(sizes, len(names)), "c")
+    share = lambda x, total: F.try_divide((F.sum(x).over(run) + F.col(f"{x}0")).cast("double"), F.col(total).cast("double"))
+    gap = rows.select("c", F.abs(share("r", "n_ref") - share("n", "n_cur")).alias("gap")).groupBy("c").agg(F.max("gap").alias("ks_d"))
+    per = sizes.join(gap, "c", "left")
     per = per.withColumn("_p", ks_pvalue(F.col("ks_d"), F.col("n_ref"), F.col("n_cur")))
     return per.select(
         "feature", F.round("ks_d", ROUND).alias("ks_d"), F.round("_p", ROUND).alias("p_value"),
-        (F.col("_p") < F.lit(float(threshold))).alias("drift"),
-        F.col("n_ref").cast("long").alias("n_ref"), F.col("n_cur").cast("long").alias("n_cur"))
+        (F.col("_p") < F.lit(float(threshold))).alias("drift"), "n_ref", "n_cur")
 
 
 def numeric_drift(reference: DataFrame, current: DataFrame, features: Sequence[str],

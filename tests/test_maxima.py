@@ -67,6 +67,24 @@ def test_ks_sorts_few_buckets(spark):
     assert n > 200 and 1 <= alive <= n / 4
 
 
+def test_ks_buckets_follow_the_rows(spark):
+    """A gap by chance falls with the root of the rows: few of the buckets must hold it all the same."""
+    rows = spark.range(200_000).select(F.rand(3).alias("x"), (F.rand(5) < 0.8).alias("ref"))
+    both = D._wide(rows.where("ref"), rows.where("not ref"), ["x"])
+    (counts, alive), = D.ks_buckets(both, D.ks_cuts(both, 1, 256))
+    assert counts.sum() == 200_000
+    assert counts[:, alive].sum() <= 200_000 / 4
+
+
+def test_ks_of_extreme_and_missing_values(spark):
+    ref = spark.createDataFrame([(float("inf"), None, 0.0), (float("-inf"), None, -0.0), (1.0, None, float("nan"))], "x double, y double, z double")
+    cur = spark.createDataFrame([(1.0, None, 0.0), (2.0, None, None)], "x double, y double, z double")
+    names = ["feature", "ks_d", "p_value", "drift", "n_ref", "n_cur"]
+    whole = D.numeric_drift(ref, cur, ["x", "y", "z"]).select(names).orderBy("feature").collect()
+    assert D.ks_test(ref, cur, ["x", "y", "z"]).select(names).orderBy("feature").collect() == whole
+    assert D.ks_test(ref, cur.limit(0), ["x", "y"]).select(names).collect() == D.numeric_drift(ref, cur.limit(0), ["x", "y"]).select(names).collect()
+
+
 def test_empty_table(spark):
     df = _scores(spark, 0, 1)
     assert M.best_threshold_by_bounds(df, keys=["k"]).count() == 0
