@@ -50,11 +50,19 @@ def average_precision(score: np.ndarray, tp: np.ndarray, fp: np.ndarray) -> floa
     total = float(tp.sum())
     if not total:
         return None
-    order = np.argsort(-score, kind="stable")
-    s, t, f = score[order], np.cumsum(tp[order], dtype=np.float64), np.cumsum(fp[order], dtype=np.float64)
-    last = np.flatnonzero(np.append(s[1:] != s[:-1], True))
-    t, f = t[last], f[last]
-    return float((np.diff(t, prepend=0.0) * t / (t + f)).sum() / total)
+    # a task holds the tuples beside this: one ordered column at a time, 32-bit places where they do
+    order = np.argsort(-score, kind="stable").astype(np.int32 if len(score) < 1 << 31 else np.int64)
+    s = score[order]
+    last = np.append(s[1:] != s[:-1], True)
+    del s
+    t = np.cumsum(tp[order], dtype=np.float64)[last]
+    f = np.cumsum(fp[order], dtype=np.float64)[last]
+    del order
+    f += t
+    step = np.diff(t, prepend=0.0)
+    step *= t
+    step /= f
+    return float(step.sum() / total)
 
 
 def ap_bounds(low: np.ndarray, high: np.ndarray, tp: np.ndarray, fp: np.ndarray) -> tuple[float, float]:

@@ -86,3 +86,17 @@ def test_grid_tables_agree(spark):
         assert len(got) == 441
         want = want or _brute(cols, y, grid)
         assert all(abs(got[i] - want[i]) <= 1e-6 for i in got)
+
+
+def test_average_precision_holds_few_copies_of_its_rows():
+    import tracemalloc
+
+    r = np.random.default_rng(1)
+    n = 200_000
+    score, tp, fp = r.random(n), r.integers(0, 2, n), r.integers(0, 3, n) + 1
+    B.average_precision(score[:10], tp[:10], fp[:10])
+    tracemalloc.start()
+    got = B.average_precision(score, tp, fp)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 0 < got < 1 and peak <= 40 * n  # five columns of the length of its rows
